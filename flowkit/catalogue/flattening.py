@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowkit.catalogue.registry import query, table
+from flowkit.functions.schema import INT, LONG, TEXT, schema
 from flowkit.functions.text import array_literal, is_identifier
 from flowkit.operators import flatten as fl
 from flowkit.sources import sinks, tables
@@ -290,7 +291,7 @@ def conform_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN o_orderkey % 7 = 0 THEN 'unknown' ELSE CAST(o_custkey AS STRING) END AS customer",
         "floor(o_totalprice) AS note",
     )
-    return sinks.conform_to_schema(raw, T.StructType.fromDDL("o_orderkey BIGINT, customer INT, note STRING"))
+    return sinks.conform_to_schema(raw, schema(o_orderkey=LONG, customer=INT, note=TEXT))
 
 
 @query(

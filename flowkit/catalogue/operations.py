@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowkit.catalogue.registry import query, table
+from flowkit.functions.schema import DOUBLE, LONG, TEXT, schema
 from flowkit.functions.text import mask_log_text
 from flowkit.operators import batches, health, ledger, masking, metrics, quarantine
 from flowkit.operators.rules import RuleSet, annotate
@@ -23,6 +25,9 @@ QUEUED_SQL = f"""SELECT ts, {SOURCE} AS source, {ERROR} AS error, CAST(event_id
     AS record, CAST(ts AS DATE) AS dt, event_id, value FROM events WHERE event_type = 'error'"""
 
 
+RECORD = schema(event_id=LONG, user_id=LONG, value=DOUBLE, props=TEXT)
+
+
 def queued(spark: SparkSession, sf_dir: str) -> DataFrame:
     failing = table(spark, sf_dir, "events").where("event_type = 'error'")
     retries = (F.col("event_id") % 5).cast("int")
@@ -75,8 +80,7 @@ def quarantine_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of one source that pass a rule on the second try, and those that go back with one more retry."""
     rules = RuleSet().add_range_rule("value", 0, 60)
-    schema = "event_id BIGINT, user_id BIGINT, value DOUBLE, props STRING"
-    replayed = quarantine.replay(queued(spark, sf_dir), schema, lambda df: annotate(df, rules), "load")
+    replayed = quarantine.replay(queued(spark, sf_dir), RECORD, lambda df: annotate(df, rules), "load")
     outcome = replayed.groupBy("succeeded", F.col("requeued.retry_count").alias("retries"))
     return outcome.agg(F.count(F.lit(1)).alias("records")).select(F.lit("load").alias("source"), "*")
 
@@ -87,8 +91,7 @@ def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quarantine_replay_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = RuleSet().add_range_rule("value", 0, 60)
-    schema = "event_id BIGINT, user_id BIGINT, value DOUBLE, props STRING"
-    replayed = quarantine.replay(queued(spark, sf_dir), schema, lambda df: annotate(df, rules))
+    replayed = quarantine.replay(queued(spark, sf_dir), RECORD, lambda df: annotate(df, rules))
     return quarantine.replay_counts(replayed)
 
 
@@ -187,7 +190,7 @@ def batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def map_reduce_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Python map that fails on error events, which drops them, and a sum."""
 
-    def cents(event: pd.Series) -> int:
+    def cents(event: dict[str, Any]) -> int:
         if event["event_type"] == "error":
             raise ValueError("error event")
         return round(event["value"] * 100)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowkit.catalogue.registry import query, table
+from flowkit.functions.schema import DOUBLE, LONG, TEXT, schema
 from flowkit.operators.rules import RuleSet
 from flowkit.plans.jobs import migrate
 from flowkit.plans.staging import scratch_path
@@ -22,8 +23,8 @@ FILES_PER_BATCH = 64
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return read_stream(spark, f"{sf_dir}/events.parquet*", schema, max_files=FILES_PER_BATCH)
+    columns = table(spark, sf_dir, "events").schema
+    return read_stream(spark, f"{sf_dir}/events.parquet*", columns, max_files=FILES_PER_BATCH)
 
 
 def _collected(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
@@ -43,8 +44,8 @@ def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stream = event_stream(spark, sf_dir)
     load.run_to_end(stream)
-    schema = T.StructType.fromDDL("event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, level STRING")
-    return read_loaded(spark, load.target, schema)
+    columns = schema(event_id=LONG, user_id=LONG, event_type=TEXT, value=DOUBLE, level=TEXT)
+    return read_loaded(spark, load.target, columns)
 
 
 def _split_load(spark: SparkSession, sf_dir: str) -> tuple[StreamLoad, T.StructType]:
@@ -62,9 +63,11 @@ def _split_load(spark: SparkSession, sf_dir: str) -> tuple[StreamLoad, T.StructT
 )
 def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that break a rule land in the quarantine, all others in the target."""
-    load, schema = _split_load(spark, sf_dir)
-    good = read_loaded(spark, load.target, schema).select("event_id", F.lit(False).alias("quarantined"), F.lit(0).alias("problems"))
-    rejected = T.StructType.fromDDL("error STRING, record STRING")
+    load, columns = _split_load(spark, sf_dir)
+    good = read_loaded(spark, load.target, columns).select(
+        "event_id", F.lit(False).alias("quarantined"), F.lit(0).alias("problems")
+    )
+    rejected = schema(error=TEXT, record=TEXT)
     record = F.from_json("record", "event_id BIGINT")
     bad = read_loaded(spark, load.quarantine, rejected).select(
         record["event_id"].alias("event_id"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -13,6 +14,8 @@ EARLIEST_INT_DATE = 18000101
 DEFAULT_FORMATS = (
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "yyyy-MM-dd",
     "yyyy/MM/dd",
     "yyyyMMdd",
@@ -29,7 +32,30 @@ def int_date_in_year(c: Column, year: int) -> Column:
     return c.between(year * 10000 + 101, year * 10000 + 1231) & int_to_date(c).isNotNull()
 
 
+def _shape(pattern: str) -> str | None:
+    """A regular expression for the texts that a pattern of fixed-width numbers can match; None for other patterns."""
+    expression = ""
+    for part in re.findall(r"'[^']*'|y+|M+|d+|H+|m+|s+|S+|.", pattern):
+        if part in ("yyyy", "MM", "dd", "HH", "mm", "ss"):
+            expression += rf"\d{{{len(part)}}}"
+        elif part[0] == "S":
+            expression += rf"\d{{1,{len(part)}}}"
+        elif part[0].isalpha():
+            return None
+        else:
+            expression += re.escape(part.strip("'"))
+    return rf"\A{expression}\z"
+
+
 def parse_timestamp(c: Column, formats: Iterable[str] = DEFAULT_FORMATS) -> Column:
-    """The first format that fits, else NULL.  The text is stripped first."""
+    """The first format that fits, else NULL.  The text is stripped first.
+
+    A text that cannot fit by its shape is not parsed, since every failed parse costs an exception.
+    """
     text = F.trim(c.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+
+    def parsed(pattern: str) -> Column:
+        value, shape = F.try_to_timestamp(text, F.lit(pattern)), _shape(pattern)
+        return value if shape is None else F.when(text.rlike(shape), value)
+
+    return F.coalesce(*[parsed(f) for f in formats])

@@ -16,9 +16,16 @@ LOG_SECRET_FIELDS = ("password", "private_key", "client_email")
 LOG_MASK = "****"
 
 
+# The characters that count as whitespace.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_whitespace(c: Column) -> Column:
-    """Strip all Unicode whitespace at both ends (`trim` strips spaces only)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Strip all Unicode whitespace at both ends (`trim` alone strips spaces only)."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def normalized(c: Column) -> Column:
@@ -56,7 +63,7 @@ def array_literal(c: Column) -> Column:
     """A string array as the text literal `{"a","b",NULL}`; NULL and empty arrays give `{}`."""
 
     def element(x: Column) -> Column:
-        escaped = F.regexp_replace(x.cast("string"), r'([\\"])', r"\\$1")
+        escaped = F.replace(F.replace(x.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
         return F.coalesce(F.concat(F.lit('"'), escaped, F.lit('"')), F.lit("NULL"))
 
     body = F.array_join(F.transform(c, element), ",")

@@ -77,12 +77,12 @@ def process_items(
 
 def map_reduce(
     df: DataFrame,
-    map_value: Callable[[pd.Series], Any],
+    map_value: Callable[[dict[str, Any]], Any],
     reduce_values: Callable[[Any, Any], Any],
     result_type: str,
     fan_in: int = 64,
 ) -> DataFrame:
-    """One row `(result)`: map every row, then combine with an associative and commutative function.
+    """One row `(result)`: map every row, given as a dict, then combine with an associative and commutative function.
 
     A row whose map raises is dropped; without any mapped value the result is NULL.  Each task reduces its own rows
     and sends one value on; the values meet in `fan_in` tasks and then in one.  Prefer built-in aggregates where they
@@ -92,7 +92,7 @@ def map_reduce(
 
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[Any]:
         for pdf in frames:
-            for _, row in pdf.iterrows():
+            for row in pdf.to_dict("records"):
                 try:
                     value = map_value(row)
                 except Exception:  # noqa: BLE001, S112 - a failed map drops its row

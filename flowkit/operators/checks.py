@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowkit.functions.columns import col, is_missing, percent, present
+from flowkit.functions.schema import DOUBLE, LONG, TEXT, schema
 from flowkit.functions.text import matches_at_start
 
-ISSUE_SCHEMA = T.StructType.fromDDL(
-    "check STRING, column STRING, issue_type STRING, count BIGINT, percentage DOUBLE, severity STRING"
-)
+ISSUE_SCHEMA = schema(check=TEXT, column=TEXT, issue_type=TEXT, count=LONG, percentage=DOUBLE, severity=TEXT)
 
 # The checks, in the order in which a full validation runs them.
 CHECKS = ("null_values", "duplicates", "data_types", "ranges", "string_patterns")
@@ -26,7 +25,7 @@ CHECKS = ("null_values", "duplicates", "data_types", "ranges", "string_patterns"
 # Fixed value: a nullable column is reported above this percentage of nulls.
 HIGH_NULL_PERCENTAGE = 50
 
-TOTAL = F.col("__total")
+TOTAL = "__total"
 
 
 class _Issues:
@@ -47,7 +46,7 @@ class _Issues:
                 F.lit(column).alias("column"),
                 as_column[0].alias("issue_type"),
                 count.alias("count"),
-                percent(count, TOTAL).alias("percentage"),
+                percent(count, F.col(TOTAL)).alias("percentage"),
                 as_column[1].alias("severity"),
             )
         )
@@ -81,7 +80,7 @@ class _Issues:
         """One pass over `df`; only rows with a count stay."""
         if not self.rows:
             return df.sparkSession.createDataFrame([], ISSUE_SCHEMA)
-        totals = df.agg(F.count(F.lit(1)).alias("__total"), *self.counts)
+        totals = df.agg(F.count(F.lit(1)).alias(TOTAL), *self.counts)
         tolerated = (F.col("issue_type") == "high_null_percentage") & (F.col("percentage") <= HIGH_NULL_PERCENTAGE)
         return totals.select(F.inline(F.array(*self.rows))).where((F.col("count") > 0) & ~tolerated)
 
@@ -117,7 +116,7 @@ def check_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     groups = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__rows"))
     rows = F.col("__rows")
     totals = groups.agg(
-        F.coalesce(F.sum(rows), F.lit(0)).alias("__total"),
+        F.coalesce(F.sum(rows), F.lit(0)).alias(TOTAL),
         F.coalesce(F.sum(F.when(rows > 1, rows)), F.lit(0)).alias("count"),
     )
     return totals.where(F.col("count") > 0).select(
@@ -125,7 +124,7 @@ def check_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.lit(",".join(keys)).alias("column"),
         F.lit("duplicate_rows").alias("issue_type"),
         "count",
-        percent(F.col("count"), TOTAL).alias("percentage"),
+        percent(F.col("count"), F.col(TOTAL)).alias("percentage"),
         F.lit("error").alias("severity"),
     )
 

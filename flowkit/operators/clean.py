@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from flowkit.functions.columns import col, is_missing, numeric_columns, present, string_columns
 from flowkit.functions.dates import DEFAULT_FORMATS, parse_timestamp
 from flowkit.functions.text import normalized
-from flowkit.plans.medians import exact_medians
+from flowkit.plans.medians import column_sizes, exact_medians
 from flowkit.plans.ordered import fill_along
 from flowkit.plans.staging import stage
 
@@ -57,14 +57,6 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*pairs)))
 
 
-def _columns_with_nulls(df: DataFrame, names: Sequence[str]) -> list[str]:
-    if not names:
-        return []
-    types = {f.name: f.dataType for f in df.schema}
-    found = df.agg(*[F.max(is_missing(n, types[n])).alias(str(i)) for i, n in enumerate(names)]).first()
-    return [n for n, has in zip(names, found, strict=True) if has]
-
-
 def fill_numeric_median(
     df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True, accuracy: int = 10_000
 ) -> DataFrame:
@@ -72,12 +64,13 @@ def fill_numeric_median(
 
     A column without any value stays NULL.  Runs one-row aggregates; `exact=False` uses one sketch instead.
     """
-    gaps = _columns_with_nulls(df, numeric_columns(df) if columns is None else columns)
+    sizes = column_sizes(df, numeric_columns(df) if columns is None else columns)
+    gaps = [c for c, size in sizes.items() if size.count < size.rows]
     if not gaps:
         return df
     types = {f.name: f.dataType for f in df.schema}
     if exact:
-        medians = exact_medians(df, gaps)
+        medians = exact_medians(df, gaps, sizes=sizes)
     else:
         sketched = [F.percentile_approx(present(c, types[c]).cast("double"), 0.5, accuracy) for c in gaps]
         medians = dict(zip(gaps, df.agg(*sketched).first(), strict=True))

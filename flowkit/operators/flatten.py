@@ -6,21 +6,30 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowkit.functions.dates import EARLIEST_INT_DATE, int_date_in_year, int_to_date
 from flowkit.functions.nested import distinct_values, field_values, localized_text
+from flowkit.functions.schema import INT, TEXT, schema, structs
 
 # Plain columns that pass through, before and after the computed ones.
 IDENTIFIERS = ("publication_number", "application_number", "country_code", "kind_code", "family_id")
 ATTRIBUTES = ("entity_status", "art_unit")
 
-NESTED_SCHEMA = T.StructType.fromDDL(
-    "publication_number STRING, application_number STRING, country_code STRING, kind_code STRING, family_id STRING, "
-    "title_localized ARRAY<STRUCT<text: STRING, language: STRING>>, filing_date INT, publication_date INT, "
-    "inventor_harmonized ARRAY<STRUCT<name: STRING>>, assignee_harmonized ARRAY<STRUCT<name: STRING>>, "
-    "cpc ARRAY<STRUCT<code: STRING>>, citation ARRAY<STRUCT<publication_number: STRING>>, "
-    "entity_status STRING, art_unit STRING"
+NESTED_SCHEMA = schema(
+    publication_number=TEXT,
+    application_number=TEXT,
+    country_code=TEXT,
+    kind_code=TEXT,
+    family_id=TEXT,
+    title_localized=structs(text=TEXT, language=TEXT),
+    filing_date=INT,
+    publication_date=INT,
+    inventor_harmonized=structs(name=TEXT),
+    assignee_harmonized=structs(name=TEXT),
+    cpc=structs(code=TEXT),
+    citation=structs(publication_number=TEXT),
+    entity_status=TEXT,
+    art_unit=TEXT,
 )
 
 

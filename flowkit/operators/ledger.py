@@ -12,11 +12,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-LEDGER_SCHEMA = T.StructType.fromDDL(
-    "id STRING, pipeline STRING, timestamp TIMESTAMP, data STRING, metadata STRING"
-)
+from flowkit.functions.schema import TEXT, TIME, schema
+
+LEDGER_SCHEMA = schema(id=TEXT, pipeline=TEXT, timestamp=TIME, data=TEXT, metadata=TEXT)
 
 
 def checkpoint_id(ts: Column) -> Column:

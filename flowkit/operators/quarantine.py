@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RECORD_SCHEMA = T.StructType.fromDDL(
-    "ts TIMESTAMP, source STRING, error STRING, retry_count INT, record STRING"
-)
+from flowkit.functions.schema import INT, TEXT, TIME, schema
+
+RECORD_SCHEMA = schema(ts=TIME, source=TEXT, error=TEXT, retry_count=INT, record=TEXT)
 PARTITIONS = ("source", "dt")
 
 # Default retry policy (attempts, first delay and its growth, longest delay, jitter share).
@@ -55,20 +55,20 @@ def violations_text(violations: Column) -> Column:
 
 
 def write_quarantine(rows: DataFrame, path: str) -> None:
-    """Append to the quarantine table (one write job)."""
-    rows.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    """Append to the quarantine table (one write job); files are balanced, also for a hot source or day."""
+    rows.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     fields = [f for f in RECORD_SCHEMA if f.name not in PARTITIONS]
-    schema = T.StructType([*fields, T.StructField("source", T.StringType()), T.StructField("dt", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    partitions = [T.StructField("source", T.StringType()), T.StructField("dt", T.DateType())]
+    return spark.read.schema(T.StructType([*fields, *partitions])).parquet(path)
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """Quarantine rows kept as JSON lines; lines that do not parse are skipped."""
     tagged = T.StructType([*RECORD_SCHEMA, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.schema(tagged).option("mode", "PERMISSIVE").json(path)
+    rows = spark.read.text(path).select(F.from_json("value", tagged).alias("row")).select("row.*")
     return rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record").withColumn("dt", F.to_date("ts"))
 
 
@@ -93,7 +93,7 @@ def latest_records(quarantine: DataFrame, source: str | None = None, limit: int
 
 def replay(
     quarantine: DataFrame,
-    schema: T.StructType | str,
+    fields: T.StructType,
     check: Callable[[DataFrame], DataFrame],
     source: str | None = None,
     now: Column | None = None,
@@ -104,7 +104,6 @@ def replay(
     retry count raised by one, in `requeued` (NULL on success).  A record that does not parse fails.
     """
     kept = quarantine if source is None else quarantine.where(F.col("source") == source)
-    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     tagged = T.StructType([*fields, T.StructField("_corrupt_record", T.StringType())])
     parsed = kept.withColumn("__parsed", F.from_json("record", tagged)).select(
         F.struct("source", "error", "retry_count", "record").alias("__queued"),

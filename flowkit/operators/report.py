@@ -7,13 +7,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowkit.functions.columns import percent
-
-CHECK_SCHEMA = T.StructType.fromDDL(
-    "timestamp TIMESTAMP, check_name STRING, passed BOOLEAN, records_total BIGINT, records_valid BIGINT, "
-    "records_invalid BIGINT, valid_percentage DOUBLE, issues ARRAY<STRING>"
+from flowkit.functions.schema import DOUBLE, FLAG, LONG, TEXT, TEXTS, TIME, schema
+
+CHECK_SCHEMA = schema(
+    timestamp=TIME,
+    check_name=TEXT,
+    passed=FLAG,
+    records_total=LONG,
+    records_valid=LONG,
+    records_invalid=LONG,
+    valid_percentage=DOUBLE,
+    issues=TEXTS,
 )
 
 # The columns of the CSV export, in order.

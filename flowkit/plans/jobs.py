@@ -157,8 +157,11 @@ def migrate(
         raise ValueError(f"run {run!r} already loaded {before} rows; resume it with its checkpoint")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("*", F.lit(run).alias("load_run"), F.lit(batch_id).cast("long").alias("batch_id"))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        # Both partition values are given, so only this batch's partition is replaced.
+        batch.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (load_run = '{run}', batch_id = {batch_id}) SELECT * FROM {{rows}}",
+            rows=batch,
+        )
 
     stream = select_rows(read_stream(spark, source, frame.schema, max_files, pattern=pattern), where)
     writer = stream.writeStream.foreachBatch(write_batch)

@@ -45,24 +45,46 @@ class _Bracket:
         return value if self.lo is None else F.when(value.between(F.lit(self.lo), F.lit(self.hi)), value)
 
 
+@dataclass(frozen=True)
+class ColumnSize:
+    """Rows of the frame, non-missing values of the column, and about how many of them differ."""
+
+    rows: int
+    count: int
+    distinct: int
+
+
+def _values(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    types = {f.name: f.dataType for f in df.schema}
+    return {c: present(c, types[c]).cast("double") for c in columns}
+
+
+def column_sizes(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnSize]:
+    """Sizes of numeric columns, from one aggregate."""
+    if not columns:
+        return {}
+    sizes = [F.struct(F.count(v), F.approx_count_distinct(v)) for v in _values(df, columns).values()]
+    rows, *counted = df.agg(F.count(F.lit(1)), *[s.alias(str(i)) for i, s in enumerate(sizes)]).first()
+    return {c: ColumnSize(rows, *size) for c, size in zip(columns, counted, strict=True)}
+
+
 def exact_medians(
-    df: DataFrame, columns: Sequence[str], ranked_values: int = RANKED_VALUES, accuracy: int = ACCURACY
+    df: DataFrame,
+    columns: Sequence[str],
+    ranked_values: int = RANKED_VALUES,
+    accuracy: int = ACCURACY,
+    sizes: dict[str, ColumnSize] | None = None,
 ) -> dict[str, float | None]:
     """The median of the non-missing values of each column, None for a column without values.
 
     Runs a few one-row aggregates, and one job that ranks about `ranked_values` distinct values per column or fewer.
     """
-    types = {f.name: f.dataType for f in df.schema}
-    value = {c: present(c, types[c]).cast("double") for c in columns}
+    value = _values(df, columns)
     spread = 4.0 / accuracy
-    brackets: dict[str, _Bracket] = {}
-    if columns:
-        sizes = df.agg(*[
-            F.struct(F.count(v), F.approx_count_distinct(v)).alias(str(i)) for i, v in enumerate(value.values())
-        ]).first()
-        for c, (count, distinct) in zip(columns, sizes, strict=True):
-            if count:
-                brackets[c] = _Bracket(count, count, distinct, spread)
+    known = sizes or column_sizes(df, columns)
+    brackets = {
+        c: _Bracket(known[c].count, known[c].count, known[c].distinct, spread) for c in columns if known[c].count
+    }
     while wide := [c for c, b in brackets.items() if b.distinct > ranked_values]:
         _narrow(df, {c: value[c] for c in wide}, brackets, accuracy, spread)
     return {**dict.fromkeys(columns), **_middle_values(df, value, brackets)}

@@ -130,19 +130,21 @@ def fill_along(
     summary = staged.groupBy(*[col(k) for k in keys], BUCKET).agg(*ends)
     across = Window.partitionBy(*[col(k) for k in keys]).orderBy(BUCKET)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    after = across.rowsBetween(1, Window.unboundedFollowing)
+    # What the forward fill leaves lies before the first known value, so the backward fill is that value.  Frames
+    # that end at the current row or span the whole group take linear time; "from here on" would be quadratic.
+    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carried: dict[str, Column] = {}
     for i in range(len(columns)):
         carried[f"__prev_{i}"] = F.last(f"__last_{i}", ignorenulls=True).over(before)
-        carried[f"__next_{i}"] = F.first(f"__first_{i}", ignorenulls=True).over(after)
+        carried[f"__next_{i}"] = F.first(f"__first_{i}", ignorenulls=True).over(whole)
     upto = _within(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = _within(keys, order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    inside = _within(keys, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     out = _with_carry(staged, _carry_table(summary, keys, carried), keys)
     filled = {
         c: F.coalesce(
             F.last(value[c], ignorenulls=True).over(upto),
             F.col(f"__prev_{i}"),
-            F.first(value[c], ignorenulls=True).over(onward),
+            F.first(value[c], ignorenulls=True).over(inside),
             F.col(f"__next_{i}"),
         )
         for i, c in enumerate(columns)

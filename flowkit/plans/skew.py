@@ -23,21 +23,25 @@ def _same_key(keys: Sequence[str]) -> Column:
 def attach_by_key(
     rows: DataFrame, facts: DataFrame, keys: Sequence[str], rows_column: str, hot_share: float = HOT_SHARE
 ) -> DataFrame:
-    """Inner-join `rows` with `facts`, which has one row for every key in `rows` and its row count.
+    """Add the columns of `facts`, which has one row for every key in `rows`, with its row count in `rows_column`.
 
     `facts` comes from a group-by on `rows`, so it is combined before its shuffle.  The facts of hot keys, at most
-    1 / hot_share of them, are broadcast, and their rows are not shuffled; the other rows meet their facts in an
-    ordinary join in which no key holds more than `hot_share` of the rows.
+    1 / hot_share of them, are broadcast.  In the join with the other facts a hot row has nothing to match, and goes
+    to a partition by the number of its input partition, so no task gets more than its share.
     """
     helpers = [f"__key_{i}" for i in range(len(keys))]
+    added = [c for c in facts.columns if c not in keys]
     named = facts.withColumnsRenamed({k: f"__key_{i}" for i, k in enumerate(keys)})
     total = rows.agg(F.count(F.lit(1))).scalar()
     is_hot = F.coalesce(col(rows_column) > total * hot_share, F.lit(False))
-    hot, cold = named.where(is_hot), named.where(~is_hot)
-    on = _same_key(keys)
-    few = rows.join(F.broadcast(hot), on, "inner").drop(*helpers)
-    rest = rows.join(F.broadcast(hot.select(*helpers)), on, "left_anti").join(cold, on, "inner").drop(*helpers)
-    return few.unionByName(rest)
+    hot = named.where(is_hot).withColumnsRenamed({c: f"__hot_{c}" for c in added})
+    cold = named.where(~is_hot).withColumn("__cold", F.lit(-1))
+    spread = F.when(col(f"__hot_{rows_column}").isNotNull(), F.spark_partition_id()).otherwise(-1)
+    near = rows.join(F.broadcast(hot), _same_key(keys), "left").drop(*helpers).withColumn("__spread", spread)
+    both = near.join(cold, _same_key(keys) & (F.col("__spread") == F.col("__cold")), "left")
+    return both.select(
+        *[col(c) for c in rows.columns], *[F.coalesce(col(f"__hot_{c}"), col(c)).alias(c) for c in added]
+    )
 
 
 def flag_duplicates(

@@ -27,8 +27,15 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{scratch_root(spark)}/flowkit/{label}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared folder; nothing is created yet."""
+    return f"{scratch_root(spark)}/flowkit/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged; frames that read it stop working."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/flowkit/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_stage(df: DataFrame, label: str) -> str:

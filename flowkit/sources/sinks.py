@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowkit.functions.columns import col, nan_to_null, quoted
+from flowkit.functions.schema import DAY, INT, SHORT_TEXT, TEXT, TEXTS, TIME, schema
 from flowkit.functions.text import array_literal, require_identifier
 from flowkit.operators.clean import keep_first
 
@@ -21,20 +22,42 @@ INSERT_BATCH_ROWS = 10_000
 # Name endings of array columns that load as array literals.
 ARRAY_SUFFIXES = ("_names", "_codes")
 
-FLATTENED_TARGET = T.StructType.fromDDL(
-    "publication_number STRING, application_number STRING, country_code VARCHAR(10), kind_code VARCHAR(10), "
-    "family_id STRING, title_english STRING, filing_date DATE, publication_date DATE, inventor_count INT, "
-    "inventor_names ARRAY<STRING>, assignee_count INT, assignee_names ARRAY<STRING>, cpc_codes ARRAY<STRING>, "
-    "citation_count INT, entity_status STRING, art_unit STRING, loaded_at TIMESTAMP"
+FLATTENED_TARGET = schema(
+    publication_number=TEXT,
+    application_number=TEXT,
+    country_code=SHORT_TEXT,
+    kind_code=SHORT_TEXT,
+    family_id=TEXT,
+    title_english=TEXT,
+    filing_date=DAY,
+    publication_date=DAY,
+    inventor_count=INT,
+    inventor_names=TEXTS,
+    assignee_count=INT,
+    assignee_names=TEXTS,
+    cpc_codes=TEXTS,
+    citation_count=INT,
+    entity_status=TEXT,
+    art_unit=TEXT,
+    loaded_at=TIME,
 )
-SIMPLE_TARGET = T.StructType.fromDDL(
-    "publication_number STRING, application_number STRING, country_code VARCHAR(10), filing_date DATE, "
-    "loaded_at TIMESTAMP"
+SIMPLE_TARGET = schema(
+    publication_number=TEXT, application_number=TEXT, country_code=SHORT_TEXT, filing_date=DAY, loaded_at=TIME
 )
-ENHANCED_TARGET = T.StructType.fromDDL(
-    "publication_number STRING, application_number STRING, country_code VARCHAR(10), kind_code VARCHAR(10), "
-    "filing_date DATE, publication_date DATE, grant_date DATE, title STRING, abstract STRING, assignee STRING, "
-    "inventors STRING, cpc_codes STRING, loaded_at TIMESTAMP"
+ENHANCED_TARGET = schema(
+    publication_number=TEXT,
+    application_number=TEXT,
+    country_code=SHORT_TEXT,
+    kind_code=SHORT_TEXT,
+    filing_date=DAY,
+    publication_date=DAY,
+    grant_date=DAY,
+    title=TEXT,
+    abstract=TEXT,
+    assignee=TEXT,
+    inventors=TEXT,
+    cpc_codes=TEXT,
+    loaded_at=TIME,
 )
 LARGE_TARGET = ENHANCED_TARGET
 
@@ -56,15 +79,15 @@ def _conformed(source: T.DataType | None, f: T.StructField) -> Column:
     return col(f.name).try_cast(target)
 
 
-def conform_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform_to_schema(df: DataFrame, target: T.StructType) -> DataFrame:
     """Exactly the target's columns and types: bad values and absent columns become NULL, arrays become JSON text."""
     types = {f.name: f.dataType for f in df.schema}
-    return df.select(*[_conformed(types.get(f.name), f).alias(f.name) for f in schema])
+    return df.select(*[_conformed(types.get(f.name), f).alias(f.name) for f in target])
 
 
-def is_oversized(schema: T.StructType) -> Column:
+def is_oversized(target: T.StructType) -> Column:
     """Whether a row has a text longer than its VARCHAR column takes."""
-    limited = [f for f in schema if isinstance(f.dataType, T.VarcharType)]
+    limited = [f for f in target if isinstance(f.dataType, T.VarcharType)]
     too_long = [F.coalesce(F.char_length(col(f.name)) > f.dataType.length, F.lit(False)) for f in limited]
     return reduce(lambda a, b: a | b, too_long, F.lit(False))
 
@@ -80,9 +103,9 @@ def prepare_for_load(df: DataFrame) -> DataFrame:
     return encode_arrays(nan_to_null(df))
 
 
-def table_ddl(name: str, schema: T.StructType, partitions: Sequence[str] = (), location: str | None = None) -> str:
+def table_ddl(name: str, fields: T.StructType, partitions: Sequence[str] = (), location: str | None = None) -> str:
     require_identifier(name)
-    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
     by = f" PARTITIONED BY ({', '.join(quoted(p) for p in partitions)})" if partitions else ""
     at = f" LOCATION '{location}'" if location else ""
     return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{by}{at}"
@@ -91,13 +114,13 @@ def table_ddl(name: str, schema: T.StructType, partitions: Sequence[str] = (), l
 def create_table(
     spark: SparkSession,
     name: str,
-    schema: T.StructType,
+    fields: T.StructType,
     partitions: Sequence[str] = (),
     location: str | None = None,
     replace: bool = False,
 ) -> None:
     """Create a typed table; `replace` drops an existing one first, else it stays."""
-    ddl = table_ddl(name, schema, partitions, location)
+    ddl = table_ddl(name, fields, partitions, location)
     if replace:
         drop_table(spark, name)
     spark.sql(ddl)
@@ -128,9 +151,16 @@ def write_jdbc(
     properties: Mapping[str, str] | None = None,
     batch_rows: int = INSERT_BATCH_ROWS,
     column_types: str | None = None,
+    connections: int = 32,
 ) -> None:
-    """Insert prepared rows into a database in batches; each task inserts its own rows."""
-    options = {"url": url, "dbtable": require_identifier(table), "batchsize": str(batch_rows), **(properties or {})}
+    """Insert prepared rows into a database in batches, over at most `connections` connections."""
+    options = {
+        "url": url,
+        "dbtable": require_identifier(table),
+        "batchsize": str(batch_rows),
+        "numPartitions": str(connections),
+        **(properties or {}),
+    }
     if column_types:
         options["createTableColumnTypes"] = column_types
     prepare_for_load(df).write.format("jdbc").options(**options).mode(WRITE_MODES[if_exists]).save()

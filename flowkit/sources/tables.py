@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,8 @@ USD_PER_TIB = 5.0
 MAX_ROWS_PER_RUN = 1_000_000
 SAMPLE_ROWS = 10_000
 
-# Up to this many rows a cap is a top-n, which every task and the last one hold in memory.
-TOP_N_ROWS = 100_000
+# Up to this many rows a cap is a top-n: every task sends that many rows to the last one.
+TOP_N_ROWS = 1_000
 
 
 def read_query(spark: SparkSession, query: str) -> DataFrame:
@@ -69,19 +70,53 @@ def select_rows(
 def cap_rows(df: DataFrame, limit: int, order: Sequence[str], top_n_rows: int = TOP_N_ROWS) -> DataFrame:
     """The first `limit` rows in `order` (ascending, NULLs first).
 
-    A small cap is a top-n.  A large one numbers the rows in parallel (stages the input), so no task holds them all.
+    A small cap is a top-n.  A large one is first cut down to the rows that can be among them, which are then
+    numbered in parallel (staged), so no task holds them all.
     """
     if not order:
         raise ValueError("a row limit needs an order")
     if limit <= top_n_rows:
         return df.orderBy(*[col(c).asc_nulls_first() for c in order]).limit(limit)
-    return with_row_index(df, order, name="__index").where(F.col("__index") < limit).drop("__index")
+    leading = _leading_rows(df, limit, order[0])
+    return with_row_index(leading, order, name="__index").where(F.col("__index") < limit).drop("__index")
+
+
+def _leading_rows(df: DataFrame, limit: int, column: str, accuracy: int = 10_000) -> DataFrame:
+    """Rows up to a value of the first order column with at least `limit` rows at or below it.
+
+    The value comes from a quantile sketch and is checked by a count; the comparison reaches the file scan.
+    """
+    kind = df.schema[column].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return df
+    c = col(column)
+    rows, known = df.agg(F.count(F.lit(1)), F.count(c)).first()
+    nulls = rows - known
+    if rows <= limit or not known:
+        return df
+    share = (limit - nulls) / known + 2 / accuracy
+    if not 0 < share < 1:
+        return df if share >= 1 else df.where(c.isNull())
+    bound = df.agg(F.percentile_approx(c, F.lit(share), accuracy)).first()[0]
+    within = c.isNull() | (c <= F.lit(bound).cast(kind))
+    return df.where(within) if df.agg(F.count_if(within)).first()[0] >= limit else df
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], rows: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
-    """An exact-size sample that a re-run repeats: the rows with the smallest seeded hash of their unique key."""
+    """An exact-size sample that a re-run repeats: the rows with the smallest seeded hash of their unique key.
+
+    Hashes are uniform, so a bound on the hash cuts the frame down to about the sample before it is sorted; a count
+    checks that the bound leaves enough rows.
+    """
     shuffled = F.xxhash64(F.lit(seed), *[col(k) for k in keys])
-    return df.orderBy(shuffled, *[col(k) for k in keys]).limit(rows)
+    total = df.count()
+    share = (rows + 10 * math.sqrt(rows) + 100) / max(total, 1)
+    candidates = df
+    if share < 1:
+        within = shuffled <= int(-(2**63) + share * 2**64)
+        if df.agg(F.count_if(within)).first()[0] >= rows:
+            candidates = df.where(within)
+    return candidates.orderBy(shuffled, *[col(k) for k in keys]).limit(rows)
 
 
 def row_count(df: DataFrame, where: str | None = None, limit: int | None = None) -> DataFrame:
