@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowkit.catalogue.registry import GAPPY_ORDERS_SQL, gappy_orders, query, table
+from flowkit.functions.schema import TEXT, schema
 from flowkit.operators import checks, report
 from flowkit.operators.clean import standardize_dates
 from flowkit.operators.rules import RuleSet, annotate, counts_by_rule, split, validity_counts, violation_rows
+from flowkit.plans.staging import scratch_path
 
 
 def _issues(df: DataFrame) -> DataFrame:
@@ -321,6 +323,19 @@ def quality_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.csv_rows(check_history(spark, sf_dir)).drop("timestamp")
 
 
+@query(
+    f"""SELECT check_name, CAST(records_invalid = 0 AS VARCHAR) AS passed, CAST(records_total AS VARCHAR) AS records_total,
+      format('{{:.2f}}%', records_valid * 100.0 / records_total) AS valid_percentage FROM ({HISTORY_SQL})"""
+)
+def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV export, read back as text."""
+    path = scratch_path(spark, "report")
+    report.export_report_csv(check_history(spark, sf_dir), path)
+    columns = schema(**dict.fromkeys(report.CSV_COLUMNS, TEXT))
+    exported = spark.read.schema(columns).option("header", True).csv(path)
+    return exported.select("check_name", "passed", "records_total", "valid_percentage")
+
+
 @query(f"SELECT round(sum(records_valid) * 100.0 / sum(records_total), 6) AS overall_score FROM ({HISTORY_SQL})")
 def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = report.quality_score(check_history(spark, sf_dir))

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowkit.catalogue.registry import query, table
-from flowkit.functions.schema import INT, LONG, TEXT, schema
+from flowkit.functions.schema import DOUBLE, INT, LONG, SHORT_TEXT, TEXT, TIME, schema
 from flowkit.functions.text import array_literal, is_identifier
 from flowkit.operators import flatten as fl
+from flowkit.plans.staging import scratch_path
 from flowkit.sources import sinks, tables
 
 # Integer dates with months 0 to 12 and days 0 to 31: some are no calendar day.
@@ -41,9 +42,9 @@ SELECT {', '.join(PLAIN)},
       "name" := CASE WHEN length(s) < 30 THEN NULL ELSE s END)) END AS inventor_harmonized,
   list_transform(string_split(text, ', '), lambda s: struct_pack(
       "name" := CASE WHEN length(s) % 4 = 0 THEN NULL ELSE s END)) AS assignee_harmonized,
-  list_transform(string_split(text, ' '), lambda w: struct_pack(
-      "code" := CASE WHEN length(w) % 5 = 0 THEN NULL ELSE concat('L', length(w)) END)) AS cpc,
-  CASE WHEN doc_id % 10 = 5 THEN NULL ELSE string_split(text, ' ') END AS citation
+  list_transform(string_split(text, ', '), lambda s: struct_pack(
+      "code" := CASE WHEN length(s) % 5 = 0 THEN NULL ELSE concat('L', length(s) % 40) END)) AS cpc,
+  CASE WHEN doc_id % 10 = 5 THEN NULL ELSE string_split(text, chr(10)) END AS citation
 FROM documents"""
 
 FLAT_SQL = f"""
@@ -88,7 +89,7 @@ FROM """
 def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested record per document; arrays come from the whole text, so no group has to be collected."""
 
-    def words(separator: str) -> Column:
+    def parts(separator: str) -> Column:
         return F.split("text", separator)
 
     def named(s: Column, missing: Column, field: str) -> Column:
@@ -97,24 +98,24 @@ def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     def language(i: Column) -> Column:
         return F.when((i + doc) % 3 == 2, "en").otherwise("xx")
 
+    def code(s: Column) -> Column:
+        return F.concat(F.lit("L"), (F.length(s) % 40).cast("string"))
+
     doc = F.col("doc_id")
     title_type = "array<struct<text:string,language:string>>"
-    titles = F.transform(words("\n"), lambda s, i: F.struct(s.alias("text"), language(i).alias("language")))
+    titles = F.transform(parts("\n"), lambda s, i: F.struct(s.alias("text"), language(i).alias("language")))
     return table(spark, sf_dir, "documents").select(
         *[F.expr(e) for e in PLAIN],
         F.when(doc % 10 == 7, None)
         .when(doc % 10 == 8, F.array().cast(title_type))
         .otherwise(titles)
         .alias("title_localized"),
-        F.when(doc % 10 != 6, F.transform(words(r"\. "), lambda s: named(s, F.length(s) < 30, "name"))).alias(
+        F.when(doc % 10 != 6, F.transform(parts(r"\. "), lambda s: named(s, F.length(s) < 30, "name"))).alias(
             "inventor_harmonized"
         ),
-        F.transform(words(", "), lambda s: named(s, F.length(s) % 4 == 0, "name")).alias("assignee_harmonized"),
-        F.transform(
-            words(" "),
-            lambda s: named(F.concat(F.lit("L"), F.length(s).cast("string")), F.length(s) % 5 == 0, "code"),
-        ).alias("cpc"),
-        F.when(doc % 10 != 5, words(" ")).alias("citation"),
+        F.transform(parts(", "), lambda s: named(s, F.length(s) % 4 == 0, "name")).alias("assignee_harmonized"),
+        F.transform(parts(", "), lambda s: named(code(s), F.length(s) % 5 == 0, "code")).alias("cpc"),
+        F.when(doc % 10 != 5, parts("\n")).alias("citation"),
     )
 
 
@@ -294,6 +295,19 @@ def conform_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.conform_to_schema(raw, schema(o_orderkey=LONG, customer=INT, note=TEXT))
 
 
+@query("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, c_acctbal AS balance FROM customer")
+def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed table: dropped, created, loaded with a load time, and read back."""
+    columns = schema(id=LONG, name=TEXT, segment=SHORT_TEXT, balance=DOUBLE, loaded_at=TIME)
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id", "c_name AS name", "c_mktsegment AS segment", "c_acctbal AS balance"
+    )
+    sinks.create_table(spark, "loaded_customers", columns, location=scratch_path(spark, "customers"), replace=True)
+    rows = sinks.conform_to_schema(sinks.stamp_loaded_at(customers), columns)
+    sinks.write_table(sinks.prepare_for_load(rows), "loaded_customers")
+    return spark.table("loaded_customers").where("loaded_at IS NOT NULL").drop("loaded_at")
+
+
 @query(
     """SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders
     WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY o_custkey"""

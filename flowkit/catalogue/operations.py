@@ -15,6 +15,7 @@ from flowkit.functions.text import mask_log_text
 from flowkit.operators import batches, health, ledger, masking, metrics, quarantine
 from flowkit.operators.rules import RuleSet, annotate
 from flowkit.plans.skew import attach_by_key
+from flowkit.plans.staging import scratch_path
 
 # --- quarantine: error events are the failing records
 
@@ -46,6 +47,15 @@ def quarantine_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine.stats_by_source(queued(spark, sf_dir))
 
 
+@query(f"SELECT source, CAST(dt AS VARCHAR) AS dt, count(*) AS records FROM ({QUEUED_SQL}) GROUP BY ALL")
+def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written by source and day, and read back."""
+    path = scratch_path(spark, "quarantine")
+    quarantine.write_quarantine(queued(spark, sf_dir), path)
+    stored = quarantine.read_quarantine(spark, path)
+    return stored.groupBy("source", F.col("dt").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("records"))
+
+
 @query(
     f"""SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, error, record FROM ({QUEUED_SQL}) WHERE source = 'load'
     ORDER BY ts DESC, record LIMIT 100"""
@@ -437,8 +447,9 @@ def status_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT c_custkey AS component, round(epoch(TIMESTAMP '2024-01-29 12:00:00') - epoch(max(ts)), 3) AS age_seconds,
-      coalesce(epoch(TIMESTAMP '2024-01-29 12:00:00') - epoch(max(ts)) >= 43200, true) AS is_due
+    """SELECT c_custkey AS component,
+      (epoch_us(TIMESTAMP '2024-01-29 12:00:00') - epoch_us(max(ts))) / 1000000 AS age_seconds,
+      coalesce(epoch_us(TIMESTAMP '2024-01-29 12:00:00') - epoch_us(max(ts)) >= 43200000000, true) AS is_due
     FROM customer LEFT JOIN events ON user_id = c_custkey GROUP BY c_custkey"""
 )
 def due_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -446,7 +457,7 @@ def due_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     components = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("component"))
     results = table(spark, sf_dir, "events").select(F.col("user_id").alias("component"), "ts")
     due = health.due_checks(components, results, F.lit("2024-01-29 12:00:00"), 43200)
-    return due.select("component", F.round("age_seconds", 3).alias("age_seconds"), "is_due")
+    return due.select("component", "age_seconds", "is_due")
 
 
 # --- masking

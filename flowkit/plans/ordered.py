@@ -23,7 +23,7 @@ from flowkit.functions.columns import col, present
 from flowkit.plans.staging import stage
 
 BUCKET = "__bucket"
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 10_000_000
 
 
 def bucket_count(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
