@@ -62,6 +62,10 @@ def test_one_pass_over_the_table(spark, small_dir):
     assert "Python" not in plan(annotated)
 
 
+def test_python_rule_runs_once(spark, small_dir):
+    assert plan(QUERIES["custom_rules"](spark, small_dir)).count("ArrowEvalPython") == 1
+
+
 def test_first_per_key_is_limited_before_the_shuffle(spark, small_dir):
     lines = table(spark, small_dir, "lineitem")
     text = plan(clean.keep_first(lines, ["l_partkey"], ["l_orderkey", "l_linenumber"]))
