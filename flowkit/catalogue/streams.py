@@ -16,7 +16,7 @@ from flowkit.plans.jobs import migrate
 from flowkit.plans.staging import scratch_path
 from flowkit.sources.tables import read_stream
 from flowkit.streaming.circuit import circuit_states as step_circuits
-from flowkit.streaming.events import deduplicate_stream, window_progress
+from flowkit.streaming.events import deduplicate_stream, latest_updates, window_progress, write_updates
 from flowkit.streaming.load import StreamLoad, ledger_batches, read_ledger, read_loaded
 
 FILES_PER_BATCH = 64
@@ -103,26 +103,47 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events GROUP BY 1, 2"""
 )
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly progress and status, in complete mode so that the last windows are there too."""
+    """Hourly progress and status; the last update of each window."""
     windows = window_progress(
         event_stream(spark, sf_dir), F.col("value") > 60, keys=["event_type"], max_failed=1, delay="90 days"
     )
     path = scratch_path(spark, "windows")
-
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    writer = windows.writeStream.foreachBatch(replace).option("checkpointLocation", scratch_path(spark, "state"))
-    writer.outputMode("complete").trigger(availableNow=True).start().awaitTermination()
+    write_updates(windows, path, scratch_path(spark, "state")).awaitTermination()
     hour = F.date_format("window_start", "yyyy-MM-dd HH:mm")
     speed = F.round("rows_per_second", 8)
-    result = spark.read.schema(windows.schema).parquet(path)
+    result = latest_updates(spark, path, windows.schema, ["window_start", "event_type"])
     return result.select(
         hour.alias("hour"), "event_type", "rows", "failed_rows", speed.alias("rows_per_second"), "status"
     )
 
 
-@query()
+# One step of every user's circuit at a time: two failures open it, six hours later a trial starts.
+CIRCUIT_SQL = """
+WITH RECURSIVE outcomes AS (
+  SELECT user_id, event_id, epoch_us(ts) AS stamp, event_type <> 'error' AS ok,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+steps AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS BOOLEAN) AS ok,
+    '' AS state_before, 'closed' AS state_after, '' AS outcome, 0 AS failures, 0 AS successes,
+    CAST(NULL AS BIGINT) AS last_failure FROM events
+  UNION ALL
+  SELECT user_id, n, event_id, ok, state_before,
+    CASE WHEN now = 'open' THEN 'open' WHEN ok AND now = 'half_open' AND successes = 0 THEN 'half_open'
+      WHEN ok THEN 'closed' WHEN now = 'half_open' OR failures + 1 >= 2 THEN 'open' ELSE 'closed' END,
+    CASE WHEN now = 'open' THEN 'rejected' ELSE 'applied' END,
+    CASE WHEN now = 'open' THEN failures WHEN ok THEN 0 ELSE failures + 1 END,
+    CASE WHEN now = 'half_open' AND ok THEN 1 - successes ELSE successes END,
+    CASE WHEN now <> 'open' AND NOT ok THEN stamp ELSE last_failure END
+  FROM (SELECT * REPLACE (CASE WHEN trial THEN 0 ELSE failures END AS failures,
+      CASE WHEN trial THEN 0 ELSE successes END AS successes),
+      CASE WHEN trial THEN 'half_open' ELSE state_before END AS now
+    FROM (SELECT o.*, s.state_after AS state_before, s.failures, s.successes, s.last_failure,
+        s.state_after = 'open' AND o.stamp - s.last_failure >= 21600000000 AS trial
+      FROM steps s JOIN outcomes o ON o.user_id = s.user_id AND o.n = s.n + 1)))
+SELECT user_id, event_id, ok, state_before, state_after, outcome FROM steps WHERE n > 0"""
+
+
+@query(CIRCUIT_SQL)
 def circuit_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Circuit state of each user's event stream; an error event is a failed call."""
     outcomes = event_stream(spark, sf_dir).withColumn("ok", F.col("event_type") != "error")

@@ -46,8 +46,16 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 def deduplicate_rows(
     df: DataFrame, order: Sequence[str], ignored: Iterable[str] = IGNORED_IN_KEYS
 ) -> DataFrame:
-    """Keep the first row in `order` among rows that agree in all columns but the ignored ones."""
-    return keep_first(df, [c for c in df.columns if c not in set(ignored)], order)
+    """Keep the first row in `order` among rows that agree in all columns but the ignored ones.
+
+    A hash of the text columns goes before the columns themselves, so that sorting seldom compares long texts.
+    """
+    keys = [c for c in df.columns if c not in set(ignored)]
+    texts = [c for c in keys if df.schema[c].dataType == T.StringType()]
+    if not texts:
+        return keep_first(df, keys, order)
+    hashed = df.withColumn("__hash", F.xxhash64(*[col(c) for c in texts]))
+    return keep_first(hashed, ["__hash", *keys], order).drop("__hash")
 
 
 def null_counts(df: DataFrame) -> DataFrame:

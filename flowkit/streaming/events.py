@@ -1,11 +1,14 @@
-"""Event-time operators on streams: keyed dedupe and windowed progress and health."""
+"""Event-time operators on streams: keyed dedupe, windowed progress and health, and a sink for updated results."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
 
 from flowkit.functions.columns import col
 from flowkit.operators.health import pipeline_status
@@ -61,3 +64,24 @@ def window_progress(
         throughput(F.col("rows"), seconds).alias("rows_per_second"),
         pipeline_status(F.col("failed_rows"), F.lit(0), max_failed).alias("status"),
     )
+
+
+def write_updates(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the changed rows of a windowed aggregate, one directory per micro-batch; a repeated batch replaces its own.
+
+    Only changed windows are written and windows behind the watermark leave the state; `latest_updates` reads the
+    result.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/update={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.outputMode("update").trigger(availableNow=True).start()
+
+
+def latest_updates(spark: SparkSession, path: str, fields: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """The last written row per key."""
+    updates = spark.read.schema(T.StructType([*fields, T.StructField("update", T.LongType())])).parquet(path)
+    newest = F.max_by(F.struct(*[col(f.name) for f in fields]), F.col("update"))
+    return updates.groupBy(*[col(k) for k in keys]).agg(newest.alias("__newest")).select("__newest.*")

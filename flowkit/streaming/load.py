@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from flowkit.functions.schema import DOUBLE, LONG, TEXT, schema
 from flowkit.functions.text import require_identifier
 from flowkit.operators import ledger as run_ledger
 from flowkit.operators.quarantine import enqueue, violations_text
@@ -98,15 +99,25 @@ class StreamLoad:
         self.start(stream).awaitTermination()
 
 
-def read_loaded(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_loaded(spark: SparkSession, path: str, fields: T.StructType) -> DataFrame:
     """The rows of a target or quarantine written by a load, without the run columns."""
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return spark.read.schema(fields).parquet(path).select(*fields.names)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return read_loaded(spark, path, run_ledger.LEDGER_SCHEMA)
 
 
+def query_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """The recent micro-batches of a running or finished query `(batch_id, ts, input_rows, rows_per_second, seconds)`."""
+    fields = schema(batch_id=LONG, ts=TEXT, input_rows=LONG, rows_per_second=DOUBLE, seconds=DOUBLE)
+    batches = [
+        (p.batchId, p.timestamp, p.numInputRows, p.processedRowsPerSecond, p.batchDuration / 1000)
+        for p in query.recentProgress
+    ]
+    return spark.createDataFrame(batches, fields).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def ledger_batches(ledger: DataFrame) -> DataFrame:
     """The recorded batches `(pipeline, batch_id, rows_loaded, rows_failed, error)` of a load's ledger."""
     data = F.from_json("data", "batch_id BIGINT, rows_loaded BIGINT, rows_failed BIGINT, error STRING")

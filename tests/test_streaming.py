@@ -7,8 +7,8 @@ from flowkit.functions.schema import TEXT, schema
 from flowkit.operators.rules import RuleSet
 from flowkit.sources.tables import read_stream
 from flowkit.streaming.circuit import Circuit, circuit_states
-from flowkit.streaming.events import deduplicate_stream, window_progress
-from flowkit.streaming.load import StreamLoad, ledger_batches, read_ledger, read_loaded
+from flowkit.streaming.events import deduplicate_stream, latest_updates, window_progress, write_updates
+from flowkit.streaming.load import StreamLoad, ledger_batches, query_progress, read_ledger, read_loaded
 
 
 @pytest.fixture
@@ -135,6 +135,13 @@ def test_windows_equal_the_batch_form(spark, event_files, tmp_path):
     batch = sorted(tuple(r) for r in windows(events).collect())
     stream = windows(read_stream(spark, source, events.schema, max_files=3))
     assert sorted(sink(spark, stream, tmp_path, "complete")) == batch
+    where, state = str(tmp_path / "updates"), str(tmp_path / "updates-state")
+    query = write_updates(stream, where, state)
+    query.awaitTermination()
+    latest = latest_updates(spark, where, stream.schema, ["window_start", "event_type"])
+    assert sorted(tuple(r) for r in latest.collect()) == batch
+    progress = query_progress(spark, query)
+    assert progress.agg(F.sum("input_rows")).first()[0] == events.count() and progress.count() >= 6
 
 
 def test_circuit_opens_tries_and_closes():
