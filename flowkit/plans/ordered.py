@@ -24,12 +24,14 @@ from flowkit.plans.staging import stage
 
 BUCKET = "__bucket"
 ROWS_PER_BUCKET = 10_000_000
+ROWS_WORTH_A_BUCKET = 1_000
 
 
 def bucket_count(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Enough buckets for the row count, at least one per shuffle partition (runs a count)."""
+    """Enough buckets for the row count; one per shuffle partition unless the frame is small (runs a count)."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(partitions, math.ceil(df.count() / rows_per_bucket))
+    rows = df.count()
+    return max(1, min(partitions, rows // ROWS_WORTH_A_BUCKET), math.ceil(rows / rows_per_bucket))
 
 
 def stage_in_order(

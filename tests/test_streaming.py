@@ -1,6 +1,9 @@
 import datetime as dt
+import subprocess
+import sys
 
 import pytest
+from pyspark.serializers import CloudPickleSerializer
 from pyspark.sql import functions as F
 
 from flowkit.functions.schema import TEXT, schema
@@ -201,3 +204,10 @@ def test_circuit_forgets_idle_keys(spark, tmp_path):
         query = states.writeStream.foreachBatch(lambda b, _: out.extend(b.collect()))
         query.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
     assert {r["tie_break"]: r["state_after"] for r in out}[4] == "closed"
+
+
+def test_code_for_executors_needs_no_copy_of_the_package(tmp_path):
+    sent = tmp_path / "sent"
+    sent.write_bytes(CloudPickleSerializer().dumps(Circuit))
+    check = "import pickle; c = pickle.load(open('sent', 'rb'))(1, 60); c.apply(5, False); assert c.state == 'open'"
+    subprocess.run([sys.executable, "-c", check], cwd=tmp_path, env={"PATH": ""}, check=True)
