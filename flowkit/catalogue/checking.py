@@ -73,8 +73,8 @@ PATTERNS = {"c_name": r"Customer#0{5}\d+", "c_mktsegment": "[A-H]", "c_nationkey
 
 @query(
     " UNION ALL ".join(
-        _issue_sql("string_patterns", c, "pattern_mismatch", f"NOT regexp_matches({c}::VARCHAR, '^(?:{p})')", "info", "customer")
-        for c, p in PATTERNS.items()
+        _issue_sql("string_patterns", c, "pattern_mismatch", bad, "info", "customer")
+        for c, bad in ((c, f"NOT regexp_matches({c}::VARCHAR, '^(?:{p})')") for c, p in PATTERNS.items())
     )
 )
 def check_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,7 +324,8 @@ def quality_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT check_name, CAST(records_invalid = 0 AS VARCHAR) AS passed, CAST(records_total AS VARCHAR) AS records_total,
+    f"""SELECT check_name, CAST(records_invalid = 0 AS VARCHAR) AS passed,
+      CAST(records_total AS VARCHAR) AS records_total,
       format('{{:.2f}}%', records_valid * 100.0 / records_total) AS valid_percentage FROM ({HISTORY_SQL})"""
 )
 def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,7 +345,8 @@ def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REPORT_SQL = """round(sum(records_valid) * 100.0 / sum(records_total), 6) AS overall_score, count(*) AS total_checks,
   count(*) FILTER (records_invalid = 0) AS passed_checks, count(*) FILTER (records_invalid > 0) AS failed_checks,
-  CAST(sum(records_total) AS BIGINT) AS total_records_checked, CAST(sum(records_valid) AS BIGINT) AS total_valid_records,
+  CAST(sum(records_total) AS BIGINT) AS total_records_checked,
+  CAST(sum(records_valid) AS BIGINT) AS total_valid_records,
   CAST(sum(records_invalid) AS BIGINT) AS total_invalid_records"""
 
 

@@ -99,7 +99,10 @@ def cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 PADDED = "concat(CASE WHEN doc_id % 2 = 0 THEN chr(9) ELSE chr(160) END, text, chr(10), '  ')"
 
 
-@query(f"SELECT doc_id, md5(lower({STRIP_SQL % PADDED})) AS digest, length({STRIP_SQL % PADDED}) AS chars FROM documents")
+@query(
+    "SELECT doc_id, md5(lower(text)) AS digest, length(text) AS chars "
+    f"FROM (SELECT doc_id, {STRIP_SQL % PADDED} AS text FROM documents)"
+)
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = F.concat(
         F.when(F.col("doc_id") % 2 == 0, "\t").otherwise(" "), F.col("text"), F.lit("\n"), F.lit("  ")
@@ -123,7 +126,8 @@ def standardize_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 3, F.lit("not a date"))
         .otherwise(F.lit(""))
     )
-    raw = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("Order_Date"), F.col("o_orderstatus").alias("status"))
+    status = F.col("o_orderstatus").alias("status")
+    raw = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("Order_Date"), status)
     parsed = cl.standardize_dates(raw)
     shown = F.date_format("Order_Date", "yyyy-MM-dd HH:mm:ss")
     return parsed.select("o_orderkey", shown.alias("order_date"), "status")
@@ -175,7 +179,8 @@ COPIES_SQL = f"SELECT {', '.join(COPIES)} FROM orders"
 @query(
     f"""WITH raw AS ({COPIES_SQL}), kept AS (SELECT DISTINCT * FROM raw),
     totals AS (SELECT (SELECT count(*) FROM raw) AS rows_in, (SELECT count(*) FROM kept) AS rows_out),
-    counts AS (SELECT 'status' AS "column", count(*) FILTER (status IS NULL) AS null_count, 'empty' AS strategy FROM kept
+    counts AS (
+      SELECT 'status' AS "column", count(*) FILTER (status IS NULL) AS null_count, 'empty' AS strategy FROM kept
       UNION ALL SELECT 'priority', count(*) FILTER (priority IS NULL), 'none' FROM kept
       UNION ALL SELECT 'band', count(*) FILTER (band IS NULL), 'median' FROM kept)
     SELECT rows_in, rows_out, rows_in - rows_out AS duplicates_removed, counts.* FROM totals, counts"""

@@ -323,7 +323,9 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     "UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier"
 )
 def append_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey AS key", "c_name AS name", "c_mktsegment AS segment")
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS key", "c_name AS name", "c_mktsegment AS segment"
+    )
     suppliers = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS key", "s_name AS name")
     return sinks.append_frames(customers, suppliers)
 

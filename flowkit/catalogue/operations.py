@@ -123,7 +123,10 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"SELECT * FROM ({LEDGER_SQL}) QUALIFY row_number() OVER (PARTITION BY pipeline ORDER BY id DESC, data DESC) = 1")
+@query(
+    f"SELECT * FROM ({LEDGER_SQL}) "
+    "QUALIFY row_number() OVER (PARTITION BY pipeline ORDER BY id DESC, data DESC) = 1"
+)
 def ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.latest(runs(spark, sf_dir)).drop("timestamp")
 

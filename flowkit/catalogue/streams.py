@@ -149,9 +149,8 @@ def circuit_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = event_stream(spark, sf_dir).withColumn("ok", F.col("event_type") != "error")
     states = step_circuits(outcomes, "user_id", "ok", threshold=2, recovery_seconds=6 * 3600)
     stepped = _collected(spark, states, "circuits")
-    return stepped.select(
-        F.col("key").alias("user_id"), F.col("tie_break").alias("event_id"), "ok", "state_before", "state_after", "outcome"
-    )
+    named = stepped.withColumnsRenamed({"key": "user_id", "tie_break": "event_id"})
+    return named.select("user_id", "event_id", "ok", "state_before", "state_after", "outcome")
 
 
 @query(

@@ -158,9 +158,9 @@ def migrate(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # Both partition values are given, so only this batch's partition is replaced.
+        partition = f"load_run = '{run}', batch_id = {batch_id}"
         batch.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (load_run = '{run}', batch_id = {batch_id}) SELECT * FROM {{rows}}",
-            rows=batch,
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT * FROM {{rows}}", rows=batch
         )
 
     stream = select_rows(read_stream(spark, source, frame.schema, max_files, pattern=pattern), where)

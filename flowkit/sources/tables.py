@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowkit.functions.columns import col
+from flowkit.functions.text import require_identifier
 from flowkit.plans.ordered import with_row_index
 
 # Price of a scanned TiB, largest run, preview size.
@@ -56,6 +57,20 @@ def resolve_table_name(project: str, dataset: str, table: str) -> str:
     return f"{dataset}.{table}" if "." in dataset else f"{project}.{dataset}.{table}"
 
 
+def read_source(
+    spark: SparkSession,
+    project: str,
+    dataset: str,
+    table: str,
+    where: str | None = None,
+    limit: int | None = None,
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """Rows of a catalog table that fulfil a predicate, at most `limit` of them in `order`."""
+    name = require_identifier(resolve_table_name(project, dataset, table))
+    return select_rows(spark.table(name), where, limit, order)
+
+
 def select_rows(
     df: DataFrame, where: str | None = None, limit: int | None = None, order: Sequence[str] = ()
 ) -> DataFrame:

@@ -104,7 +104,8 @@ def circuit_states(
             (circuit.state, circuit.failures, circuit.successes, circuit.last_failure, circuit.last_seen)
         )
         if idle_seconds is not None:
-            saved.setTimeoutTimestamp(max(circuit.last_seen // 1000, saved.getCurrentWatermarkMs()) + idle_seconds * 1000)
+            latest = max(circuit.last_seen // 1000, saved.getCurrentWatermarkMs())
+            saved.setTimeoutTimestamp(latest + idle_seconds * 1000)
         yield pd.DataFrame(rows, columns=["key", "ts", "tie_break", "ok", "state_before", "state_after", "outcome"])
 
     shaped = stream.select(

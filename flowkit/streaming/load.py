@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -18,8 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 from flowkit.functions.schema import DOUBLE, LONG, TEXT, schema
 from flowkit.functions.text import require_identifier
 from flowkit.operators import ledger as run_ledger
+from flowkit.operators.metrics import progress_percent
 from flowkit.operators.quarantine import enqueue, violations_text
 from flowkit.operators.rules import RuleSet, annotate, split
+from flowkit.plans.ordered import running_sums
 
 RUN_COLUMNS = ("load_run", "batch_id")
 
@@ -109,7 +111,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def query_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The recent micro-batches of a running or finished query `(batch_id, ts, input_rows, rows_per_second, seconds)`."""
+    """The recent micro-batches of a query: `(batch_id, ts, input_rows, rows_per_second, seconds)`."""
     fields = schema(batch_id=LONG, ts=TEXT, input_rows=LONG, rows_per_second=DOUBLE, seconds=DOUBLE)
     batches = [
         (p.batchId, p.timestamp, p.numInputRows, p.processedRowsPerSecond, p.batchDuration / 1000)
@@ -122,3 +124,11 @@ def ledger_batches(ledger: DataFrame) -> DataFrame:
     """The recorded batches `(pipeline, batch_id, rows_loaded, rows_failed, error)` of a load's ledger."""
     data = F.from_json("data", "batch_id BIGINT, rows_loaded BIGINT, rows_failed BIGINT, error STRING")
     return ledger.select("pipeline", data.alias("data")).select("pipeline", "data.*")
+
+
+def load_progress(ledger: DataFrame, total_rows: Column) -> DataFrame:
+    """Running totals and progress after each recorded batch of a load of `total_rows` rows."""
+    loaded, failed = F.col("rows_loaded"), F.col("rows_failed")
+    sums = {"loaded_so_far": loaded, "failed_so_far": failed, "extracted_so_far": loaded + failed}
+    running = running_sums(ledger_batches(ledger), sums, ["batch_id"], ["pipeline"])
+    return running.withColumn("progress", progress_percent(F.col("extracted_so_far"), total_rows))

@@ -86,6 +86,8 @@ def test_tables(spark):
     assert spark.table(name).count() == 2
     sinks.create_table(spark, name, columns)
     assert spark.table(name).count() == 2
+    assert tables.read_source(spark, "spark_catalog", "default", name, "id = 1").count() == 2
+    assert tables.read_source(spark, "ignored", "spark_catalog.default", name, limit=1, order=["id"]).count() == 1
     sinks.create_table(spark, name, columns, replace=True)
     assert spark.table(name).count() == 0
     sinks.drop_table(spark, name)

@@ -11,7 +11,7 @@ from flowkit.operators.rules import RuleSet
 from flowkit.sources.tables import read_stream
 from flowkit.streaming.circuit import Circuit, circuit_states
 from flowkit.streaming.events import deduplicate_stream, latest_updates, window_progress, write_updates
-from flowkit.streaming.load import StreamLoad, ledger_batches, query_progress, read_ledger, read_loaded
+from flowkit.streaming.load import StreamLoad, ledger_batches, load_progress, query_progress, read_ledger, read_loaded
 
 
 @pytest.fixture
@@ -66,6 +66,9 @@ def test_load_resumes_without_loss_or_duplicates(spark, event_files, tmp_path):
     batches = ledger_batches(read_ledger(spark, where["ledger"])).collect()
     assert sorted(b["batch_id"] for b in batches) == [0, 1, 2, 3]
     assert sum(b["rows_loaded"] for b in batches) == events.count()
+    progress = load_progress(read_ledger(spark, where["ledger"]), F.lit(events.count())).orderBy("batch_id").collect()
+    assert [p["progress"] for p in progress] == sorted(p["progress"] for p in progress)
+    assert (progress[-1]["progress"], progress[-1]["extracted_so_far"]) == (100, events.count())
     events.limit(3).write.mode("append").parquet(source)
     StreamLoad(**where).run_to_end(read_stream(spark, source, events.schema, max_files=4))
     assert read_loaded(spark, where["target"], events.schema).count() == events.count() + 3
