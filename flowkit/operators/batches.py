@@ -45,7 +45,8 @@ def process_batches(
     """Run `process` on each batch as a pandas frame: `(batch_id, success, data, error, duration_ms)`.
 
     A batch that raises gives a row with its error and leaves the others alone.  A batch is held in memory by one
-    task, so bound its size with `with_batch_id`.
+    task, so bound its size with `with_batch_id`.  Batches go to a fixed number of tasks, since Spark would merge
+    tasks by their bytes, which say nothing about the work of a Python function.
     """
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -60,7 +61,8 @@ def process_batches(
         return pd.DataFrame([row])
 
     schema = f"batch_id BIGINT, success BOOLEAN, data {data_type}, error STRING, duration_ms DOUBLE"
-    return df.groupBy(col(batch)).applyInPandas(run, schema)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, col(batch)).groupBy(col(batch)).applyInPandas(run, schema)
 
 
 def process_items(
