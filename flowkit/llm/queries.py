@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowkit.llm.ann import nearest
+from flowkit.llm.language import identify, learn, remainder
 from flowkit.llm.mixing import mix
 from flowkit.llm.registry import QUERIES, SQL, query, table
 
@@ -68,3 +69,12 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """)
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs.where(remainder(F.col("doc_id")) != 2))
+    held_out = F.coalesce(remainder(F.col("doc_id")) == 2, F.lit(False))
+    found = identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
