@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 
 BLOCK_BYTES = 4 << 20
+BLOCK_ROWS = 4_096
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -46,11 +47,11 @@ def powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def blocks(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts with about `limit` bytes each; a longer text is a block of its own."""
+def blocks(texts: list[bytes], limit: int = BLOCK_BYTES, rows: int = BLOCK_ROWS) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts, at most `rows` and about `limit` bytes; a longer text is a block of its own."""
     start = size = 0
     for i, text in enumerate(texts):
-        if i > start and size + len(text) > limit:
+        if i > start and (size + len(text) > limit or i - start >= rows):
             yield start, i
             start, size = i, 0
         size += len(text) + 1
@@ -82,8 +83,8 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.
         return mix(sums + lengths.astype(np.uint64)), counts, lengths
 
 
-def shingles(texts: list[bytes], size: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles of each text: (text index, 64-bit hash), sorted by both.
+def shingles(texts: list[bytes], size: int = 5, distinct: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each text: (text index, 64-bit hash), sorted by both; all in order, if not `distinct`.
 
     A text with fewer words than `size` has its whole word sequence as one shingle; without words it has none.
     """
@@ -102,6 +103,8 @@ def shingles(texts: list[bytes], size: int = 5) -> tuple[np.ndarray, np.ndarray]
             at = np.minimum(begin + k, len(words) - 1)
             sums += np.where(k < width, mix(words[at] * factors[k]), np.uint64(0))
         hashes = mix(sums)
+    if not distinct:
+        return owner, hashes
     order = np.lexsort((hashes, owner))
     owner, hashes = owner[order], hashes[order]
     keep = np.ones(len(owner), dtype=bool)

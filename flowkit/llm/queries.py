@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowkit.llm.ann import nearest
+from flowkit.llm.fingerprints import compare_edited
 from flowkit.llm.language import identify, learn, remainder
 from flowkit.llm.mixing import mix
 from flowkit.llm.registry import QUERIES, SQL, query, table
@@ -78,3 +79,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder(F.col("doc_id")) == 2, F.lit(False))
     found = identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edited(table(spark, sf_dir, "documents"))
