@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 FIT_ROWS = 2_000
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 4_096
-BOUND = 3.5
+QUERY_STEP = 128
+PAIRS = 1 << 16
+BOUND = 2.5
 SEED = 5
 _RANKED = "query_id long, vec_id long, score double"
 
@@ -149,11 +151,19 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         points = np.frombuffer(b"".join(asked["query"]), dtype=float).reshape(-1, dimension)
         names, least = asked["query_id"].to_numpy(), asked["least"].to_numpy()
         found = []
-        for at in range(0, len(points), 256):
-            own, floor_ = names[at : at + 256], least[at : at + 256]
-            reach = bounds(points[at : at + 256], codes, norms, fits, centre, turn)
-            q, v = np.nonzero((reach >= floor_[:, None]) & (own[:, None] != ids[None, :]))
-            scores = inner(points[at + q], vectors[v])
+        for at in range(0, len(points), QUERY_STEP):
+            own, part = names[at : at + QUERY_STEP], points[at : at + QUERY_STEP]
+            reach = bounds(part, codes, norms, fits, centre, turn)
+            reach[own[:, None] == ids[None, :]] = -np.inf
+            likely = np.argpartition(-reach, min(2 * k, len(ids)) - 1, axis=1)[:, : 2 * k]
+            floors = least[at : at + QUERY_STEP]
+            if len(ids) > k:
+                seen = np.einsum("qd,qkd->qk", part, vectors[likely])
+                seen[np.take_along_axis(reach, likely, axis=1) == -np.inf] = -np.inf
+                kth = np.partition(seen, -k, axis=1)[:, -k]
+                floors = np.maximum(floors, kth - 1e-9 * (1 + np.abs(kth)))
+            q, v = np.nonzero((reach >= floors[:, None]) & (reach > -np.inf))
+            scores = np.concatenate([inner(part[q[i : i + PAIRS]], vectors[v[i : i + PAIRS]]) for i in range(0, len(q), PAIRS)] or [np.empty(0)])
             top = best(q, ids[v], scores, k)
             found.append((own[q[top]], ids[v[top]], scores[top]))
         query_id, vec_id, score = (np.concatenate(x) for x in zip(*found, strict=True))
