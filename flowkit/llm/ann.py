@@ -21,7 +21,7 @@ BLOCK_ROWS = 8_192
 QUERY_ROWS = 4_096
 QUERY_STEP = 128
 PAIRS = 1 << 16
-BOUND = 2.5
+BOUND = 3.5
 SEED = 5
 _RANKED = "query_id long, vec_id long, score double"
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowkit.llm import quality
 from flowkit.llm.ann import nearest
 from flowkit.llm.fingerprints import compare_edited
 from flowkit.llm.language import identify, learn, remainder
@@ -84,3 +85,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.learn(docs.select("doc_id", "text"), labels.where(remainder(F.col("doc_id")) != 2))
+    held_out = F.coalesce(remainder(F.col("doc_id")) == 2, F.lit(False))
+    found = quality.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "score", "predicted")
