@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowkit.llm import quality
 from flowkit.llm.ann import nearest
+from flowkit.llm.bpe import decode, encode
 from flowkit.llm.fingerprints import compare_edited
 from flowkit.llm.language import identify, learn, remainder
 from flowkit.llm.mixing import mix
@@ -14,6 +16,8 @@ from flowkit.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 WORDS_SQL = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 
@@ -94,3 +98,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder(F.col("doc_id")) == 2, F.lit(False))
     found = quality.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
     return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY)
+    digests = encoded.select(
+        "doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256")
+    )
+    decoded_sha256 = F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    return decode(digests, VOCABULARY).select("doc_id", "n_tokens", "ids_sha256", decoded_sha256)
