@@ -52,12 +52,13 @@ def bounds(
     """Upper bound of the inner product of each query with each coded vector."""
     dimension = queries.shape[1]
     signs = np.unpackbits(codes, axis=1, count=dimension).astype(np.float32) * 2 - 1
-    cosines = (queries @ turn).astype(np.float32) @ signs.T / np.float32(np.sqrt(dimension))
+    cosines = (queries @ turn).astype(np.float32) @ signs.T
     spread = np.sqrt(np.maximum(0, 1 - fits**2)) * BOUND / np.sqrt(max(1, dimension - 1))
-    lengths = np.linalg.norm(queries, axis=1)
-    estimate = cosines * (norms / fits)[None, :]
-    slack = lengths[:, None] * ((spread / fits + 1e-5) * norms)[None, :] + 1e-9
-    return (queries @ centre)[:, None] + estimate + slack
+    lengths = np.linalg.norm(queries, axis=1).astype(np.float32)
+    cosines *= (norms / fits / np.sqrt(dimension)).astype(np.float32)
+    cosines += lengths[:, None] * ((spread / fits + 1e-5) * norms).astype(np.float32)
+    cosines += (queries @ centre + 1e-6 * lengths).astype(np.float32)[:, None]
+    return cosines
 
 
 def inner(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -155,14 +156,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
             own, part = names[at : at + QUERY_STEP], points[at : at + QUERY_STEP]
             reach = bounds(part, codes, norms, fits, centre, turn)
             reach[own[:, None] == ids[None, :]] = -np.inf
-            likely = np.argpartition(-reach, min(2 * k, len(ids)) - 1, axis=1)[:, : 2 * k]
-            floors = least[at : at + QUERY_STEP]
-            if len(ids) > k:
-                seen = np.einsum("qd,qkd->qk", part, vectors[likely])
-                seen[np.take_along_axis(reach, likely, axis=1) == -np.inf] = -np.inf
-                kth = np.partition(seen, -k, axis=1)[:, -k]
-                floors = np.maximum(floors, kth - 1e-9 * (1 + np.abs(kth)))
-            q, v = np.nonzero((reach >= floors[:, None]) & (reach > -np.inf))
+            missed = reach < least[at : at + QUERY_STEP, None]
+            chosen = np.flatnonzero(~missed.all(axis=0))
+            near = part @ vectors[chosen].T
+            near[missed[:, chosen]] = -np.inf
+            floors = np.full(len(own), -np.inf)
+            if len(chosen) > k:
+                kth = np.partition(near, -k, axis=1)[:, -k]
+                floors = kth - 1e-9 * (1 + np.abs(np.where(np.isfinite(kth), kth, 0)))
+            q, v = np.nonzero((near >= floors[:, None]) & (near > -np.inf))
+            v = chosen[v]
             scores = np.concatenate([inner(part[q[i : i + PAIRS]], vectors[v[i : i + PAIRS]]) for i in range(0, len(q), PAIRS)] or [np.empty(0)])
             top = best(q, ids[v], scores, k)
             found.append((own[q[top]], ids[v[top]], scores[top]))
