@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowkit.llm import quality
+from flowkit.llm import extraction, quality
 from flowkit.llm.ann import nearest
 from flowkit.llm.bpe import decode, encode
 from flowkit.llm.fingerprints import compare_edited
@@ -108,3 +108,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     decoded_sha256 = F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
     return decode(digests, VOCABULARY).select("doc_id", "n_tokens", "ids_sha256", decoded_sha256)
+
+
+@query()
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = extraction.extract(pages.select("page_id", "url", "html"), extraction.learn(pages))
+    return found.select("page_id", "url", "text", "n_chars")
