@@ -13,6 +13,7 @@ from flowkit.llm.fingerprints import compare_edited
 from flowkit.llm.language import identify, learn, remainder
 from flowkit.llm.mixing import mix
 from flowkit.llm.registry import QUERIES, SQL, query, table
+from flowkit.llm.suffixes import deduplicate
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -115,3 +116,9 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     found = extraction.extract(pages.select("page_id", "url", "html"), extraction.learn(pages))
     return found.select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
