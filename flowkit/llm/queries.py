@@ -10,6 +10,7 @@ from flowkit.llm import extraction, quality
 from flowkit.llm.ann import nearest
 from flowkit.llm.bpe import decode, encode
 from flowkit.llm.fingerprints import compare_edited
+from flowkit.llm.jaccard import components
 from flowkit.llm.language import identify, learn, remainder
 from flowkit.llm.mixing import mix
 from flowkit.llm.registry import QUERIES, SQL, query, table
@@ -122,3 +123,24 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = deduplicate(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, {WORDS_SQL.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)),
+         lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM worded),
+each AS (SELECT doc_id, len(s) AS n, unnest(s) AS h FROM sets),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM each x JOIN each y ON x.h = y.h AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, least(sets.doc_id, coalesce(min(b), sets.doc_id)) AS component_id
+FROM sets LEFT JOIN reach ON reach.a = sets.doc_id GROUP BY sets.doc_id, s
+""")
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return components(table(spark, sf_dir, "documents"))

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowkit.llm.documents import one_per_id
+from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts
 from flowkit.llm.hashing import BYTE_VALUES, POWER, mix, powers
 from flowkit.plans.staging import stage
 
@@ -30,7 +30,6 @@ TOKEN = 50
 SEGMENT = 4 << 20
 CHUNK_BYTES = 16 << 20
 SAMPLE_PER_BUCKET = 64
-LEAST_ID = -(1 << 63)
 _FIELDS = (np.uint64, np.uint64, np.int64, np.uint32, np.uint32)
 _FOUND = "doc long, start int, n int, whole boolean"
 
@@ -234,19 +233,6 @@ def _settled(entries: DataFrame) -> DataFrame:
     return entries.groupBy("bucket").applyInArrow(run, _FOUND)
 
 
-def _packed_texts(docs: DataFrame) -> DataFrame:
-    """Documents as (doc, doc_id, packed text), so that less is moved."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            ids = batch.column("doc_id")
-            packed = pa.array([press.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([ids.fill_null(LEAST_ID), ids, packed], names=["doc", "doc_id", "packed"])
-
-    return docs.mapInArrow(run, "doc long, doc_id long, packed binary")
-
-
 def _suffixes(texts: DataFrame, open_: DataFrame) -> DataFrame:
     """The leading tokens of each open suffix: first, second, doc, at."""
     runs = open_.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
@@ -383,7 +369,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     done = found.where("whole").select("doc", "start", "n")
     if not rows:
         return done
-    texts = _packed_texts(docs)
+    texts = packed_texts(docs)
     share = int(min(1.0, SAMPLE_PER_BUCKET * buckets / rows * 4) * (1 << 20)) + 1
     few = F.pmod(F.xxhash64("doc", "start"), F.lit(1 << 20)) < share
     drawn = _suffixes(texts, open_.where(few))
@@ -400,7 +386,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """
     docs = one_per_id(docs)
     runs = repeated_runs(docs).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    joined = _packed_texts(docs).join(runs, "doc", "left").select("doc_id", "packed", "runs")
+    joined = packed_texts(docs).join(runs, "doc", "left").select("doc_id", "packed", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
