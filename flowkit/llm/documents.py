@@ -9,9 +9,23 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowkit.plans.staging import stage
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LEAST_ID = -(1 << 63)
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """`df` staged, with the shuffle files behind it removed once it is written (nothing reads `df` again)."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return stage(df, label)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def one_per_id(docs: DataFrame) -> DataFrame:
     """`doc_id` (long) and `text` (null as empty), one row per id: of rows that share an id, the smallest text counts.
 

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BLOCK_ROWS = 4_096
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 

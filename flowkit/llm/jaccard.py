@@ -22,9 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts
+from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts, settled
 from flowkit.llm.hashing import blocks, mix, shingles
-from flowkit.plans.staging import stage
 
 PERCENT = 75
 SHINGLE = 5
@@ -182,21 +181,21 @@ def connect(labels: DataFrame, edges: DataFrame) -> DataFrame:
     Components take the least label of their neighbours and then the label of their label, until nothing changes.
     (Runs a few jobs a round; the rounds grow with the logarithm of the longest chain of links.)
     """
-    both = stage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    seen = stage(both.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(), "labels")
+    both = settled(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    seen = settled(both.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(), "labels")
     while True:
         of = seen.select(F.col("node").alias("b"), F.col("label").alias("near"))
         near = both.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
         lower = seen.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
-        lower = stage(lower, "labels")
+        lower = settled(lower, "labels")
         jump = lower.select(F.col("node").alias("low"), F.col("low").alias("far"))
         after = lower.join(jump, "low").select("node", F.col("far").alias("label"), (F.col("far") != F.col("label")).alias("moved"))
-        after = stage(after, "labels")
+        after = settled(after, "labels")
         seen = after.select("node", "label")
         if after.where("moved").isEmpty():
             break
     moved = seen.select(F.col("node").alias("comp"), "label")
-    return stage(labels.join(moved, "comp", "left").select("doc", F.coalesce("label", "comp").alias("comp")), "components")
+    return settled(labels.join(moved, "comp", "left").select("doc", F.coalesce("label", "comp").alias("comp")), "components")
 
 
 def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
@@ -218,9 +217,9 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     docs = one_per_id(docs)
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    known = stage(_told_apart(_fragments(docs, buckets), percent), "sets")
+    known = settled(_told_apart(_fragments(docs, buckets), percent), "sets")
     classes = known.where("n_shingles > 0").groupBy("first", "second").agg(F.min("doc").alias("stands"), F.max("open").alias("open"))
-    classes = stage(classes, "classes")
+    classes = settled(classes, "classes")
     comps = _compare(packed_texts(docs), classes.where("open").select(F.col("stands").alias("doc")), percent)
     placed = classes.join(comps.withColumnRenamed("doc", "stands"), "stands", "left").select("first", "second", F.coalesce("comp", "stands").alias("comp"))
     found = known.join(placed, ["first", "second"], "left")
@@ -231,24 +230,24 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def _compare(texts: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
     """Components of the documents in `open_`: doc, comp, for those that still may have a partner."""
-    sets = stage(_sets(texts.join(open_, "doc")), "shingles")
+    sets = settled(_sets(texts.join(open_, "doc")), "shingles")
     each = sets.select("doc", "n", F.explode("hashes").alias("h"))
     shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     least = F.ceil(F.col("n") * percent / 100)
     ordered = each.join(shared, "h").groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("order"))
-    ordered = stage(ordered.where(F.size("order") >= least), "ordered")
+    ordered = settled(ordered.where(F.size("order") >= least), "ordered")
     prefix = ordered.select("doc", "n", F.explode(F.expr(f"slice(order, 1, cast(size(order) - ceil(n * {percent} / 100) + 1 as int))")).alias("e"))
-    postings = stage(prefix.select("doc", "n", F.col("e.h").alias("h")), "postings")
+    postings = settled(prefix.select("doc", "n", F.col("e.h").alias("h")), "postings")
     fragment = F.shiftrightunsigned("e.h", 64 - FRAGMENT_BITS).cast("int")
     segments = ordered.select("doc", "n", F.explode("order").alias("e")).groupBy("doc", "n", fragment.alias("fragment"))
-    segments = stage(segments.agg(F.collect_list("e.h").alias("hashes")), "segments")
-    comps = stage(ordered.select("doc", F.col("doc").alias("comp")), "components")
+    segments = settled(segments.agg(F.collect_list("e.h").alias("hashes")), "segments")
+    comps = settled(ordered.select("doc", F.col("doc").alias("comp")), "components")
     hubs = True
     while True:
         at = postings.join(comps, "doc")
         groups = at.groupBy("h", "comp").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("times"))
         split = groups.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("h")
-        at = stage(at.join(split, "h"), "split")
+        at = settled(at.join(split, "h"), "split")
         if at.isEmpty():
             return comps
         pairs = _with_hub(at, percent) if hubs else None
@@ -259,7 +258,7 @@ def _compare(texts: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
             leaders = _leaders(at)
             links = _link(_with_leaders(at, leaders, percent), segments, comps, percent)
             done = leaders.select("h", F.col("y").alias("doc"))
-            postings = stage(at.select("doc", "n", "h").join(done, ["h", "doc"], "left_anti"), "postings")
+            postings = settled(at.select("doc", "n", "h").join(done, ["h", "doc"], "left_anti"), "postings")
         if not links.isEmpty():
             comps = connect(comps, links)
 
@@ -287,7 +286,7 @@ def _leaders(at: DataFrame) -> DataFrame:
     small = times.join(largest, "h").where("comp != largest.comp").select("h", "comp", "times")
     order = Window.partitionBy("h").orderBy("times", "comp", "doc")
     found = at.join(small, ["h", "comp"]).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= LEADERS)
-    return stage(found.select("h", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("other")), "leaders")
+    return settled(found.select("h", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("other")), "leaders")
 
 
 def _with_leaders(at: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
@@ -297,7 +296,7 @@ def _with_leaders(at: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
 
 def _link(pairs: DataFrame, segments: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """Links between components found among the pairs: a, b."""
-    linked = _linked(stage(pairs, "pairs"), segments, percent)
+    linked = _linked(settled(pairs, "pairs"), segments, percent)
     linked = linked.join(comps.select(F.col("doc").alias("x"), F.col("comp").alias("a")), "x")
     linked = linked.join(comps.select(F.col("doc").alias("y"), F.col("comp").alias("b")), "y")
-    return stage(linked.select("a", "b").where("a != b").distinct(), "links")
+    return settled(linked.select("a", "b").where("a != b").distinct(), "links")

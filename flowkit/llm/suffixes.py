@@ -20,15 +20,15 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts
+from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts, settled
 from flowkit.llm.hashing import BYTE_VALUES, POWER, mix, powers
-from flowkit.plans.staging import stage
 
 WINDOW = 100
-GRAM = 32
+GRAM = 48
 TOKEN = 50
-SEGMENT = 4 << 20
+SEGMENT = 1 << 20
 CHUNK_BYTES = 16 << 20
+BLOCK_ROWS = 400_000
 SAMPLE_PER_BUCKET = 64
 _FIELDS = (np.uint64, np.uint64, np.int64, np.uint32, np.uint32)
 _FOUND = "doc long, start int, n int, whole boolean"
@@ -154,14 +154,14 @@ def merged(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarra
 
 
 def _pack(columns: list[np.ndarray]) -> bytes:
-    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns]
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns]
     return zstandard.ZstdCompressor(level=3).compress(b"".join(planes))
 
 
-def _unpack(packed: bytes, n: int) -> list[np.ndarray]:
+def _unpack(packed: bytes, n: int, kinds: tuple[type, ...] = _FIELDS) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(packed)
     out, at = [], 0
-    for kind in _FIELDS:
+    for kind in kinds:
         size = np.dtype(kind).itemsize
         plane = np.frombuffer(raw, dtype=np.uint8, count=n * size, offset=at).reshape(size, n)
         out.append(np.ascontiguousarray(plane.T).view(kind).ravel())
@@ -233,42 +233,37 @@ def _settled(entries: DataFrame) -> DataFrame:
     return entries.groupBy("bucket").applyInArrow(run, _FOUND)
 
 
-def _suffixes(texts: DataFrame, open_: DataFrame) -> DataFrame:
-    """The leading tokens of each open suffix: first, second, doc, at."""
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Blocks of open suffixes of packed texts: first and second token, doc, place."""
+    unpress = zstandard.ZstdDecompressor()
+    ready: list[tuple[np.ndarray, ...]] = []
+    size = 0
+    for batch in batches:
+        ids, packed, runs = (batch.column(c) for c in ("doc", "packed", "runs"))
+        for i in range(batch.num_rows):
+            text = np.frombuffer(unpress.decompress(packed[i].as_py()), dtype=np.uint8)
+            start, n = (runs[i].values.field(c).to_numpy().astype(np.int64) for c in (0, 1))
+            for at in range(0, len(text), SEGMENT):
+                inside = (start < at + SEGMENT) & (start + n > at)
+                if not inside.any():
+                    continue
+                low, high = np.maximum(start[inside], at), np.minimum((start + n)[inside], at + SEGMENT)
+                made = high - low
+                places = np.unique(np.repeat(low - np.cumsum(made) + made, made) + np.arange(made.sum()))
+                hashed = Hashed(text[at : at + SEGMENT + WINDOW])
+                first, second = (hashed.of(places - at + t, places - at + t + TOKEN) for t in (0, TOKEN))
+                ready.append((first.view(np.int64), second.view(np.int64), np.full(len(places), ids[i].as_py()), places))
+                size += len(places)
+                if size > BLOCK_ROWS:
+                    yield [np.concatenate(x) for x in zip(*ready, strict=True)]
+                    ready, size = [], 0
+    if ready:
+        yield [np.concatenate(x) for x in zip(*ready, strict=True)]
+
+
+def _with_runs(texts: DataFrame, open_: DataFrame) -> DataFrame:
     runs = open_.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpress = zstandard.ZstdDecompressor()
-        for batch in batches:
-            ids, packed, runs = (batch.column(c) for c in ("doc", "packed", "runs"))
-            ready: list[tuple[np.ndarray, ...]] = []
-            size = 0
-            for i in range(batch.num_rows):
-                text = np.frombuffer(unpress.decompress(packed[i].as_py()), dtype=np.uint8)
-                own = runs[i].values
-                start, n = (own.field(c).to_numpy().astype(np.int64) for c in (0, 1))
-                for at in range(0, len(text), SEGMENT):
-                    inside = (start < at + SEGMENT) & (start + n > at)
-                    if not inside.any():
-                        continue
-                    lo, hi = np.maximum(start[inside], at), np.minimum((start + n)[inside], at + SEGMENT)
-                    places = np.unique(np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum()))
-                    tokens = Hashed(text[at : at + SEGMENT + WINDOW]).all(TOKEN)
-                    ready.append((tokens[places - at], tokens[places - at + TOKEN], np.full(len(places), ids[i].as_py()), places))
-                    size += len(places)
-                    if size > 200_000:
-                        yield _token_rows(ready)
-                        ready, size = [], 0
-            if ready:
-                yield _token_rows(ready)
-
-    return texts.join(runs, "doc").select("doc", "packed", "runs").mapInArrow(run, "first long, second long, doc long, at int")
-
-
-def _token_rows(ready: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    first, second, doc, at = (np.concatenate(x) for x in zip(*ready, strict=True))
-    columns = [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(doc), pa.array(at.astype(np.int32))]
-    return pa.RecordBatch.from_arrays(columns, names=["first", "second", "doc", "at"])
+    return texts.join(runs, "doc").select("doc", "packed", "runs")
 
 
 def multikey_quicksort(keys: list[np.ndarray]) -> np.ndarray:
@@ -316,20 +311,35 @@ def bucket_of(keys: list[np.ndarray], splitters: np.ndarray) -> np.ndarray:
     return high
 
 
-def _repeated(suffixes: DataFrame, sample: DataFrame, buckets: int) -> DataFrame:
-    """Runs of the suffixes whose window is that of the suffix before them in the sorted array: doc, start, n."""
-    drawn = sample.toArrow()
-    known = np.stack([drawn.column(c).to_numpy().astype(np.int64) for c in ("first", "second", "doc", "at")], axis=1)
-    splitters = _splitters(known, buckets)
+def _repeated(texts: DataFrame, open_: DataFrame, share: int, buckets: int) -> DataFrame:
+    """Runs of the open suffixes whose window is that of the suffix before them in the sorted array: doc, start, n.
+
+    The splitters come from a sample of the open runs, `share` of 2 ** 20 of them by hash.
+    """
+
+    def list_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first, second, doc, at in _tokens(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (first, second, doc, at)], names=["first", "second", "doc", "at"])
+
+    few = open_.where(F.pmod(F.xxhash64("doc", "start"), F.lit(1 << 20)) < share)
+    drawn = _with_runs(texts, few).mapInArrow(list_, "first long, second long, doc long, at long").toArrow()
+    splitters = _splitters(np.stack([c.to_numpy() for c in drawn.columns], axis=1), buckets)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [batch.column(c).to_numpy().astype(np.int64) for c in range(4)]
-            bucket = pa.array(bucket_of(keys, splitters).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([bucket, *batch.columns], names=["bucket", *batch.schema.names])
+        for keys in _tokens(batches):
+            bucket = bucket_of(keys, splitters)
+            order = np.lexsort((keys[0], bucket))
+            bucket, keys = bucket[order], [k[order] for k in keys]
+            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            ends = np.append(cuts[1:], len(bucket))
+            packed = [_pack([keys[0][a:b].view(np.uint64), keys[1][a:b].view(np.uint64), keys[2][a:b], keys[3][a:b].astype(np.uint32), np.empty(0, np.uint32)]) for a, b in zip(cuts, ends, strict=True)]
+            columns = [pa.array(bucket[cuts].astype(np.int32)), pa.array((ends - cuts).astype(np.int32)), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "n", "packed"])
 
     def compare(table: pa.Table) -> pa.Table:
-        keys = [table.column(c).to_numpy().astype(np.int64) for c in ("first", "second", "doc", "at")]
+        parts = [_unpack(p, n, _FIELDS[:4]) for p, n in zip(table.column("packed").to_pylist(), table.column("n").to_pylist(), strict=True)]
+        first, second, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+        keys = [first.view(np.int64), second.view(np.int64), doc, at.astype(np.int64)]
         order = multikey_quicksort(keys)
         first, second, doc, at = (k[order] for k in keys)
         equal = np.append(False, (first[1:] == first[:-1]) & (second[1:] == second[:-1]))
@@ -348,9 +358,9 @@ def _repeated(suffixes: DataFrame, sample: DataFrame, buckets: int) -> DataFrame
             }
         )
 
-    kinds = "bucket int, first long, second long, doc long, at int"
-    sorted_ = suffixes.mapInArrow(deal, kinds).groupBy("bucket").applyInArrow(compare, "bucket int, edge int, first long, second long, doc long, start int, n int")
-    sorted_ = stage(sorted_, "suffixes")
+    dealt = _with_runs(texts, open_).mapInArrow(deal, "bucket int, n int, packed binary")
+    kinds = "bucket int, edge int, first long, second long, doc long, start int, n int"
+    sorted_ = settled(dealt.groupBy("bucket").applyInArrow(compare, kinds), "suffixes")
     by_place = Window.orderBy("bucket", "edge")  # two rows per bucket
     edges = sorted_.where("edge > 0").withColumns({f"__{c}": F.lag(c).over(by_place) for c in ("first", "second")})
     crossing = edges.where("edge = 1 AND first = __first AND second = __second")
@@ -363,17 +373,14 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     `docs` has unique `doc_id` and `text` (see `documents.one_per_id`); a null id stands before all others.
     """
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = stage(_settled(_entries(docs, buckets)), "extents")
+    found = settled(_settled(_entries(docs, buckets)), "extents")
     open_ = found.where("NOT whole")
     rows = open_.agg(F.sum("n")).first()[0] or 0
     done = found.where("whole").select("doc", "start", "n")
     if not rows:
         return done
-    texts = packed_texts(docs)
     share = int(min(1.0, SAMPLE_PER_BUCKET * buckets / rows * 4) * (1 << 20)) + 1
-    few = F.pmod(F.xxhash64("doc", "start"), F.lit(1 << 20)) < share
-    drawn = _suffixes(texts, open_.where(few))
-    return done.unionByName(_repeated(_suffixes(texts, open_), drawn, buckets))
+    return done.unionByName(_repeated(packed_texts(docs), open_, share, buckets))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
