@@ -47,3 +47,11 @@ def packed_texts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids.fill_null(LEAST_ID), ids, packed], names=["doc", "doc_id", "packed"])
 
     return docs.mapInArrow(run, "doc long, doc_id long, packed binary")
+
+
+def unique_rows(docs: DataFrame) -> DataFrame:
+    """All columns, one row per id: of rows that share an id, the one with the smallest text (then columns in order)."""
+    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs
+    ordered = ["text", *[c for c in docs.columns if c not in ("doc_id", "text")]]
+    return docs.groupBy("doc_id").agg(F.min(F.struct(*ordered)).alias("row")).select("doc_id", "row.*").select(*docs.columns)

@@ -12,6 +12,7 @@ from flowkit.llm.bpe import decode, encode
 from flowkit.llm.fingerprints import compare_edited
 from flowkit.llm.jaccard import components
 from flowkit.llm.language import identify, learn, remainder
+from flowkit.llm.lines import dedup_lines
 from flowkit.llm.mixing import mix
 from flowkit.llm.registry import QUERIES, SQL, query, table
 from flowkit.llm.suffixes import deduplicate
@@ -144,3 +145,33 @@ FROM sets LEFT JOIN reach ON reach.a = sets.doc_id GROUP BY sets.doc_id, s
 """)
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(table(spark, sf_dir, "documents"))
+
+
+@query(rf"""
+WITH lines AS (
+  SELECT doc_id, pos, line, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w
+  FROM (SELECT doc_id, unnest(s) AS line, generate_subscripts(s, 1) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
+classes AS (SELECT w, len(w) AS n, min((doc_id, pos)) AS place FROM lines WHERE len(w) > 0 GROUP BY w),
+cut AS (SELECT w, n, place, unnest(range(1, n + 1)) AS i FROM classes WHERE n >= 10),
+variants AS (
+  SELECT 'S' AS role, hash(n, i, w[:i - 1], w[i + 1:]) AS key, w, place FROM cut
+  UNION ALL SELECT 'D', hash(list_concat(w[:i - 1], w[i + 1:])), w, place FROM cut
+  UNION ALL SELECT 'W', hash(w), w, place FROM classes WHERE n >= 10),
+firsts AS (
+  SELECT key, min(place) FILTER (role = 'S') AS s, min(place) FILTER (role = 'D') AS d, min(place) FILTER (role = 'W') AS w
+  FROM variants GROUP BY key),
+near AS (
+  SELECT DISTINCT v.w FROM variants v JOIN firsts f ON v.key = f.key
+  WHERE CASE v.role WHEN 'S' THEN f.s WHEN 'D' THEN f.w ELSE f.d END < v.place),
+flagged AS (
+  SELECT doc_id, l.pos, line, len(l.w) > 0 AND (near.w IS NOT NULL OR c.place <> (doc_id, l.pos)) AS gone
+  FROM lines l LEFT JOIN classes c ON l.w = c.w LEFT JOIN near ON l.w = near.w)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM flagged GROUP BY doc_id
+""")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
