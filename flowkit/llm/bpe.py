@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowkit.plans.staging import stage
 
 # Fixed by the file format: how byte-level BPE splits a text into words.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -137,6 +136,10 @@ def _pack_words(words: list[bytes]) -> bytes:
     return zstandard.ZstdCompressor(level=5).compress(len(words).to_bytes(4, "little") + sizes + b"".join(words))
 
 
+def _sum(packed: bytes) -> bytes:
+    return zlib.crc32(packed).to_bytes(4, "little")
+
+
 def _unpack_words(packed: bytes) -> list[bytes]:
     raw = zstandard.ZstdDecompressor().decompress(packed)
     n = int.from_bytes(raw[:4], "little")
@@ -150,6 +153,7 @@ def _chunks(docs: DataFrame, keep: list[str], added: list[str], buckets: int) ->
     schema = T.StructType(
         [T.StructField("chunk", T.LongType()), T.StructField("rows", T.ArrayType(kept)), T.StructField("counts", T.BinaryType())]
         + [T.StructField(c, T.BinaryType()) for c in ("positions", "places")]
+        + [T.StructField("sum", T.LongType())]
         + [T.StructField("words", T.ArrayType(T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("packed", T.BinaryType())])))]
     )
     pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
@@ -167,12 +171,13 @@ def _chunks(docs: DataFrame, keep: list[str], added: list[str], buckets: int) ->
             lists = [(b, dealt[b]) for b in sorted(dealt)]
             places = np.array([i for _, own in lists for i in own], dtype=np.uint32)
             packed = [{"bucket": b, "packed": _pack_words([words[i] for i in own])} for b, own in lists]
+            sums = zlib.crc32(b"".join(_sum(p["packed"]) for p in packed))
             values = np.concatenate(positions) if positions else np.empty(0, np.uint32)
-            row = [{"chunk": number, "rows": rows, "counts": _pack(np.array(counts, dtype=np.uint32)), "positions": _pack(values), "places": _pack(places), "words": packed}]
+            row = [{"chunk": number, "rows": rows, "counts": _pack(np.array(counts, dtype=np.uint32)), "positions": _pack(values), "places": _pack(places), "sum": sums, "words": packed}]
             return pa.RecordBatch.from_pylist(row, schema=arrow)
 
         arrow = pa.schema(
-            [("chunk", pa.int64()), ("rows", pa.list_(pa.struct([(c, first.schema.field(c).type) for c in keep]))) , ("counts", pa.binary()), ("positions", pa.binary()), ("places", pa.binary()), ("words", pa.list_(pa.struct([("bucket", pa.int32()), ("packed", pa.binary())])))]
+            [("chunk", pa.int64()), ("rows", pa.list_(pa.struct([(c, first.schema.field(c).type) for c in keep]))) , ("counts", pa.binary()), ("positions", pa.binary()), ("places", pa.binary()), ("sum", pa.int64()), ("words", pa.list_(pa.struct([("bucket", pa.int32()), ("packed", pa.binary())])))]
         ) if (first := next(batches, None)) is not None else None
         while first is not None:
             others = first.select(keep).to_pylist()
@@ -197,15 +202,24 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """The columns of `docs` but `text`, and `ids`: its tokens as little-endian unsigned 32-bit integers (binary).
 
     A null or empty text has no ids; an added token in a text is encoded as such, and nothing is added.  A column named
-    `ids` is replaced; repeated rows stay.  Documents are staged once as chunks of word positions (one write); a bucket
-    holds the distinct words of all chunks with one remainder of their hash, one bucket per shuffle partition.
+    `ids` is replaced; repeated rows stay.  A bucket holds the distinct words of all chunks with one remainder of their
+    hash, one bucket per shuffle partition.  Chunks are shuffled once and read by the words and by the join.  They hold
+    the rows of `docs` in the order they are read, which has to be the same if a lost task runs again, as in any table;
+    stage frames that a shuffle made.  An id list that does not fit its chunk ends the job.
     """
     spark = docs.sparkSession
     vocabulary = load(path)
     shared = spark.sparkContext.broadcast(vocabulary)
     keep = [c for c in docs.columns if c not in ("text", "ids")]
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = stage(_chunks(docs, keep, list(vocabulary.added), buckets), "bpe")
+    chunks = _chunks(docs, keep, list(vocabulary.added), buckets).repartition(buckets, "chunk")
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, lists in zip(batch.column("chunk").to_pylist(), batch.column("words"), strict=True):
+                own = lists.values
+                columns = [pa.array([chunk] * len(own), pa.int64()), own.field("bucket"), own.field("packed")]
+                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "packed"])
 
     def spell(table: pa.Table) -> pa.Table:
         vocabulary = shared.value
@@ -220,14 +234,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 spelled.append(ids)
             sizes = np.fromiter(map(len, spelled), dtype=np.uint32, count=len(spelled))
             flat = np.fromiter((i for ids in spelled for i in ids), dtype=np.uint32, count=int(sizes.sum()))
-            out.append({"sizes": _pack(sizes), "ids": _pack(flat)})
-        spelt = pa.Table.from_pylist(out, schema=pa.schema([("sizes", pa.binary()), ("ids", pa.binary())]))
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "sizes": spelt.column("sizes"), "ids": spelt.column("ids")})
+            out.append({"sizes": _pack(sizes), "ids": _pack(flat), "sum": _sum(packed)})
+        spelt = pa.Table.from_pylist(out, schema=pa.schema([("sizes", pa.binary()), ("ids", pa.binary()), ("sum", pa.binary())]))
+        return pa.table({c: (table if c in ("chunk", "bucket") else spelt).column(c) for c in ("chunk", "bucket", "sizes", "ids", "sum")})
 
-    dealt = chunks.select("chunk", F.explode("words").alias("w")).select("chunk", "w.bucket", "w.packed")
-    spelled = dealt.groupBy("bucket").applyInArrow(spell, "chunk long, bucket int, sizes binary, ids binary")
-    spelled = spelled.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "sizes", "ids")).alias("spelled"))
-    joined = chunks.select("chunk", "rows", "counts", "positions", "places").join(spelled, "chunk", "left")
+    dealt = chunks.mapInArrow(words, "chunk long, bucket int, packed binary")
+    spelled = dealt.groupBy("bucket").applyInArrow(spell, "chunk long, bucket int, sizes binary, ids binary, sum binary")
+    spelled = spelled.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "sizes", "ids", "sum")).alias("spelled"))
+    joined = chunks.join(spelled, "chunk", "left")  # all columns, so that both sides read one exchange
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,6 +257,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                     for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False):
                         by_word[places[at]] = raw[a:b]
                         at += 1
+                if at != len(places) or zlib.crc32(b"".join(s["sum"] for s in lists)) != row["sum"].as_py():
+                    raise ValueError("the ids of a chunk do not fit its words")
                 positions = _unpack(row["positions"].as_py())
                 ends = np.cumsum(_unpack(row["counts"].as_py()), dtype=np.int64).tolist()
                 others = row["rows"].values
