@@ -42,7 +42,9 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their source asks for; a cut copy holds the words that are taken."""
-    return mixing.repeat(mixing.mix(docs)).select(*docs.columns)
+    aside = {c: f"__{c}" for c in mixing.ADDED if c in docs.columns}
+    rows = mixing.repeat(mixing.mix(docs.withColumnsRenamed(aside)))
+    return rows.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

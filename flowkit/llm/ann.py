@@ -155,8 +155,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         for at in range(0, len(points), QUERY_STEP):
             own, part = names[at : at + QUERY_STEP], points[at : at + QUERY_STEP]
             reach = bounds(part, codes, norms, fits, centre, turn)
-            reach[own[:, None] == ids[None, :]] = -np.inf
-            missed = reach < least[at : at + QUERY_STEP, None]
+            missed = (reach < least[at : at + QUERY_STEP, None]) | (own[:, None] == ids[None, :])
             chosen = np.flatnonzero(~missed.all(axis=0))
             near = part @ vectors[chosen].T
             near[missed[:, chosen]] = -np.inf

@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowkit.llm.documents import sliced
+
 
 # Fixed by the file format: how byte-level BPE splits a text into words.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 LONG_WORD = 48
 
 
@@ -156,12 +158,15 @@ def _chunks(docs: DataFrame, keep: list[str], added: list[str], buckets: int) ->
         + [T.StructField("sum", T.LongType())]
         + [T.StructField("words", T.ArrayType(T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("packed", T.BinaryType())])))]
     )
+    packed_fields = [("counts", pa.binary()), ("positions", pa.binary()), ("places", pa.binary()), ("sum", pa.int64())]
+    packed_fields.append(("words", pa.list_(pa.struct([("bucket", pa.int32()), ("packed", pa.binary())]))))
     pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         index: dict[str, int] = {}
         rows, counts, positions, size = [], [], [], 0
+        arrow: list[pa.Schema | None] = [None]
 
         def flush() -> pa.RecordBatch:
             words = [w.encode() for w in index]
@@ -174,14 +179,11 @@ def _chunks(docs: DataFrame, keep: list[str], added: list[str], buckets: int) ->
             sums = zlib.crc32(b"".join(_sum(p["packed"]) for p in packed))
             values = np.concatenate(positions) if positions else np.empty(0, np.uint32)
             row = [{"chunk": number, "rows": rows, "counts": _pack(np.array(counts, dtype=np.uint32)), "positions": _pack(values), "places": _pack(places), "sum": sums, "words": packed}]
-            return pa.RecordBatch.from_pylist(row, schema=arrow)
-
-        arrow = pa.schema(
-            [("chunk", pa.int64()), ("rows", pa.list_(pa.struct([(c, first.schema.field(c).type) for c in keep]))) , ("counts", pa.binary()), ("positions", pa.binary()), ("places", pa.binary()), ("sum", pa.int64()), ("words", pa.list_(pa.struct([("bucket", pa.int32()), ("packed", pa.binary())])))]
-        ) if (first := next(batches, None)) is not None else None
-        while first is not None:
-            others = first.select(keep).to_pylist()
-            for other, text in zip(others, first.column("text").to_pylist(), strict=True):
+            return pa.RecordBatch.from_pylist(row, schema=arrow[0])
+
+        for batch in sliced(batches):
+            arrow[0] = arrow[0] or pa.schema([("chunk", pa.int64()), ("rows", pa.list_(pa.struct([batch.schema.field(c) for c in keep]))), *packed_fields])
+            for other, text in zip(batch.select(keep).to_pylist(), batch.column("text").to_pylist(), strict=True):
                 found = words_of(text or "", pattern)
                 positions.append(np.array([index.setdefault(w, len(index)) for w in found], dtype=np.uint32))
                 counts.append(len(found))
@@ -191,7 +193,6 @@ def _chunks(docs: DataFrame, keep: list[str], added: list[str], buckets: int) ->
                     yield flush()
                     number += 1
                     index, rows, counts, positions, size = {}, [], [], [], 0
-            first = next(batches, None)
         if rows:
             yield flush()
 
@@ -282,7 +283,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [
                 b"".join([pieces[i] for i in np.frombuffer(ids or b"", dtype="<u4").tolist()]).decode("utf-8", "replace")
                 for ids in batch.column("ids").to_pylist()

@@ -14,6 +14,15 @@ from flowkit.plans.staging import stage
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LEAST_ID = -(1 << 63)
 
+SLICE_ROWS = 512
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that few texts are held as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
 
 def settled(df: DataFrame, label: str) -> DataFrame:
     """`df` staged, with the shuffle files behind it removed once it is written (nothing reads `df` again)."""
@@ -41,7 +50,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column("doc_id")
             packed = pa.array([press.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([ids.fill_null(LEAST_ID), ids, packed], names=["doc", "doc_id", "packed"])

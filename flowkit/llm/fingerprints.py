@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowkit.llm.documents import sliced
 from flowkit.llm.hashing import blocks, mix, shingles, stream
 
 BINS = 256
@@ -74,11 +75,12 @@ def likeness(left: bytes, right: bytes, bits: int = BITS) -> float:
 def fingerprint(docs: DataFrame, bins: int = BINS, bits: int = BITS) -> DataFrame:
     """Adds `fingerprint` (hex, replaced if there) of `text`: "" for a text that is null or has no words."""
     docs = docs.drop("fingerprint")
+    names = [*docs.columns, "fingerprint"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = sketches([(t or "").encode() for t in batch.column("text").to_pylist()], bins, bits)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([m.hex() for m in made])], names=[*docs.columns, "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([m.hex() for m in made])], names=names)
 
     return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", fingerprint string")
 
@@ -126,7 +128,7 @@ def compare_edited(docs: DataFrame, bins: int = BINS, bits: int = BITS) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         range_, text_before, made_before = None, "", b""
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
             for a, b in blocks([t.encode() for t in texts], rows=1_024):
                 part = texts[a:b]

@@ -22,12 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts, settled
+from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts, settled, sliced
 from flowkit.llm.hashing import blocks, mix, shingles
 
 PERCENT = 75
 SHINGLE = 5
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 FRAGMENT_BITS = 3
 LEADERS = 8
 _SENT = "bucket int, chunk long, kind int, n int, packed binary"
@@ -98,7 +98,7 @@ def _fragments(docs: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, found, size = TaskContext.get().partitionId() << 32, [], 0
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column("doc_id").fill_null(LEAST_ID).to_numpy()
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             for a, b in blocks(texts):
@@ -164,7 +164,7 @@ def _sets(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [unpress.decompress(p) for p in batch.column("packed").to_pylist()]
             for a, b in blocks(texts):
                 owner, hashes = shingles(texts[a:b], SHINGLE)

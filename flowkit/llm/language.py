@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowkit.llm.documents import sliced
 from flowkit.llm.hashing import blocks
 
 SAMPLE_CHARS = 32_000
@@ -180,7 +181,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches, 2_048):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             names, scores = [], []
             for a, b in blocks([t.encode() for t in texts]):

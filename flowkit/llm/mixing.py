@@ -16,6 +16,7 @@ WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 SEED = 7
 BUCKET_DIGITS = 3
+ADDED = ("size", "source_size", "target", "whole", "part")
 
 
 def words_in(text: Column) -> Column:
@@ -59,8 +60,7 @@ def mix(
     spreads over many tasks.  A null text has size 0, a null source is a source of its own, rows with one `doc_id` are
     ordered by size, and an empty table stays empty.
     """
-    added = ("size", "source_size", "target", "whole", "part")
-    docs = docs.drop(*added).withColumn("size", words_in(F.col("text")))
+    docs = docs.drop(*ADDED).withColumn("size", words_in(F.col("text")))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     docs = docs.withColumn("__digest", digest).withColumn("__bucket", F.substring("__digest", 1, BUCKET_DIGITS))
     ranges = docs.groupBy("source", "__bucket").agg(F.sum("size").alias("__size"))
@@ -91,4 +91,4 @@ def repeat(mixed: DataFrame) -> DataFrame:
     rows = rows.withColumn("text", F.when(cut, F.array_join(pieces, "")).otherwise(F.col("text")))
     if "n_chars" in rows.columns:
         rows = rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return rows.drop("__copy", "size", "source_size", "target", "whole", "part")
+    return rows.drop("__copy", *ADDED)

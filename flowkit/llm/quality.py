@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowkit.llm.documents import sliced
 from flowkit.llm.hashing import BYTE_VALUES, blocks, stream
 
 GRAM = 3
@@ -138,7 +139,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             packed = []
             for a, b in blocks(texts):
@@ -164,7 +165,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             scores = [np.empty(0)]
             for a, b in blocks(texts):

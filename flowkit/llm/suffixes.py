@@ -20,14 +20,14 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts, settled
+from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts, settled, sliced
 from flowkit.llm.hashing import BYTE_VALUES, POWER, mix, powers
 
 WINDOW = 100
 GRAM = 48
 TOKEN = 50
 SEGMENT = 1 << 20
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 BLOCK_ROWS = 400_000
 SAMPLE_PER_BUCKET = 64
 _FIELDS = (np.uint64, np.uint64, np.int64, np.uint32, np.uint32)
@@ -197,7 +197,7 @@ def _entries(docs: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
-        for batch in batches:
+        for batch in sliced(batches):
             ids, texts = batch.column("doc_id").fill_null(LEAST_ID).to_pylist(), [t.encode() for t in batch.column("text").to_pylist()]
             found.append(extents(ids, texts))
             size += sum(map(len, texts))
