@@ -7,9 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
-from flowkit.catalogue.registry import GAPPY_ORDERS_SQL
+from flowkit.catalogue.registry import GAPPY_ORDERS_SQL, QUERIES, SQL
 
-QUERIES, SQL = queries(), oracle_sql()
 SPARK_TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "INTEGER": "int"}
 
 
@@ -19,6 +18,7 @@ def duck(sf_dir):
 
 
 def test_sql_belongs_to_queries():
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"median_fill_sketched", "preview_sample", "scan_cost"}
 
