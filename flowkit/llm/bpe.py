@@ -29,7 +29,7 @@ from flowkit.llm.documents import sliced
 
 # Fixed by the file format: how byte-level BPE splits a text into words.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 32 << 20
 LONG_WORD = 48
 
 
@@ -125,7 +125,7 @@ def _encode_long(ids: list[int], merges: dict[tuple[int, int], tuple[int, int]])
 def _pack(numbers: np.ndarray) -> bytes:
     """Compressed 32-bit numbers, byte plane by byte plane."""
     planes = np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=5).compress(np.ascontiguousarray(planes).tobytes())
+    return zstandard.ZstdCompressor(level=9).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def _unpack(packed: bytes) -> np.ndarray:
@@ -135,7 +135,7 @@ def _unpack(packed: bytes) -> np.ndarray:
 
 def _pack_words(words: list[bytes]) -> bytes:
     sizes = np.array([len(w) for w in words], dtype="<u4").tobytes()
-    return zstandard.ZstdCompressor(level=5).compress(len(words).to_bytes(4, "little") + sizes + b"".join(words))
+    return zstandard.ZstdCompressor(level=9).compress(len(words).to_bytes(4, "little") + sizes + b"".join(words))
 
 
 def _sum(packed: bytes) -> bytes:

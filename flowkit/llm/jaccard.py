@@ -29,7 +29,8 @@ PERCENT = 75
 SHINGLE = 5
 CHUNK_BYTES = 8 << 20
 FRAGMENT_BITS = 3
-LEADERS = 8
+LEADERS = 32
+HUB_GAIN = 10
 _SENT = "bucket int, chunk long, kind int, n int, packed binary"
 _NONE = np.uint32(0xFFFFFFFF)
 
@@ -236,8 +237,10 @@ def _compare(texts: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
     least = F.ceil(F.col("n") * percent / 100)
     ordered = each.join(shared, "h").groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("order"))
     ordered = settled(ordered.where(F.size("order") >= least), "ordered")
-    prefix = ordered.select("doc", "n", F.explode(F.expr(f"slice(order, 1, cast(size(order) - ceil(n * {percent} / 100) + 1 as int))")).alias("e"))
-    postings = settled(prefix.select("doc", "n", F.col("e.h").alias("h")), "postings")
+    prefix = F.expr(f"slice(order, 1, cast(size(order) - ceil(n * {percent} / 100) + 1 as int))")
+    postings = ordered.select("doc", "n", F.size("order").alias("m"), F.posexplode(prefix).alias("nth", "e"))
+    place = (F.col("n") - F.col("m") + F.col("nth")).alias("place")
+    postings = settled(_first_of_lists(postings.select("doc", "n", place, "e.df", "e.h")), "postings")
     fragment = F.shiftrightunsigned("e.h", 64 - FRAGMENT_BITS).cast("int")
     segments = ordered.select("doc", "n", F.explode("order").alias("e")).groupBy("doc", "n", fragment.alias("fragment"))
     segments = settled(segments.agg(F.collect_list("e.h").alias("hashes")), "segments")
@@ -245,58 +248,75 @@ def _compare(texts: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
     hubs = True
     while True:
         at = postings.join(comps, "doc")
-        groups = at.groupBy("h", "comp").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("times"))
-        split = groups.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("h")
-        at = settled(at.join(split, "h"), "split")
+        groups = at.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("h")
+        at = settled(at.join(groups, "h"), "split")
         if at.isEmpty():
             return comps
-        pairs = _with_hub(at, percent) if hubs else None
         if hubs:
+            pairs = settled(_with_hub(at, percent), "pairs")
             links = _link(pairs, segments, comps, percent)
-            hubs = not links.isEmpty()
+            hubs = 0 < pairs.count() <= links.count() * HUB_GAIN
         else:
             leaders = _leaders(at)
-            links = _link(_with_leaders(at, leaders, percent), segments, comps, percent)
-            done = leaders.select("h", F.col("y").alias("doc"))
-            postings = settled(at.select("doc", "n", "h").join(done, ["h", "doc"], "left_anti"), "postings")
+            links = _link(settled(_with_leaders(at, leaders, percent), "pairs"), segments, comps, percent)
+            postings = settled(at.join(leaders, "doc", "left_anti").select("doc", "n", "place", "h"), "postings")
         if not links.isEmpty():
             comps = connect(comps, links)
 
 
-def _alike(percent: int) -> str:
-    return f"100 * least(n, ny) >= {percent} * greatest(n, ny)"
+def _first_of_lists(postings: DataFrame) -> DataFrame:
+    """The postings without shingles that the same documents have as an earlier one in the order.
+
+    The first shingle that two documents share is the first of its list, so it stays.
+    """
+    lists = postings.groupBy("df", "h").agg(
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("doc")).alias("one"), F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("two")
+    )
+    kept = lists.where("size > 1").groupBy("size", "one", "two").agg(F.min(F.struct("df", "h")).alias("first"))
+    return postings.join(kept.select("first.h"), "h").select("doc", "n", "place", "h")
+
+
+def _may_link(percent: int) -> str:
+    """Whether documents whose first shared shingle stands at `place` and `other` can share enough, by what is left."""
+    return f"least(n - place, ny - other) >= ceil({percent} * (n + ny) / (100 + {percent}))"
 
 
 def _with_hub(at: DataFrame, percent: int) -> DataFrame:
     """For each document the hub of another component with which it shares most of its first shingles: x, y."""
-    firsts = at.groupBy("h", "comp").agg(F.min(F.struct("doc", "n")).alias("hub"))
+    firsts = at.groupBy("h", "comp").agg(F.min(F.struct("doc", "n", "place")).alias("hub"))
     nth = F.row_number().over(Window.partitionBy("h").orderBy("hub"))
     firsts = firsts.withColumn("nth", nth).where("nth <= 2")
-    hubs = firsts.groupBy("h").agg(*[F.max(F.when(F.col("nth") == i, F.struct("hub.doc", "hub.n", "comp"))).alias(f"hub{i}") for i in (1, 2)])
-    chosen = at.join(hubs, "h").withColumn("hub", F.when(F.col("comp") != F.col("hub1.comp"), F.col("hub1")).otherwise(F.col("hub2")))
-    chosen = chosen.select(F.col("doc").alias("x"), "n", F.col("hub.doc").alias("y"), F.col("hub.n").alias("ny")).where(_alike(percent))
-    counts = chosen.groupBy("x", "y").agg(F.count(F.lit(1)).alias("times"))
-    return counts.groupBy("x").agg(F.max(F.struct("times", F.col("y").alias("y"))).alias("best")).select("x", F.col("best.y").alias("y"))
+    two = {f"hub{i}": F.max(F.when(F.col("nth") == i, F.struct("hub", "comp"))) for i in (1, 2)}
+    hubs = firsts.groupBy("h").agg(*[c.alias(name) for name, c in two.items()])
+    own = F.when(F.col("comp") != F.col("hub1.comp"), F.col("hub1.hub")).otherwise(F.col("hub2.hub"))
+    chosen = at.join(hubs, "h").select(F.col("doc").alias("x"), "n", "place", own.alias("hub"))
+    chosen = chosen.select("x", "n", "place", F.col("hub.doc").alias("y"), F.col("hub.n").alias("ny"), F.col("hub.place").alias("other"))
+    counts = chosen.where(_may_link(percent)).groupBy("x", "y").agg(F.count(F.lit(1)).alias("times"))
+    return counts.groupBy("x").agg(F.max(F.struct("times", "y")).alias("best")).select("x", "best.y")
 
 
 def _leaders(at: DataFrame) -> DataFrame:
-    """Of each group, the next documents to compare with all others: from the components with the fewest members in it."""
+    """The next documents to compare with all others of their groups: of each group some, from the components with the
+    fewest members in it, and none from the largest one."""
     times = at.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("times"))
     largest = times.groupBy("h").agg(F.max(F.struct("times", "comp")).alias("largest"))
     small = times.join(largest, "h").where("comp != largest.comp").select("h", "comp", "times")
     order = Window.partitionBy("h").orderBy("times", "comp", "doc")
     found = at.join(small, ["h", "comp"]).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= LEADERS)
-    return settled(found.select("h", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("other")), "leaders")
+    return settled(found.select("doc").distinct(), "leaders")
 
 
 def _with_leaders(at: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
-    met = at.join(leaders, "h").where("comp != other").where(_alike(percent))
+    """Pairs of a leader with a document of another component that may link: x, y."""
+    led = at.join(leaders, "doc")
+    led = led.select("h", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("place").alias("other"), F.col("comp").alias("to"))
+    met = at.join(led, "h").where("comp != to").where(_may_link(percent))
     return met.select(F.greatest("doc", "y").alias("x"), F.least("doc", "y").alias("y")).distinct()
 
 
 def _link(pairs: DataFrame, segments: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """Links between components found among the pairs: a, b."""
-    linked = _linked(settled(pairs, "pairs"), segments, percent)
+    linked = _linked(pairs, segments, percent)
     linked = linked.join(comps.select(F.col("doc").alias("x"), F.col("comp").alias("a")), "x")
     linked = linked.join(comps.select(F.col("doc").alias("y"), F.col("comp").alias("b")), "y")
     return settled(linked.select("a", "b").where("a != b").distinct(), "links")
