@@ -64,13 +64,21 @@ def _neighbourhoods(chosen: DataFrame) -> DataFrame:
     return word.select("id", "place", "cut", F.inline(variants)).where("key IS NOT NULL")
 
 
-def _near(classes: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
+def _chosen(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The words of the asked lines: id, n, place, words.  Lines are cut from their document after it is joined."""
+    by_doc = asked.groupBy(F.col("place.doc").alias("doc")).agg(F.collect_list(F.struct("id", "n", "place")).alias("asked"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(LEAST_ID)).alias("doc"), "text").join(by_doc, "doc")
+    cut = texts.select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a"))
+    line = F.element_at("lines", F.col("a.place.at") + 1)
+    return cut.select("a.id", "a.n", "a.place", line.alias("line")).select("id", "n", "place", words_of(F.col("line")).alias("words"))
+
+
+def _near(classes: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
     """The classes of equal lines that have an earlier line within one word: id."""
     halves = classes.where(F.col("n") >= min_words).select("id", F.explode("halves").alias("half"))
     often = halves.groupBy("half").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("half")
     met = settled(halves.join(settled(often, "halves"), "half").select("id").distinct(), "met")
-    asked = classes.join(met, "id").select("id", "n", "place", F.col("place.doc").alias("doc"), F.col("place.at").alias("at"))
-    chosen = settled(asked.join(lines.select("doc", "at", "words"), ["doc", "at"]).select("id", "n", "place", "words"), "chosen")
+    chosen = settled(_chosen(docs, classes.join(met, "id").select("id", "n", "place")), "chosen")
     variants = settled(_neighbourhoods(chosen), "variants")
     firsts = {r: F.min(F.when(F.col("role") == r, F.struct("place", "id", "cut"))).alias(r) for r in "SDW"}
     shared = variants.groupBy("key").agg(F.count(F.lit(1)).alias("times"), *firsts.values()).where("times > 1")
@@ -112,7 +120,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     keyed = settled(keyed.select("doc", "at", "n", "id", "key", F.when(F.col("n") >= min_words, _halves(words, F.col("n"))).alias("halves")), "lines")
     kept = keyed.where("n > 0").groupBy("id", "key").agg(F.min(F.struct("doc", "at")).alias("place"), F.first("n").alias("n"), F.first("halves").alias("halves"))
     classes = settled(kept, "classes")
-    near = settled(_near(classes, lines, min_words), "near").withColumn("near", F.lit(True))
+    near = settled(_near(classes, docs, min_words), "near").withColumn("near", F.lit(True))
     judged = settled(classes.select("id", "key", "place").join(near, "id", "left").select("id", "key", "place", F.coalesce("near", F.lit(False)).alias("near")), "judged")
     flagged = keyed.select("doc", "at", "id", "key").join(judged, ["id", "key"], "left")
     flagged = flagged.select("doc", "at", F.coalesce(F.col("near") | (F.struct("doc", "at") != F.col("place")), F.lit(False)).alias("gone"))
