@@ -26,9 +26,10 @@ from flowkit.llm.hashing import BYTE_VALUES, POWER, mix, powers
 WINDOW = 100
 GRAM = 48
 TOKEN = 50
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 CHUNK_BYTES = 8 << 20
-BLOCK_ROWS = 400_000
+BLOCK_ROWS = 200_000
+BUCKETS_PER_PARTITION = 4
 SAMPLE_PER_BUCKET = 64
 _FIELDS = (np.uint64, np.uint64, np.int64, np.uint32, np.uint32)
 _FOUND = "doc long, start int, n int, whole boolean"
@@ -50,7 +51,7 @@ class Hashed:
     """Prefix sums over a buffer that give the hash of any of its substrings."""
 
     def __init__(self, buffer: np.ndarray) -> None:
-        size = 1 << max(16, (len(buffer) + 1).bit_length())
+        size = 1 << max(20, (len(buffer) + 1).bit_length())
         with np.errstate(over="ignore"):
             self.sums = np.zeros(len(buffer) + 1, dtype=np.uint64)
             np.cumsum(BYTE_VALUES[buffer] * _powers(size)[: len(buffer)], out=self.sums[1:])
@@ -372,7 +373,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
     `docs` has unique `doc_id` and `text` (see `documents.one_per_id`); a null id stands before all others.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = settled(_settled(_entries(docs, buckets)), "extents")
     open_ = found.where("NOT whole")
     rows = open_.agg(F.sum("n")).first()[0] or 0
