@@ -28,7 +28,7 @@ from flowkit.llm.hashing import blocks, mix, shingles
 PERCENT = 75
 SHINGLE = 5
 CHUNK_BYTES = 8 << 20
-FRAGMENT_BITS = 3
+FRAGMENT_BITS = 2
 LEADERS = 32
 HUB_GAIN = 10
 _SENT = "bucket int, chunk long, kind int, n int, packed binary"
