@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,7 @@ def check_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PATTERNS = {"c_name": r"Customer#0{5}\d+", "c_mktsegment": "[A-H]", "c_nationkey": r"1?\d\b"}
+WORD_PATTERN = r"(?P<first_word>\w+)[ ,.&[]*\w"
 
 
 @query(
@@ -81,6 +84,39 @@ def check_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _issues(checks.check_patterns(table(spark, sf_dir, "customer"), PATTERNS))
 
 
+@query(
+    _issue_sql(
+        "string_patterns", "text", "pattern_mismatch",
+        r"NOT regexp_matches(text, '^[\p{L}\p{M}\p{N}\p{Pc}]+[ ,.&\[]*[\p{L}\p{M}\p{N}\p{Pc}]')", "info", "documents",
+    )
+)
+def check_text_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word classes on texts in four languages."""
+    return _issues(checks.check_patterns(table(spark, sf_dir, "documents"), {"text": WORD_PATTERN}))
+
+
+DIRTY_PRICE = "CASE WHEN o_orderkey % 9 = 0 THEN 'n/a' ELSE CAST(o_custkey AS STRING) END AS price"
+
+
+@query(
+    _issue_sql(
+        "ranges", "price", "out_of_range", "coalesce(TRY_CAST(price AS DOUBLE) NOT BETWEEN 100 AND 900, true)", "info",
+        f"(SELECT {DIRTY_PRICE} FROM orders)",
+    )
+)
+def check_dirty_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric bounds on a text column in which some values are no numbers."""
+    return _issues(checks.check_ranges(table(spark, sf_dir, "orders").selectExpr(DIRTY_PRICE), {"price": (100, 900)}))
+
+
+@query(f"SELECT count_if(coalesce(TRY_CAST(price AS DOUBLE) BETWEEN 100 AND 900, false)) AS valid_rows, "
+       f"count_if(NOT coalesce(TRY_CAST(price AS DOUBLE) BETWEEN 100 AND 900, false)) AS invalid_rows "
+       f"FROM (SELECT {DIRTY_PRICE} FROM orders)")
+def rules_on_dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").selectExpr(DIRTY_PRICE)
+    return validity_counts(annotate(rows, RuleSet().add_range_rule("price", 100, 900)))
+
+
 ALL_CHECKS = {
     "nullable": ["status"],
     "keys": ["o_custkey"],
@@ -165,10 +201,10 @@ VALIDITY_SQL = f"""SELECT *, {BAD_STATUS} AS bad_status, {BAD_PRICE} AS bad_pric
     f"""SELECT o_orderkey, 'status_not_null' AS rule, 'status' AS "column", 'error' AS severity,
       concat('Column ''status'' cannot be null (value: ', coalesce(status, 'None'), ')') AS message
       FROM ({VALIDITY_SQL}) WHERE bad_status
-    UNION ALL SELECT o_orderkey, 'priority_pattern_[1-4]-', 'priority', 'warning',
+    UNION ALL SELECT o_orderkey, 'priority_pattern', 'priority', 'warning',
       concat('Column ''priority'' does not match pattern ''[1-4]-'' (value: ', priority, ', pattern: [1-4]-)')
       FROM ({VALIDITY_SQL}) WHERE bad_priority
-    UNION ALL SELECT o_orderkey, 'price_range_1000_450000', 'price', 'error',
+    UNION ALL SELECT o_orderkey, 'price_range', 'price', 'error',
       'Column ''price'' must be between 1000 and 450000' FROM ({VALIDITY_SQL}) WHERE bad_price"""
 )
 def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,12 +232,16 @@ def rule_summary_errors_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""SELECT 'status_not_null' AS rule, count(*) AS violations FROM ({VALIDITY_SQL}) WHERE bad_status
-    UNION ALL SELECT 'price_range_1000_450000', count(*) FROM ({VALIDITY_SQL}) WHERE bad_price
-    UNION ALL SELECT 'priority_pattern_[1-4]-', count(*) FROM ({VALIDITY_SQL}) WHERE bad_priority
+    UNION ALL SELECT 'price_range', count(*) FROM ({VALIDITY_SQL}) WHERE bad_price
+    UNION ALL SELECT 'priority_pattern', count(*) FROM ({VALIDITY_SQL}) WHERE bad_priority
+    UNION ALL SELECT 'priority_pattern_2', count(*) FROM orders WHERE o_orderpriority <> '2-HIGH'
+    UNION ALL SELECT 'priority_pattern_3', count(*) FROM orders WHERE o_orderpriority = '2-HIGH'
     UNION ALL SELECT 'absent_missing', count(*) FROM orders"""
 )
 def rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = order_rules().add_not_null_rule("absent")
+    """Two of the patterns agree in their first 24 characters."""
+    rules = order_rules().add_pattern_rule("priority", r"(?P<rank_no>[1-5])-(?:LOW)?(?<=2-)HIGH$")
+    rules.add_pattern_rule("priority", r"(?P<rank_no>[1-5])-(?:LOW)?(?!HIGH$)|[13-5]-").add_not_null_rule("absent")
     return counts_by_rule(annotate(gappy_orders(spark, sf_dir), rules)).select("rule", "violations")
 
 
@@ -257,6 +297,30 @@ def custom_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violation_rows(annotate(orders, rules), "o_orderkey").select("o_orderkey", "message")
 
 
+BIG = 9007199254740993
+
+
+@query(
+    f"""SELECT o_orderkey, message FROM (SELECT o_orderkey, unnest([
+        CASE WHEN o_orderkey % 5 <> 0 AND ({BIG} + o_custkey) % 2 = 1 THEN 'odd' END,
+        CASE WHEN o_orderkey % 5 = 0 THEN 'none' END,
+        CASE WHEN o_orderkey % 3 = 0 THEN 'short' END]) AS message FROM orders) WHERE message IS NOT NULL"""
+)
+def python_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Python functions of large whole numbers between NULLs, of arrays, and of whole Arrow arrays."""
+    big = F.when(F.col("o_orderkey") % 5 != 0, F.lit(BIG) + F.col("o_custkey")).alias("big")
+    items = F.sequence(F.lit(0), (F.col("o_orderkey") % 3).cast("int")).alias("items")
+    rules = RuleSet().add_python_rule("big", lambda v: v is None or v % 2 == 0, "odd")
+    rules.add_arrow_rule("big", lambda values: values.is_valid(), "none")
+    rules.add_python_rule("items", functools.partial(_longer, 1), "short")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", big, items)
+    return violation_rows(annotate(rows, rules), "o_orderkey").select("o_orderkey", "message")
+
+
+def _longer(least: int, items: list[int]) -> bool:
+    return len(items) > least
+
+
 # --- score, history and report
 
 FLAGSHIP_SQL = """
@@ -337,6 +401,23 @@ def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exported.select("check_name", "passed", "records_total", "valid_percentage")
 
 
+REPORT_LINES_SQL = f"""SELECT 'total' AS part, CAST(sum(records_total) AS BIGINT) AS records,
+  CAST(sum(records_valid) AS BIGINT) AS valid FROM ({HISTORY_SQL})
+  UNION ALL SELECT check_name, records_total, records_valid FROM ({HISTORY_SQL})"""
+
+
+@query(REPORT_LINES_SQL)
+def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON export, totals and checks, read back."""
+    path = scratch_path(spark, "report")
+    report.export_report_json(check_history(spark, sf_dir), path)
+    totals = spark.read.schema("total_records_checked long, total_valid_records long").json(f"{path}/totals")
+    lines = spark.read.schema("check_name string, records_total long, records_valid long").json(f"{path}/checks")
+    return totals.select(
+        F.lit("total").alias("part"), F.col("total_records_checked").alias("records"), F.col("total_valid_records").alias("valid")
+    ).union(lines)
+
+
 @query(f"SELECT round(sum(records_valid) * 100.0 / sum(records_total), 6) AS overall_score FROM ({HISTORY_SQL})")
 def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = report.quality_score(check_history(spark, sf_dir))

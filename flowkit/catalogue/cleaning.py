@@ -113,18 +113,25 @@ def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, strftime(CASE o_orderkey % 5 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE o_orderdate END,
+    """SELECT o_orderkey, strftime(CASE WHEN o_orderkey % 10 IN (3, 4) THEN NULL
+        WHEN o_orderkey % 10 = 6 THEN o_orderdate + INTERVAL 8 HOUR WHEN o_orderkey % 10 = 7
+        THEN o_orderdate + INTERVAL 10 HOUR + INTERVAL 5 MINUTE ELSE o_orderdate END,
       '%Y-%m-%d %H:%M:%S') AS order_date, o_orderstatus AS status FROM orders"""
 )
 def standardize_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate")
-    kind = F.col("o_orderkey") % 5
+    kind = F.col("o_orderkey") % 10
     text = (
         F.when(kind == 0, F.date_format(day, "yyyy-MM-dd"))
         .when(kind == 1, F.date_format(day, "yyyyMMdd"))
         .when(kind == 2, F.date_format(day, "yyyy/MM/dd"))
         .when(kind == 3, F.lit("not a date"))
-        .otherwise(F.lit(""))
+        .when(kind == 4, F.lit(""))
+        .when(kind == 5, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss.'000000001Z'"))
+        .when(kind == 6, F.date_format(day, "yyyy-MM-dd'T10:00:00+02:00'"))
+        .when(kind == 7, F.date_format(day, "yyyy-MM-dd 10:05"))
+        .when(kind == 8, F.date_format(day, "MM/dd/yyyy"))
+        .otherwise(F.concat(F.lit("\t"), F.date_format(day, "MMM d, yyyy"), F.lit("\n")))
     )
     status = F.col("o_orderstatus").alias("status")
     raw = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("Order_Date"), status)

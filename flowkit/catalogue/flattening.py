@@ -190,12 +190,20 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ORDER BY ts, event_id LIMIT 4000"
 )
 def capped_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run cap, in the form that a cap of many millions takes."""
-    capped = tables.cap_rows(table(spark, sf_dir, "events"), 4000, ["ts", "event_id"], top_n_rows=0)
+    capped = tables.cap_rows(table(spark, sf_dir, "events"), 4000, ["ts", "event_id"])
     return capped.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "user_id", "value")
 
 
-@query()
+@query(
+    "SELECT event_id, event_type, user_id FROM events ORDER BY event_type DESC, user_id, event_id DESC LIMIT 4500"
+)
+def capped_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = ["event_type", "user_id", "event_id"]
+    capped = tables.cap_rows(table(spark, sf_dir, "events"), 4500, order, descending=["event_type", "event_id"])
+    return capped.select("event_id", "event_type", "user_id")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5('7:' || o_orderkey), o_orderkey LIMIT 10000")
 def preview_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return tables.sample_rows(orders, ["o_orderkey"], seed=7).select("o_orderkey", "o_totalprice")

@@ -348,24 +348,25 @@ def job_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS hour, upper(event_type) AS level,
-      count(*) AS records, CAST(sum(user_id) AS BIGINT) AS users FROM events GROUP BY ALL"""
+    """SELECT CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M')
+        END AS hour, CASE WHEN event_id % 11 = 0 THEN 'UNPARSED' ELSE upper(event_type) END AS level,
+      count(*) AS records, CAST(sum(user_id) FILTER (event_id % 11 <> 0) AS BIGINT) AS users FROM events GROUP BY ALL"""
 )
 def log_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON log lines made from the events, parsed and counted per hour and level."""
+    """JSON log lines made from the events, some broken and some without a time, counted per hour and level."""
+    broken, timeless = F.col("event_id") % 11 == 0, F.col("event_id") % 13 == 0
     fields = F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.when(timeless, "noon").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("timestamp"),
         F.upper("event_type").alias("level"),
         F.lit("loader").alias("logger"),
         F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("message"),
         "user_id",
     )
-    logs = metrics.parse_logs(table(spark, sf_dir, "events").select(F.to_json(fields).alias("value")))
-    users = F.col("extra")["user_id"].cast("long")
-    hour = F.date_format(F.date_trunc("hour", "timestamp"), "yyyy-MM-dd HH:mm")
-    per_user = logs.groupBy(hour.alias("hour"), "level").agg(F.sum(users).alias("users"))
-    counts = metrics.log_counts(logs).withColumn("hour", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
-    return counts.join(per_user, ["hour", "level"]).select("hour", "level", "records", "users")
+    line = F.when(broken, F.concat(F.lit("no JSON {"), F.col("event_id").cast("string"))).otherwise(F.to_json(fields))
+    logs = metrics.parse_logs(table(spark, sf_dir, "events").select(line.alias("value")))
+    counts = metrics.log_counts(logs, users=F.sum(F.col("extra")["user_id"].cast("long")))
+    hour = F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("hour")
+    return counts.select(hour, "level", "records", "users")
 
 
 # --- health

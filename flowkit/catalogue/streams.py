@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from flowkit.catalogue.registry import query, table
 from flowkit.functions.schema import DOUBLE, LONG, TEXT, schema
+from flowkit.operators.quarantine import read_quarantine
 from flowkit.operators.rules import RuleSet
 from flowkit.plans.jobs import migrate
 from flowkit.plans.staging import scratch_path
@@ -19,12 +20,25 @@ from flowkit.streaming.circuit import circuit_states as step_circuits
 from flowkit.streaming.events import deduplicate_stream, latest_updates, window_progress, write_updates
 from flowkit.streaming.load import StreamLoad, ledger_batches, read_ledger, read_loaded
 
-FILES_PER_BATCH = 64
+FILES, FILES_PER_BATCH = 10, 1
+
+
+def _split_events(spark: SparkSession, sf_dir: str) -> str:
+    """The events in files of consecutive times, written one after the other, so that a stream reads them in order."""
+    path = scratch_path(spark, "events")
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    share = (F.unix_micros(F.col("ts").cast("timestamp")) - first) / (last - first + 1)
+    part = F.floor(share * FILES).cast("int")
+    for i in range(FILES):
+        events.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    return path
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of `FILES` files in the order of their time, some per micro-batch."""
     columns = table(spark, sf_dir, "events").schema
-    return read_stream(spark, f"{sf_dir}/events.parquet*", columns, max_files=FILES_PER_BATCH)
+    return read_stream(spark, f"{_split_events(spark, sf_dir)}/*.parquet", columns, max_files=FILES_PER_BATCH)
 
 
 def _collected(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
@@ -78,14 +92,15 @@ def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'events' AS pipeline, count(*) FILTER (value <= 100 AND event_type <> 'error') AS rows_loaded,
+    """SELECT 'events' AS pipeline, 10 AS batches, count(*) FILTER (value <= 100 AND event_type <> 'error') AS rows_loaded,
       count(*) FILTER (value > 100 OR event_type = 'error') AS rows_failed FROM events"""
 )
 def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the ledger of the same load recorded, over all its batches."""
     load, _ = _split_load(spark, sf_dir)
     recorded = ledger_batches(read_ledger(spark, load.ledger)).groupBy("pipeline")
-    return recorded.agg(F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_failed").alias("rows_failed"))
+    batches = F.count_distinct("batch_id").cast("int").alias("batches")
+    return recorded.agg(batches, F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_failed").alias("rows_failed"))
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
@@ -168,3 +183,32 @@ def migration_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         location=scratch_path(spark, "migrated"),
         max_files=FILES_PER_BATCH,
     )
+
+
+@query("SELECT event_id, 'completed' AS status FROM events ORDER BY event_type, event_id LIMIT 4000")
+def migration_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A capped migration that is started again with the same arguments, drop included."""
+    source = f"{_split_events(spark, sf_dir)}/*.parquet"
+    run = {
+        "limit": 4000, "order": ["event_type", "event_id"], "drop": True, "max_files": 1,
+        "location": scratch_path(spark, "migrated"), "checkpoint": scratch_path(spark, "migration"),
+    }
+    migrate(spark, source, "migrated_events", **run)
+    status = migrate(spark, source, "migrated_events", **run).first()["status"]
+    return spark.table("migrated_events").select("event_id", F.lit(status).alias("status"))
+
+
+@query("SELECT event_id, event_id % 7 = 0 AS quarantined FROM events")
+def load_with_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch is written, fails when it is repeated, and then stands in the quarantine only."""
+    paths = {k: scratch_path(spark, k) for k in ("target", "checkpoint", "ledger", "quarantine")}
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    load = StreamLoad(**paths)
+    load.write_batch(events.where("event_id % 7 <> 0"), 0)
+    load.write_batch(events.where("event_id % 7 = 0"), 1)
+    broken = StreamLoad(**paths, transform=lambda df: df.select("no_such_column"))
+    broken.write_batch(events.where("event_id % 7 = 0"), 1)
+    good = read_loaded(spark, load.target, schema(event_id=LONG)).select("event_id", F.lit(False).alias("quarantined"))
+    kept = read_quarantine(spark, load.quarantine)
+    ids = F.get_json_object("record", "$.event_id").cast("long").alias("event_id")
+    return good.unionByName(kept.select(ids, F.lit(True).alias("quarantined")))

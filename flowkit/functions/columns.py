@@ -30,6 +30,12 @@ def present(name: str, dtype: T.DataType) -> Column:
     return F.when(~F.isnan(c), c) if isinstance(dtype, FLOATING) else c
 
 
+def comparable(value: Column, dtype: T.DataType, *bounds: object) -> Column:
+    """The value to compare with bounds: a text as a number if the bounds are numbers, NULL if it is none."""
+    numbers = all(isinstance(b, (int, float)) for b in bounds)
+    return value.try_cast("double") if numbers and isinstance(dtype, T.StringType) else value
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN becomes NULL in every float and double column; a plain projection."""
     floats = {f.name: present(f.name, f.dataType) for f in df.schema if isinstance(f.dataType, FLOATING)}

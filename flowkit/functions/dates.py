@@ -8,17 +8,27 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from flowkit.functions.text import strip_whitespace
+
 # Fixed value: integer dates at or below this one count as "no date".
 EARLIEST_INT_DATE = 18000101
 
+# What follows an ISO date; a text of another shape is tried with the formats.
+ISO_SHAPE = (
+    r"\A\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?: ?(?:Z|UTC|[+-]\d{2}:?\d{2}))?)?\z"
+)
 DEFAULT_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd",
     "yyyy/MM/dd",
+    "yyyy/MM/dd HH:mm:ss",
     "yyyyMMdd",
+    "yyyyMMdd HH:mm:ss",
+    "MM/dd/yyyy",
+    "MM/dd/yyyy HH:mm",
+    "MM/dd/yyyy HH:mm:ss",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "d MMM yyyy",
+    "d MMMM yyyy",
 )
 
 
@@ -33,11 +43,15 @@ def int_date_in_year(c: Column, year: int) -> Column:
 
 
 def _shape(pattern: str) -> str | None:
-    """A regular expression for the texts that a pattern of fixed-width numbers can match; None for other patterns."""
+    """A regular expression for the texts that a pattern can match; None for patterns with other letters."""
     expression = ""
     for part in re.findall(r"'[^']*'|y+|M+|d+|H+|m+|s+|S+|.", pattern):
         if part in ("yyyy", "MM", "dd", "HH", "mm", "ss"):
             expression += rf"\d{{{len(part)}}}"
+        elif part == "d":
+            expression += r"\d{1,2}"
+        elif part in ("MMM", "MMMM"):
+            expression += r"[A-Z][a-z]{2}" if part == "MMM" else r"[A-Z][a-z]+"
         elif part[0] == "S":
             expression += rf"\d{{1,{len(part)}}}"
         elif part[0].isalpha():
@@ -48,14 +62,22 @@ def _shape(pattern: str) -> str | None:
 
 
 def parse_timestamp(c: Column, formats: Iterable[str] = DEFAULT_FORMATS) -> Column:
-    """The first format that fits, else NULL.  The text is stripped first.
+    """The first reading that fits, else NULL: ISO 8601 (with or without time, fraction, zone), then the formats.
 
-    A text that cannot fit by its shape is not parsed, since every failed parse costs an exception.
+    The text is stripped of white space first.  A text that cannot fit by its shape is not parsed, since a failed
+    parse costs an exception.  A time without a zone is in the session's.
     """
-    text = F.trim(c.cast("string"))
+    text = strip_whitespace(c.cast("string"))
+    iso = F.regexp_replace(text, r" ?([+-]\d{2}):?(\d{2})\z", "$1:$2")
 
     def parsed(pattern: str) -> Column:
         value, shape = F.try_to_timestamp(text, F.lit(pattern)), _shape(pattern)
         return value if shape is None else F.when(text.rlike(shape), value)
 
-    return F.coalesce(*[parsed(f) for f in formats])
+    read = F.when(text.rlike(ISO_SHAPE), F.regexp_replace(iso, r"(\.\d{6})\d+", "$1").try_cast("timestamp"))
+    return F.coalesce(read, *[parsed(f) for f in formats])
+
+
+def unparsed(c: Column, formats: Iterable[str] = DEFAULT_FORMATS) -> Column:
+    """Whether there is a text, blank ones aside, that gives no date."""
+    return F.coalesce(strip_whitespace(c.cast("string")) != "", F.lit(False)) & parse_timestamp(c, formats).isNull()

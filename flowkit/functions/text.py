@@ -35,11 +35,26 @@ def normalized(c: Column) -> Column:
 def java_pattern(pattern: str) -> str:
     """A Python pattern in Java's spelling, anchored at the start as `re.match` does.
 
-    Named groups and the end-of-text anchor are spelled differently; the rest of the common syntax agrees.
+    The flags give `\\w`, `\\d`, `\\s` and `\\b` their Unicode meaning, and line ends only after a line feed.  Named
+    groups get plain names, the end-of-text anchor its own spelling, and characters that only Java reads as set
+    operators inside brackets are escaped.
     """
-    spelled = re.sub(r"\(\?P<(\w+)>", r"(?<\1>", pattern)
-    spelled = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", spelled).replace(r"\Z", r"\z")
-    return rf"\A(?:{spelled})"
+    groups: dict[str, str] = {}
+
+    def group(name: str) -> str:
+        return groups.setdefault(name, f"g{len(groups)}x")
+
+    def spelled(m: re.Match[str]) -> str:
+        if m["escape"]:
+            return r"\z" if m["escape"] == r"\Z" else m["escape"]
+        if m["set"]:
+            head = re.match(r"\[\^?\]?", m["set"])[0]
+            inner = re.sub(r"(\\.)|([\[&])", lambda x: x[1] or "\\" + x[2], m["set"][len(head) : -1])
+            return f"{head.replace(']', chr(92) + ']')}{inner}]"
+        return f"(?<{group(m['name'])}>" if m["name"] else rf"\k<{group(m['back'])}>"
+
+    parts = r"(?P<escape>\\.)|(?P<set>\[\^?\]?(?:\\.|[^\]\\])*\])|\(\?P<(?P<name>\w+)>|\(\?P=(?P<back>\w+)\)"
+    return rf"(?Ud)\A(?:{re.sub(parts, spelled, pattern, flags=re.S)})"
 
 
 def matches_at_start(c: Column, pattern: str) -> Column:

@@ -8,9 +8,11 @@ from functools import reduce
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowkit.functions.columns import col
 from flowkit.plans.ordered import with_row_index
@@ -79,43 +81,46 @@ def process_items(
 
 def map_reduce(
     df: DataFrame,
-    map_value: Callable[[dict[str, Any]], Any],
+    map_value: Callable[[Any], Any],
     reduce_values: Callable[[Any, Any], Any],
     result_type: str,
     fan_in: int = 64,
+    by_batch: bool = False,
 ) -> DataFrame:
     """One row `(result)`: map every row, given as a dict, then combine with an associative and commutative function.
 
-    A row whose map raises is dropped; without any mapped value the result is NULL.  Each task reduces its own rows
+    Values are as stored: None for NULL, whole numbers as int, arrays as lists.  With `by_batch` the map gets Arrow
+    record batches instead, of any size, and gives one value for each.  A row whose map raises is dropped; without any mapped value the result is NULL.  Each task reduces its own rows
     and sends one value on; the values meet in `fan_in` tasks and then in one.  Prefer built-in aggregates where they
     express the reduction.
     """
-    schema = f"result {result_type}"
+    schema = T.StructType.fromDDL(f"result {result_type}")
+    arrow = to_arrow_schema(schema)
 
-    def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[Any]:
-        for pdf in frames:
-            for row in pdf.to_dict("records"):
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[Any]:
+        for batch in batches:
+            for item in [batch] if by_batch else batch.to_pylist():
                 try:
-                    value = map_value(row)
+                    value = map_value(item)
                 except Exception:  # noqa: BLE001, S112 - a failed map drops its row
                     continue
                 yield value
 
-    def fold(values: Iterator[Any]) -> Iterator[pd.DataFrame]:
+    def fold(values: Iterator[Any]) -> Iterator[pa.RecordBatch]:
         nothing = object()
         total = reduce(lambda a, b: b if a is nothing else reduce_values(a, b), values, nothing)
         if total is not nothing:
-            yield pd.DataFrame({"result": [total]})
+            yield pa.RecordBatch.from_pylist([{"result": total}], schema=arrow)
 
-    def first_level(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from fold(mapped(frames))
+    def first_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fold(mapped(batches))
 
-    def next_level(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from fold(v for pdf in frames for v in pdf["result"].tolist())
+    def next_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fold(v for batch in batches for v in batch.column("result").to_pylist())
 
-    partial = df.mapInPandas(first_level, schema)
-    combined = partial.repartition(fan_in).mapInPandas(next_level, schema)
-    return combined.repartition(1).mapInPandas(next_level, schema).agg(F.first("result").alias("result"))
+    partial = df.mapInArrow(first_level, schema)
+    combined = partial.repartition(fan_in).mapInArrow(next_level, schema)
+    return combined.repartition(1).mapInArrow(next_level, schema).agg(F.first("result").alias("result"))
 
 
 def optimal_chunk_size(total: Column, item_mb: Column, max_mb: float = 500) -> Column:

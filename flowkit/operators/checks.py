@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowkit.functions.columns import col, is_missing, percent, present
+from flowkit.functions.columns import col, comparable, is_missing, percent, present
 from flowkit.functions.schema import DOUBLE, LONG, TEXT, schema
 from flowkit.functions.text import matches_at_start
 
@@ -65,8 +65,10 @@ class _Issues:
         types = {f.name: f.dataType for f in df.schema}
         for name, (lo, hi) in ranges.items():
             if name in types:
-                v = present(name, types[name])
-                self.add("ranges", name, "out_of_range", (v < lo) | (v > hi), "error" if strict else "info")
+                given = present(name, types[name])
+                v = comparable(given, types[name], lo, hi)
+                bad = (v < lo) | (v > hi) | (given.isNotNull() & v.isNull())
+                self.add("ranges", name, "out_of_range", bad, "error" if strict else "info")
 
     def add_patterns(self, df: DataFrame, patterns: Mapping[str, str], strict: bool) -> None:
         types = {f.name: f.dataType for f in df.schema}
@@ -93,7 +95,10 @@ def check_nulls(df: DataFrame, nullable: Iterable[str] = ()) -> DataFrame:
 
 
 def check_ranges(df: DataFrame, ranges: Mapping[str, tuple[Any, Any]], strict: bool = False) -> DataFrame:
-    """Values strictly outside their bounds; missing values and absent columns are not counted."""
+    """Values strictly outside their bounds; missing values and absent columns are not counted.
+
+    With numeric bounds, a text that is no number counts as outside.
+    """
     issues = _Issues()
     issues.add_ranges(df, ranges, strict)
     return issues.evaluate(df)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowkit.functions.dates import EARLIEST_INT_DATE, int_date_in_year, int_to_date
 from flowkit.functions.nested import distinct_values, field_values, localized_text
 from flowkit.functions.schema import INT, TEXT, schema, structs
+from flowkit.sources.tables import cap_rows
 
 # Plain columns that pass through, before and after the computed ones.
 IDENTIFIERS = ("publication_number", "application_number", "country_code", "kind_code", "family_id")
@@ -84,15 +85,15 @@ def flatten(
     if recent_days is not None:
         kept = kept.where(filed_within(recent_days, as_of))
     flat = kept.select(*flattened_columns())
-    if ordered or limit is not None:
-        flat = flat.orderBy(F.col("filing_date").desc_nulls_last(), F.col("publication_number"))
-    return flat if limit is None else flat.limit(limit)
+    if limit is not None:
+        return newest_first(flat, "filing_date", "publication_number", limit)
+    return newest_first(flat, "filing_date", "publication_number") if ordered else flat
 
 
 def newest_first(df: DataFrame, by: str, tie_break: str, limit: int | None = None) -> DataFrame:
-    """Sort descending with a unique tie-break; with a limit this is a top-n, kept small in every task."""
-    ordered = df.orderBy(F.col(by).desc_nulls_last(), F.col(tie_break))
-    return ordered if limit is None else ordered.limit(limit)
+    """Sort descending with a unique tie-break, at most `limit` rows."""
+    kept = df if limit is None else cap_rows(df, limit, [by, tie_break], descending=[by])
+    return kept.orderBy(F.col(by).desc_nulls_last(), F.col(tie_break))
 
 
 def active_only(df: DataFrame) -> DataFrame:

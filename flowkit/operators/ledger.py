@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from flowkit.functions.schema import TEXT, TIME, schema
 
+SALTS = 16
 LEDGER_SCHEMA = schema(id=TEXT, pipeline=TEXT, timestamp=TIME, data=TEXT, metadata=TEXT)
 
 
@@ -89,11 +90,16 @@ def stats(ledger: DataFrame) -> DataFrame:
 def keep_newest(ledger: DataFrame, keep: int = 5, pipeline: str | None = None) -> DataFrame:
     """What a clean-up leaves: the newest `keep` checkpoints per pipeline, or of the one named.
 
-    Spark limits each task to its newest `keep` rows per pipeline before the shuffle.
+    A pipeline's checkpoints are spread over `SALTS` tasks, which hand on their newest `keep` each; so the task that
+    takes the last cut gets at most `SALTS` times `keep` of them, however many there are.
     """
-    newest = Window.partitionBy("pipeline").orderBy(F.col("id").desc(), F.col("timestamp").desc(), F.col("data"))
+    newest = [F.col("id").desc(), F.col("timestamp").desc(), F.col("data")]
     own = ledger if pipeline is None else ledger.where(F.col("pipeline") == pipeline)
-    kept = own.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= keep).drop("__rank")
+    salted = own.withColumn("__salt", F.pmod(F.xxhash64("id", "data"), F.lit(SALTS)))
+    for keys in (["pipeline", "__salt"], ["pipeline"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
+        salted = salted.withColumn("__rank", rank).where(F.col("__rank") <= keep).drop("__rank")
+    kept = salted.drop("__salt")
     return kept if pipeline is None else kept.unionByName(ledger.where(F.col("pipeline") != pipeline))
 
 

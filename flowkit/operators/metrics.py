@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from flowkit.functions.columns import col
 from flowkit.plans.ordered import running_sums
 
+UNPARSED = "UNPARSED"
+
 
 def metric_values(samples: DataFrame, tie_break: str | None = None) -> DataFrame:
     """Per metric name: the last value (gauge) and the sum (counter) of samples `(name, value, ts)`."""
@@ -78,21 +80,32 @@ def job_progress(
     return running.withColumn("progress", progress_percent(F.col("rows_extracted"), F.col("total_rows")))
 
 
-def log_counts(logs: DataFrame, every: str = "1 hour") -> DataFrame:
-    """Log records `(timestamp, level)` per time window and level."""
-    return (
-        logs.groupBy(F.window("timestamp", every).alias("w"), "level")
-        .agg(F.count(F.lit(1)).alias("records"))
-        .select(F.col("w.start").alias("window_start"), "level", "records")
-    )
+def log_counts(logs: DataFrame, every: str = "1 hour", **more: Column) -> DataFrame:
+    """Log records `(timestamp, level)` per time window and level, with `more` aggregates of the same group.
+
+    Records without a timestamp count in a window without a start.
+    """
+    width = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {every})")
+    start = F.timestamp_micros(F.floor(F.unix_micros(F.col("timestamp").cast("timestamp")) / width) * width)
+    groups = logs.groupBy(start.alias("window_start"), "level")
+    return groups.agg(F.count(F.lit(1)).alias("records"), *[c.alias(name) for name, c in more.items()])
 
 
 def parse_logs(lines: DataFrame, text: str = "value") -> DataFrame:
-    """JSON log lines as `(timestamp, level, logger, message, extra)`; `extra` is a map of all other fields."""
-    fields = F.from_json(col(text), "map<string,string>")
+    """JSON log lines as `(timestamp, level, logger, message, extra)`; `extra` is a map of all other fields.
+
+    A line that is no JSON object stays, with the level `UNPARSED` and its text as message.  A time that does not
+    parse is NULL.
+    """
     known = ("timestamp", "level", "logger", "message")
-    return lines.withColumn("__fields", fields).where(F.col("__fields").isNotNull()).select(
-        F.try_to_timestamp(F.col("__fields")["timestamp"]).alias("timestamp"),
-        *[F.col("__fields")[k].alias(k) for k in known[1:]],
-        F.map_filter("__fields", lambda k, _: ~k.isin(*known)).alias("extra"),
+    fields = F.from_json(col(text), "map<string,string>")
+    # A malformed line gives NULL or an empty map, by its kind.
+    tagged = lines.withColumn("__fields", fields).withColumn("__broken", F.coalesce(F.size("__fields") <= 0, F.lit(True)))
+    broken = F.col("__broken")
+    return tagged.select(
+        F.when(~broken, F.try_to_timestamp(F.col("__fields")["timestamp"])).alias("timestamp"),
+        F.when(broken, F.lit(UNPARSED)).otherwise(F.col("__fields")["level"]).alias("level"),
+        F.when(~broken, F.col("__fields")["logger"]).alias("logger"),
+        F.when(broken, col(text)).otherwise(F.col("__fields")["message"]).alias("message"),
+        F.when(~broken, F.map_filter("__fields", lambda k, _: ~k.isin(*known))).alias("extra"),
     )

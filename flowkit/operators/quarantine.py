@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowkit.functions.schema import INT, TEXT, TIME, schema
+from flowkit.sources.tables import cap_rows
 
 RECORD_SCHEMA = schema(ts=TIME, source=TEXT, error=TEXT, retry_count=INT, record=TEXT)
 PARTITIONS = ("source", "dt")
@@ -86,9 +87,9 @@ def stats_by_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_records(quarantine: DataFrame, source: str | None = None, limit: int = 100) -> DataFrame:
-    """The newest records, of one source when given; a top-n, with the record text as tie-break."""
+    """The newest records, of one source when given, with the record text as tie-break."""
     kept = quarantine if source is None else quarantine.where(F.col("source") == source)
-    return kept.orderBy(F.col("ts").desc(), F.col("source"), F.col("record"), F.col("error")).limit(limit)
+    return cap_rows(kept, limit, ["ts", "source", "record", "error"], descending=["ts"])
 
 
 def replay(

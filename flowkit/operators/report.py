@@ -100,8 +100,9 @@ def quality_rollup(history: DataFrame) -> DataFrame:
 
 
 def export_report_json(history: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write the history as JSON lines (one write job); `quality_report` gives the totals."""
-    history.write.mode(mode).json(path)
+    """Write the report as JSON lines (two write jobs): `<path>/totals` with score and totals, `<path>/checks`."""
+    quality_report(history).write.mode(mode).json(f"{path}/totals")
+    history.write.mode(mode).json(f"{path}/checks")
 
 
 def csv_rows(history: DataFrame) -> DataFrame:

@@ -14,9 +14,10 @@ from flowkit.functions.text import require_identifier
 from flowkit.operators.clean import clean
 from flowkit.operators.metrics import progress_percent
 from flowkit.operators.rules import RuleSet, annotate, split
-from flowkit.plans.staging import scratch_path, write_stage
-from flowkit.sources.sinks import create_table
+from flowkit.plans.staging import exists, scratch_path, stage
+from flowkit.sources.sinks import create_table, table_location
 from flowkit.sources.tables import read_stream, row_count, select_rows
+from flowkit.streaming.load import StreamLoad, ledger_batches, read_ledger
 
 log = logging.getLogger(__name__)
 
@@ -94,7 +95,8 @@ def process(
 ) -> Processed:
     """Clean, validate against the rules, transform.
 
-    Row counts per step are taken by the job that uses the result, not by extra jobs.  With `drop_invalid` rows that
+    Row counts per step are taken by the job that uses the result, not by extra jobs; annotated rows are staged (one
+    write).  With `drop_invalid` rows that
     break a rule leave the data; else they stay and carry their annotation.
     """
     counts: dict[str, Observation] = {}
@@ -109,7 +111,8 @@ def process(
         df = counted(clean(df, types), "clean")
         steps.append("clean")
     if rules is not None:
-        annotated = annotate(df, rules)
+        # Staged, so that joins and Python rules run once for both halves.
+        annotated = stage(annotate(df, rules), "annotated")
         valid, invalid = split(annotated)
         df = counted(valid if drop_invalid else annotated, "validate")
         steps.append("validate")
@@ -133,49 +136,57 @@ def migrate(
     max_files: int | None = None,
     checkpoint: str | None = None,
     run: str = "migration",
+    rules: RuleSet | None = None,
+    transform: Transformation | None = None,
 ) -> DataFrame:
     """Copy Parquet files at `source` into a catalog table and return one status row.
 
-    Counts the source, creates the table from its schema (after a drop, if asked), loads it as a file stream and
-    compares.  Pass the same `checkpoint` and `run` to resume a broken migration; each micro-batch replaces its own
-    partition, so a repeated one adds nothing.
+    Counts the source, creates the table from its schema (after a drop with its files, if asked), loads it as a file
+    stream (`StreamLoad`) and compares.  Rows that break a rule and batches that fail are kept in
+    `<checkpoint>/quarantine` and counted, and the run goes on; `<checkpoint>/ledger` records every batch, which
+    `streaming.load.load_progress` turns into running progress.  The same `checkpoint` and `run` resume a broken
+    migration: the table is not dropped then, and a `limit` keeps the rows it chose at the start.  No cap without
+    `limit`.
     """
     require_identifier(run)
+    state = checkpoint or scratch_path(spark, "migration")
+    resumed = exists(spark, f"{state}/offsets")
     reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
     frame = reader.parquet(source)
-    total = row_count(frame, where, limit).first()["total_rows"]
+    fields = frame.schema
     if limit is not None:
-        source, pattern, where = write_stage(select_rows(frame, where, limit, order), "capped"), None, None
-    columns = T.StructType([
-        *frame.schema.fields,
-        T.StructField("load_run", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ])
-    create_table(spark, table, columns, ["load_run", "batch_id"], location, replace=drop)
-    before = _run_rows(spark, table, run) if checkpoint is None else 0
+        capped = f"{state}/capped"
+        if not exists(spark, f"{capped}/_SUCCESS"):
+            select_rows(frame, where, limit, order).write.mode("overwrite").parquet(capped)
+        source, pattern, where, frame = capped, None, None, spark.read.schema(fields).parquet(capped)
+    total = row_count(frame, where).first()["total_rows"]
+    shaped = (transform(frame) if transform else frame).schema.fields
+    columns = T.StructType([*shaped, T.StructField("load_run", T.StringType()), T.StructField("batch_id", T.LongType())])
+    create_table(spark, table, columns, ["load_run", "batch_id"], location, replace=drop and not resumed)
+    before = 0 if resumed else _run_rows(spark, table, run)
     if before:
         raise ValueError(f"run {run!r} already loaded {before} rows; resume it with its checkpoint")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # Both partition values are given, so only this batch's partition is replaced.
-        partition = f"load_run = '{run}', batch_id = {batch_id}"
-        batch.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT * FROM {{rows}}", rows=batch
-        )
-
-    stream = select_rows(read_stream(spark, source, frame.schema, max_files, pattern=pattern), where)
-    writer = stream.writeStream.foreachBatch(write_batch)
-    state = checkpoint or scratch_path(spark, "migration")
-    writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    loaded = F.count_if(F.col("load_run") == run)
-    status = spark.table(table).agg(loaded.alias("rows_loaded"))
+    load = StreamLoad(
+        target=table_location(spark, table),
+        checkpoint=state,
+        run=run,
+        ledger=f"{state}/ledger",
+        quarantine=f"{state}/quarantine",
+        rules=rules,
+        transform=transform,
+    )
+    load.run_to_end(select_rows(read_stream(spark, source, fields, max_files, pattern=pattern), where))
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    failed = ledger_batches(read_ledger(spark, load.ledger)).agg(F.sum("rows_failed").alias("n")).first()["n"] or 0
     done, all_rows = F.col("rows_loaded"), F.lit(total).cast("long")
+    status = spark.table(table).where(F.col("load_run") == run).agg(F.count(F.lit(1)).alias("rows_loaded"))
     return status.select(
         F.when(done == all_rows, "completed").otherwise("failed").alias("status"),
-        progress_percent(done, all_rows).alias("progress"),
+        progress_percent(done + failed, all_rows).alias("progress"),
         all_rows.alias("rows_extracted"),
         done.alias("rows_loaded"),
-        (all_rows - done).alias("rows_failed"),
+        F.lit(failed).cast("long").alias("rows_failed"),
     )
 
 

@@ -31,11 +31,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/flowkit/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def _at(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any file system that Spark reaches."""
+    files, where = _at(spark, path)
+    return files.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    files, where = _at(spark, path)
+    files.delete(where, True)
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Delete what this application has staged; frames that read it stop working."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/flowkit/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, f"{scratch_root(spark)}/flowkit/{spark.sparkContext.applicationId}")
 
 
 def write_stage(df: DataFrame, label: str) -> str:

@@ -14,6 +14,7 @@ from flowkit.functions.columns import col, nan_to_null, quoted
 from flowkit.functions.schema import DAY, INT, SHORT_TEXT, TEXT, TEXTS, TIME, schema
 from flowkit.functions.text import array_literal, require_identifier
 from flowkit.operators.clean import keep_first
+from flowkit.plans.staging import remove
 
 # What happens when the target exists, in the writer's words.
 WRITE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
@@ -119,15 +120,29 @@ def create_table(
     location: str | None = None,
     replace: bool = False,
 ) -> None:
-    """Create a typed table; `replace` drops an existing one first, else it stays."""
+    """Create a typed table; `replace` drops an existing one with its files first, else it stays."""
     ddl = table_ddl(name, fields, partitions, location)
     if replace:
-        drop_table(spark, name)
+        drop_table(spark, name, files=True)
+        if location:
+            remove(spark, location)
     spark.sql(ddl)
 
 
-def drop_table(spark: SparkSession, name: str) -> None:
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """The folder of a catalog table; None when there is no such table."""
+    if not spark.catalog.tableExists(require_identifier(name)):
+        return None
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return facts["data_type"] if facts else None
+
+
+def drop_table(spark: SparkSession, name: str, files: bool = False) -> None:
+    """Drop a table if it is there; a table with a location of its own keeps its files, unless `files` is given."""
+    where = table_location(spark, name) if files else None
     spark.sql(f"DROP TABLE IF EXISTS {require_identifier(name)}")
+    if where:
+        remove(spark, where)
 
 
 def write_table(df: DataFrame, name: str, if_exists: str = "append") -> None:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,16 +11,12 @@ from pyspark.sql import types as T
 
 from flowkit.functions.columns import col
 from flowkit.functions.text import require_identifier
-from flowkit.plans.ordered import with_row_index
 
 # Price of a scanned TiB, largest run, preview size.
 USD_PER_TIB = 5.0
 MAX_ROWS_PER_RUN = 1_000_000
 SAMPLE_ROWS = 10_000
 
-# Up to this many rows a cap is a top-n: every task sends that many rows to the last one.
-TOP_N_ROWS = 1_000
-
 
 def read_query(spark: SparkSession, query: str) -> DataFrame:
     """The result of a SQL query, as a lazy frame."""
@@ -82,56 +78,62 @@ def select_rows(
     return kept if limit is None else cap_rows(kept, limit, order)
 
 
-def cap_rows(df: DataFrame, limit: int, order: Sequence[str], top_n_rows: int = TOP_N_ROWS) -> DataFrame:
-    """The first `limit` rows in `order` (ascending, NULLs first).
-
-    A small cap is a top-n.  A large one is first cut down to the rows that can be among them, which are then
-    numbered in parallel (staged), so no task holds them all.
-    """
-    if not order:
-        raise ValueError("a row limit needs an order")
-    if limit <= top_n_rows:
-        return df.orderBy(*[col(c).asc_nulls_first() for c in order]).limit(limit)
-    leading = _leading_rows(df, limit, order[0])
-    return with_row_index(leading, order, name="__index").where(F.col("__index") < limit).drop("__index")
+def _order(order: Sequence[str], descending: Collection[str]) -> list[Column]:
+    return [col(c).desc_nulls_last() if c in descending else col(c).asc_nulls_first() for c in order]
 
 
-def _leading_rows(df: DataFrame, limit: int, column: str, accuracy: int = 10_000) -> DataFrame:
-    """Rows up to a value of the first order column with at least `limit` rows at or below it.
+def _until(row: Mapping[str, Any], order: Sequence[str], descending: Collection[str], types: T.StructType) -> Column:
+    """Whether a row stands before the given one in the order, or at its place.
 
-    The value comes from a quantile sketch and is checked by a count; the comparison reaches the file scan.
+    The condition on the first column is repeated by itself, so that it reaches the file scan.
     """
-    kind = df.schema[column].dataType
-    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return df
-    c = col(column)
-    rows, known = df.agg(F.count(F.lit(1)), F.count(c)).first()
-    nulls = rows - known
-    if rows <= limit or not known:
-        return df
-    share = (limit - nulls) / known + 2 / accuracy
-    if not 0 < share < 1:
-        return df if share >= 1 else df.where(c.isNull())
-    bound = df.agg(F.percentile_approx(c, F.lit(share), accuracy)).first()[0]
-    within = c.isNull() | (c <= F.lit(bound).cast(kind))
-    return df.where(within) if df.agg(F.count_if(within)).first()[0] >= limit else df
+    rest = F.lit(True)
+    for name in reversed(order):
+        c, bound = col(name), F.lit(row[name]).cast(types[name].dataType)
+        if name in descending:
+            before = c.isNotNull() if row[name] is None else F.coalesce(c > bound, F.lit(False))
+        else:
+            before = F.lit(False) if row[name] is None else c.isNull() | (c < bound)
+        rest = before | (c.eqNullSafe(bound) & rest)
+    first, bound = col(order[0]), F.lit(row[order[0]]).cast(types[order[0]].dataType)
+    if row[order[0]] is None:
+        return rest if order[0] in descending else rest & first.isNull()
+    return rest & (first >= bound if order[0] in descending else first.isNull() | (first <= bound))
+
+
+def cap_rows(df: DataFrame, limit: int, order: Sequence[str], descending: Collection[str] = ()) -> DataFrame:
+    """The first `limit` rows in `order`: ascending with NULLs first, or descending with NULLs last.
+
+    The order needs a unique last column, else the rows at the cut are arbitrary.  The order columns alone are
+    range-partitioned and counted (one job); rows of the ranges before the cut are then taken by a filter on the order
+    columns, and the range at the cut is a top-n.  So no task holds more than one range, whatever the limit.
+    """
+    if not order:
+        raise ValueError("a row limit needs an order")
+    if limit <= 0:
+        return df.limit(0)
+    by = _order(order, descending)
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(*[col(c) for c in order]).repartitionByRange(ranges, *by).sortWithinPartitions(*by)
+    last = F.last(F.struct(*[col(c) for c in order])).alias("last")
+    counted = keys.groupBy(F.spark_partition_id().alias("range")).agg(F.count(F.lit(1)).alias("rows"), last)
+    seen, before = 0, None
+    for part in sorted(counted.collect(), key=lambda r: r["range"]):
+        if seen + part["rows"] < limit:
+            seen, before = seen + part["rows"], part["last"]
+            continue
+        rows = df.where(_until(part["last"], order, descending, df.schema))
+        if before is None:
+            return rows.orderBy(*by).limit(limit)
+        whole = _until(before, order, descending, df.schema)
+        return df.where(whole).unionByName(rows.where(~whole).orderBy(*by).limit(limit - seen))
+    return df
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], rows: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
-    """An exact-size sample that a re-run repeats: the rows with the smallest seeded hash of their unique key.
-
-    Hashes are uniform, so a bound on the hash cuts the frame down to about the sample before it is sorted; a count
-    checks that the bound leaves enough rows.
-    """
-    shuffled = F.xxhash64(F.lit(seed), *[col(k) for k in keys])
-    total = df.count()
-    share = (rows + 10 * math.sqrt(rows) + 100) / max(total, 1)
-    candidates = df
-    if share < 1:
-        within = shuffled <= int(-(2**63) + share * 2**64)
-        if df.agg(F.count_if(within)).first()[0] >= rows:
-            candidates = df.where(within)
-    return candidates.orderBy(shuffled, *[col(k) for k in keys]).limit(rows)
+    """An exact-size sample that a re-run repeats: the rows with the smallest seeded MD5 of their unique key."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[col(k).cast("string") for k in keys]).cast("binary"))
+    return cap_rows(df.withColumn("__digest", digest), rows, ["__digest", *keys]).drop("__digest")
 
 
 def row_count(df: DataFrame, where: str | None = None, limit: int | None = None) -> DataFrame:

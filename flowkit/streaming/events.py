@@ -51,8 +51,10 @@ def window_progress(
 ) -> DataFrame:
     """Per time window and key: rows, failures, rows per second, and status.
 
-    Counts are combined per task before the shuffle, so a hot key costs one row per task and window.
+    Counts are combined per task before the shuffle, so a hot key costs one row per task and window.  A row without a
+    time belongs to no window; the query's progress counts such rows as `event_time.rows_without_time`.
     """
+    df = df.observe("event_time", F.count_if(col(ts).isNull()).alias("rows_without_time"))
     windowed = with_event_time(df, ts, delay).groupBy(F.window(ts, every).alias("w"), *[col(k) for k in keys])
     seconds = (F.unix_micros(F.col("w.end")) - F.unix_micros(F.col("w.start"))) / 1_000_000
     counted = windowed.agg(F.count(F.lit(1)).alias("rows"), F.count_if(failed).alias("failed_rows"))

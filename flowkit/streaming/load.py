@@ -6,6 +6,7 @@ after a failure, so every row lands once.  Recovery is the streaming checkpoint'
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -15,15 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from flowkit.functions.schema import DOUBLE, LONG, TEXT, schema
 from flowkit.functions.text import require_identifier
 from flowkit.operators import ledger as run_ledger
-from flowkit.operators.metrics import progress_percent
-from flowkit.operators.quarantine import enqueue, violations_text
-from flowkit.operators.rules import RuleSet, annotate, split
+from flowkit.operators.metrics import progress_percent, throughput
+from flowkit.operators.quarantine import PARTITIONS, TRANSIENT_ERRORS, enqueue, violations_text
+from flowkit.operators.rules import RuleSet, RuleType, annotate, split
 from flowkit.plans.ordered import running_sums
+from flowkit.plans.staging import remove
 
 RUN_COLUMNS = ("load_run", "batch_id")
+BATCH_FIELDS = "batch_id BIGINT, rows_loaded BIGINT, rows_failed BIGINT, error STRING"
 
 
 @dataclass(frozen=True)
@@ -31,7 +33,10 @@ class StreamLoad:
     """Where a load writes and what it does to a batch on the way.
 
     With `rules`, rows that break one go to the quarantine instead of the target.  With a quarantine, a batch that
-    fails as a whole is kept there and the run goes on; without one, the failure stops the run.
+    fails as a whole is kept there and the run goes on; without one, the failure stops the run.  A transient failure
+    (of storage or network) always stops it, and the batch is loaded when the run is started again.  Rules that look at
+    other rows of the batch (`unique`) are refused, since their outcome would depend on how the stream is cut.  A run
+    has no row cap; cap its source with `sources.tables.cap_rows`.
     """
 
     target: str
@@ -46,18 +51,23 @@ class StreamLoad:
         require_identifier(self.run)
         if self.rules and not self.quarantine:
             raise ValueError("rules need a quarantine path for the rows that break them")
+        if self.rules and any(rule.rule_type is RuleType.UNIQUE for rule in self.rules.get_all_rules()):
+            raise ValueError("a unique rule sees one micro-batch at a time; check the loaded table instead")
 
     def _directory(self, root: str, batch_id: int) -> str:
         return f"{root}/load_run={self.run}/batch_id={batch_id}"
 
-    def _write(self, rows: DataFrame, root: str, batch_id: int) -> int:
+    def _write(self, rows: DataFrame, root: str, batch_id: int, partitions: tuple[str, ...] = ()) -> int:
         """Replace the batch's directory and return the rows written, counted by the write itself."""
         written = Observation()
-        rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-            self._directory(root, batch_id)
-        )
+        writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        (writer.partitionBy(*partitions) if partitions else writer).parquet(self._directory(root, batch_id))
         return written.get["rows"]
 
+    def _reject(self, rows: DataFrame, batch_id: int) -> int:
+        """Quarantine rows in the layout of the table, so that look-ups by source and day skip other folders."""
+        return self._write(rows, self.quarantine, batch_id, PARTITIONS)
+
     def _load(self, batch: DataFrame, batch_id: int) -> tuple[int, int]:
         shaped = self.transform(batch) if self.transform else batch
         if self.rules is None:
@@ -67,7 +77,7 @@ class StreamLoad:
             valid, invalid = split(annotated)
             rejected = enqueue(invalid, violations_text(F.col("violations")), self.run, payload=shaped.columns)
             # The quarantine first: if the target fails, the whole batch replaces these rows there.
-            failed = self._write(rejected, self.quarantine, batch_id)
+            failed = self._reject(rejected, batch_id)
             return self._write(valid, self.target, batch_id), failed
         finally:
             annotated.unpersist()
@@ -79,11 +89,12 @@ class StreamLoad:
         try:
             loaded, failed = self._load(batch, batch_id)
         except Exception as e:
-            if self.quarantine is None:
-                raise
             error = f"{type(e).__name__}: {e}"
-            rejected = enqueue(batch, F.lit(error), self.run)
-            loaded, failed = 0, self._write(rejected, self.quarantine, batch_id)
+            if self.quarantine is None or re.search(TRANSIENT_ERRORS, str(e).partition("\n")[0]):
+                raise
+            # An earlier attempt may have written the batch.
+            remove(batch.sparkSession, self._directory(self.target, batch_id))
+            loaded, failed = 0, self._reject(enqueue(batch, F.lit(error), self.run), batch_id)
         if self.ledger is not None:
             data = {"batch_id": batch_id, "rows_loaded": loaded, "rows_failed": failed, "error": error}
             row = run_ledger.checkpoint_row(
@@ -110,19 +121,31 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return read_loaded(spark, path, run_ledger.LEDGER_SCHEMA)
 
 
-def query_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The recent micro-batches of a query: `(batch_id, ts, input_rows, rows_per_second, seconds)`."""
-    fields = schema(batch_id=LONG, ts=TEXT, input_rows=LONG, rows_per_second=DOUBLE, seconds=DOUBLE)
-    batches = [
-        (p.batchId, p.timestamp, p.numInputRows, p.processedRowsPerSecond, p.batchDuration / 1000)
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(batches, fields).withColumn("ts", F.col("ts").cast("timestamp"))
+def query_progress(ledger: DataFrame) -> DataFrame:
+    """Every recorded micro-batch of a load: `(pipeline, batch_id, ts, input_rows, rows_per_second, seconds)`."""
+    seconds = F.get_json_object("metadata", "$.duration_seconds").cast("double")
+    data = F.from_json("data", BATCH_FIELDS)
+    batches = ledger.select("pipeline", F.col("timestamp").alias("ts"), data.alias("data"), seconds.alias("seconds"))
+    rows = F.col("data.rows_loaded") + F.col("data.rows_failed")
+    return batches.select(
+        "pipeline", "data.batch_id", "ts", rows.alias("input_rows"), throughput(rows, F.col("seconds")).alias("rows_per_second"), "seconds"
+    )
+
+
+def ledger_runs(ledger: DataFrame) -> DataFrame:
+    """The recorded batches as runs `(started_at, ended_at, extracted, attempted, failed)` for `metrics_summary`."""
+    progress, batches = query_progress(ledger), ledger_batches(ledger).select("pipeline", "batch_id", "rows_failed")
+    rows = progress.join(batches, ["pipeline", "batch_id"])
+    started = F.timestamp_micros((F.unix_micros("ts") - F.col("seconds") * 1_000_000).cast("long"))
+    return rows.select(
+        started.alias("started_at"), F.col("ts").alias("ended_at"), F.col("input_rows").alias("extracted"),
+        F.col("input_rows").alias("attempted"), F.col("rows_failed").alias("failed"),
+    )
 
 
 def ledger_batches(ledger: DataFrame) -> DataFrame:
     """The recorded batches `(pipeline, batch_id, rows_loaded, rows_failed, error)` of a load's ledger."""
-    data = F.from_json("data", "batch_id BIGINT, rows_loaded BIGINT, rows_failed BIGINT, error STRING")
+    data = F.from_json("data", BATCH_FIELDS)
     return ledger.select("pipeline", data.alias("data")).select("pipeline", "data.*")
 
 

@@ -4,7 +4,6 @@ import os
 
 import oracle
 import pytest
-from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from flowkit.catalogue.registry import GAPPY_ORDERS_SQL, QUERIES, SQL
@@ -20,7 +19,7 @@ def duck(sf_dir):
 def test_sql_belongs_to_queries():
     assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"median_fill_sketched", "preview_sample", "scan_cost"}
+    assert set(QUERIES) - set(SQL) == {"median_fill_sketched", "scan_cost"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -46,12 +45,6 @@ def test_sketched_median_is_close(spark, sf_dir, duck):
     assert abs(filled / median - 1) < 0.01
 
 
-def test_sample_is_the_smallest_hashes(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    brute = orders.orderBy(F.xxhash64(F.lit(7), "o_orderkey"), "o_orderkey").limit(10000).select("o_orderkey")
-    assert QUERIES["preview_sample"](spark, sf_dir).select("o_orderkey").exceptAll(brute).count() == 0
-
-
 def test_scan_cost_is_the_size_of_the_files(spark, sf_dir):
     size = sum(os.path.getsize(f"{sf_dir}/{f}") for f in os.listdir(sf_dir) if f.endswith(".parquet"))
     assert QUERIES["scan_cost"](spark, sf_dir).first()["bytes_processed"] == size

@@ -1,9 +1,11 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from flowkit.operators import checks, report
+from flowkit.operators.batches import map_reduce
 from flowkit.operators.rules import (
     Rule,
     RuleSet,
@@ -121,7 +123,7 @@ def test_severity(spark):
 
 def test_registry():
     rules = rule_set().add_not_null_rule("x")
-    assert [r.name for r in rules.get_all_rules()] == ["k_not_null", "x_range_0_10", "x_not_null", "absent_rule"]
+    assert [r.name for r in rules.get_all_rules()] == ["k_not_null", "x_range", "x_not_null", "absent_rule"]
     assert [r.severity for r in rules.get_rules_for_column("x")] == ["warning", "error"]
     assert rules.get_rules_for_column("zzz") == []
 
@@ -180,4 +182,55 @@ def test_history_score_and_report(spark, tmp_path):
     assert tuple(back.columns) == report.CSV_COLUMNS
     assert sorted(r["valid_percentage"] for r in back.collect()) == ["50.00%", "90.00%"]
     report.export_report_json(history, str(tmp_path / "json"))
-    assert spark.read.json(str(tmp_path / "json")).count() == 2
+    assert spark.read.json(str(tmp_path / "json/checks")).count() == 2
+    assert spark.read.json(str(tmp_path / "json/totals")).first()["total_checks"] == 2
+
+
+@pytest.mark.parametrize(
+    ("pattern", "text", "match"),
+    [
+        (r"\w+$", "été", True),
+        (r"\d+", "٣", True),
+        (r"(?P<first_part>a)(?P=first_part)", "aa", True),
+        (r"a\\Z", "a\\Z", True),
+        (r"a\\Z", "a", False),
+        (r"a\Z", "a\n", False),
+        (r"a$", "a\n", True),
+        (r"a$", "a\r", False),
+        (r"[[a&&b]+\Z", "[a&", True),
+        (r"[]x]+", "]x", True),
+        (r".\Z", "\r", True),
+    ],
+)
+def test_patterns_mean_what_python_means(spark, pattern, text, match):
+    assert bool(re.match(pattern, text)) is match
+    rules = RuleSet().add_pattern_rule("s", pattern)
+    assert annotate(spark.createDataFrame([(text,)], "s STRING"), rules).first()["is_valid"] is match
+
+
+def test_python_rules_do_not_depend_on_their_neighbours(spark):
+    big = 9007199254740993
+    rules = RuleSet().add_python_rule("x", lambda v: v is None or v == big, "not big")
+    rules.add_python_rule("a", lambda v: v == [1, None], "other items")
+    for rows_ in ([(big, [1, None])], [(big, [1, None]), (None, [1, None])]):
+        checked = annotate(spark.createDataFrame(rows_, "x BIGINT, a ARRAY<INT>").coalesce(1), rules)
+        assert all(r["is_valid"] for r in checked.collect())
+
+
+def test_rules_of_one_kind_keep_apart(spark):
+    prefix = "a" * 30
+    rules = RuleSet().add_pattern_rule("s", prefix + "b").add_pattern_rule("s", prefix + "c")
+    rules.add_custom_rule("s", lambda c: c != "x", "x").add_custom_rule("s", lambda c: c != "y", "y").add_unique_rule("s").add_unique_rule("s")
+    names = [r.name for r in rules.get_all_rules()]
+    assert len(set(names)) == 6 and names[:2] == ["s_pattern", "s_pattern_2"]
+    df = spark.createDataFrame([(prefix + "b",), ("x",)], "s STRING")
+    assert annotate(df, rules).columns == ["s", "violations", "is_valid"]
+    assert {r["rule"]: r["violations"] for r in counts_by_rule(annotate(df, rules)).collect()} == {"s_pattern": 1, "s_pattern_2": 2, "s_custom": 1}
+
+
+def test_map_reduce_sees_true_values(spark):
+    df = spark.createDataFrame([(9007199254740993, [1]), (None, [2, 3])], "x BIGINT, a ARRAY<INT>").coalesce(1)
+    found = map_reduce(df, lambda r: (r["x"] or 0) + len(r["a"]), lambda a, b: a + b, "BIGINT").first()[0]
+    assert found == 9007199254740996
+    counted = map_reduce(df, lambda b: b.num_rows, lambda a, b: a + b, "BIGINT", by_batch=True).first()[0]
+    assert counted == 2

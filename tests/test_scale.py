@@ -5,14 +5,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
-from flowkit.catalogue.registry import gappy_orders, table
+from flowkit.catalogue.registry import QUERIES, gappy_orders, table
+
 from flowkit.operators import checks, clean, flatten
 from flowkit.operators.rules import annotate
 from flowkit.catalogue.checking import order_rules
 from flowkit.catalogue.flattening import nested_records
 
-QUERIES = queries()
+
 
 
 def plan(df):
@@ -32,7 +32,7 @@ def test_no_cross_join_and_no_row_scale_single_task(spark, small_dir, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     # A single partition may only collect partial aggregates, a top-n, or the few rows that carry buckets over.
     for after in re.findall(r"Exchange SinglePartition.*\n(.*)", text):
-        assert re.search(r"HashAggregate|ObjectHashAggregate|SortAggregate|LocalLimit|MapInPandas", after), after
+        assert re.search(r"HashAggregate|ObjectHashAggregate|SortAggregate|LocalLimit|MapInPandas|MapInArrow", after), after
 
 
 def test_filters_and_columns_reach_the_scan(spark, small_dir):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowkit.functions.schema import DOUBLE, INT, TEXT, schema
+from flowkit.operators.rules import RuleSet
 from flowkit.plans.jobs import migrate
 from flowkit.sources import sinks, tables
 
@@ -35,22 +36,23 @@ def test_cap_is_exact(spark, limit):
     data = [(None if i % 10 == 0 else (5 if i % 3 else i % 50), i) for i in range(500)]
     df = spark.createDataFrame(data, "t INT, id INT").repartition(6)
     expected = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:limit]
-    assert rows(tables.cap_rows(df, limit, ["t", "id"], top_n_rows=0)) == sorted(expected, key=str)
     assert rows(tables.cap_rows(df, limit, ["t", "id"])) == sorted(expected, key=str)
+    expected = sorted(data, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))[:limit]
+    assert rows(tables.cap_rows(df, limit, ["t", "id"], descending=["t"])) == sorted(expected, key=str)
 
 
 def test_cap_on_text(spark):
     df = spark.createDataFrame([(f"k{i:03d}",) for i in range(100)], "k STRING")
-    assert [r[0] for r in rows(tables.cap_rows(df, 10, ["k"], top_n_rows=0))] == [f"k{i:03d}" for i in range(10)]
+    assert [r[0] for r in rows(tables.cap_rows(df, 10, ["k"]))] == [f"k{i:03d}" for i in range(10)]
 
 
 def test_sample_is_exact_and_repeatable(spark):
     df = spark.range(100_000)
     sample = [r[0] for r in tables.sample_rows(df, ["id"], 1000).collect()]
     assert len(set(sample)) == 1000
-    assert sample == [r[0] for r in tables.sample_rows(df.repartition(7), ["id"], 1000).collect()]
-    brute = df.orderBy(F.xxhash64(F.lit(0), "id")).limit(1000).collect()
-    assert sample == [r[0] for r in brute]
+    assert sorted(sample) == sorted(r[0] for r in tables.sample_rows(df.repartition(7), ["id"], 1000).collect())
+    brute = df.orderBy(F.md5(F.concat(F.lit("0:"), F.col("id").cast("string")).cast("binary"))).limit(1000).collect()
+    assert sorted(sample) == sorted(r[0] for r in brute)
     assert tables.sample_rows(spark.range(5), ["id"], 1000).count() == 5
 
 
@@ -144,3 +146,27 @@ def test_migration(spark, tmp_path):
     assert (second["rows_loaded"], second["status"]) == (100, "completed")
     assert spark.table(name).count() == 529
     sinks.drop_table(spark, name)
+
+
+def test_migration_counts_failed_rows_and_goes_on(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for part in range(3):
+        frame = spark.range(part * 100, part * 100 + 100).selectExpr("id", "id % 5 AS k")
+        frame.coalesce(1).write.mode("append").parquet(source)
+    rules = RuleSet().add_range_rule("k", 0, 3)
+    run = {"checkpoint": str(tmp_path / "state"), "location": str(tmp_path / "out"), "max_files": 1, "rules": rules}
+    status = migrate(spark, source, "counted_rows", **run).first()
+    assert (status["status"], status["rows_loaded"], status["rows_failed"], status["progress"]) == ("failed", 240, 60, 100)
+    again = migrate(spark, source, "counted_rows", drop=True, **run).first()
+    assert (again["rows_loaded"], again["rows_failed"]) == (240, 60)
+    sinks.drop_table(spark, "counted_rows", files=True)
+    assert not (tmp_path / "out").exists()
+
+
+def test_replaced_table_with_a_location_is_empty(spark, tmp_path):
+    columns = spark.range(1).schema
+    sinks.create_table(spark, "placed_rows", columns, location=str(tmp_path / "t"))
+    spark.range(5).write.mode("append").insertInto("placed_rows")
+    sinks.create_table(spark, "placed_rows", columns, location=str(tmp_path / "t"), replace=True)
+    assert spark.table("placed_rows").count() == 0
+    sinks.drop_table(spark, "placed_rows", files=True)

@@ -11,7 +11,16 @@ from flowkit.operators.rules import RuleSet
 from flowkit.sources.tables import read_stream
 from flowkit.streaming.circuit import Circuit, circuit_states
 from flowkit.streaming.events import deduplicate_stream, latest_updates, window_progress, write_updates
-from flowkit.streaming.load import StreamLoad, ledger_batches, load_progress, query_progress, read_ledger, read_loaded
+from flowkit.operators.metrics import metrics_summary
+from flowkit.streaming.load import (
+    StreamLoad,
+    ledger_batches,
+    ledger_runs,
+    load_progress,
+    query_progress,
+    read_ledger,
+    read_loaded,
+)
 
 
 @pytest.fixture
@@ -66,6 +75,10 @@ def test_load_resumes_without_loss_or_duplicates(spark, event_files, tmp_path):
     batches = ledger_batches(read_ledger(spark, where["ledger"])).collect()
     assert sorted(b["batch_id"] for b in batches) == [0, 1, 2, 3]
     assert sum(b["rows_loaded"] for b in batches) == events.count()
+    recorded = query_progress(read_ledger(spark, where["ledger"]))
+    assert recorded.agg(F.sum("input_rows")).first()[0] == events.count() and recorded.where("seconds > 0").count() == 4
+    totals = metrics_summary(ledger_runs(read_ledger(spark, where["ledger"]))).first()
+    assert totals["records_loaded"] == events.count() and totals["uptime_seconds"] > 0
     progress = load_progress(read_ledger(spark, where["ledger"]), F.lit(events.count())).orderBy("batch_id").collect()
     assert [p["progress"] for p in progress] == sorted(p["progress"] for p in progress)
     assert (progress[-1]["progress"], progress[-1]["extracted_so_far"]) == (100, events.count())
@@ -146,8 +159,6 @@ def test_windows_equal_the_batch_form(spark, event_files, tmp_path):
     query.awaitTermination()
     latest = latest_updates(spark, where, stream.schema, ["window_start", "event_type"])
     assert sorted(tuple(r) for r in latest.collect()) == batch
-    progress = query_progress(spark, query)
-    assert progress.agg(F.sum("input_rows")).first()[0] == events.count() and progress.count() >= 6
 
 
 def test_circuit_opens_tries_and_closes():
@@ -214,3 +225,30 @@ def test_code_for_executors_needs_no_copy_of_the_package(tmp_path):
     sent.write_bytes(CloudPickleSerializer().dumps(Circuit))
     check = "import pickle; c = pickle.load(open('sent', 'rb'))(1, 60); c.apply(5, False); assert c.state == 'open'"
     subprocess.run([sys.executable, "-c", check], cwd=tmp_path, env={"PATH": ""}, check=True)
+
+
+def test_repeated_batch_that_fails_lands_once(spark, event_files, tmp_path):
+    _, events = event_files
+    load = StreamLoad(**paths(tmp_path))
+    load.write_batch(events, 0)
+    broken = StreamLoad(**paths(tmp_path), transform=lambda df: df.select("no_such_column"))
+    load.write_batch(events.limit(5), 1)
+    broken.write_batch(events, 0)
+    assert read_loaded(spark, load.target, events.schema).count() == 5
+    assert read_loaded(spark, load.quarantine, schema(record=TEXT)).count() == events.count()
+
+
+def test_transient_failure_stops_the_run(spark, event_files, tmp_path):
+    _, events = event_files
+
+    def unreachable(batch):
+        raise OSError("connection reset by peer")
+
+    load = StreamLoad(**paths(tmp_path), transform=unreachable)
+    with pytest.raises(OSError, match="reset"):
+        load.write_batch(events, 0)
+
+
+def test_unique_rule_is_refused_in_a_stream(tmp_path):
+    with pytest.raises(ValueError, match="unique"):
+        StreamLoad(**paths(tmp_path), rules=RuleSet().add_unique_rule("event_id"))
