@@ -51,9 +51,21 @@ def median_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("o_orderkey", "o_custkey", F.round("price", 4).alias("price"))
 
 
-@query()
+@query(
+    f"""SELECT o_orderkey, price IS NULL AS filled, abs((SELECT avg(CAST(o.price <= (SELECT median(price) FROM
+        ({GAPPY_ORDERS_SQL})) AS INT)) FROM ({GAPPY_ORDERS_SQL}) o WHERE o.price IS NOT NULL) - 0.5) <= 0.001 AS close
+      FROM ({GAPPY_ORDERS_SQL}) g"""
+)
 def median_fill_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.fill_numeric_median(gappy_orders(spark, sf_dir), exact=False).select("o_orderkey", "price")
+    """Which rows the sketched median fills, and whether its rank is within a thousandth of the middle."""
+    raw = gappy_orders(spark, sf_dir)
+    filled = cl.fill_numeric_median(raw, exact=False)
+    median = filled.join(raw.where("price IS NULL").select("o_orderkey"), "o_orderkey").agg(F.max("price")).first()[0]
+    rank = raw.where("price IS NOT NULL").agg(F.avg((F.col("price") <= median).cast("int"))).first()[0]
+    missing = raw.select("o_orderkey", F.col("price").isNull().alias("filled"))
+    value = filled.select("o_orderkey", "price").join(missing, "o_orderkey")
+    close = F.lit(abs(rank - 0.5) <= 0.001) & (~F.col("filled") | (F.col("price") == median))
+    return value.select("o_orderkey", "filled", close.alias("close"))
 
 
 @query(f"SELECT o_orderkey, coalesce(status, '') AS status, priority FROM ({GAPPY_ORDERS_SQL})")

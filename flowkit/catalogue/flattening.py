@@ -12,7 +12,7 @@ from flowkit.catalogue.registry import query, table
 from flowkit.functions.schema import DOUBLE, INT, LONG, SHORT_TEXT, TEXT, TIME, schema
 from flowkit.functions.text import array_literal, is_identifier
 from flowkit.operators import flatten as fl
-from flowkit.plans.staging import scratch_path
+from flowkit.plans.staging import exists, scratch_path, write_stage
 from flowkit.sources import sinks, tables
 
 # Integer dates with months 0 to 12 and days 0 to 31: some are no calendar day.
@@ -86,6 +86,17 @@ SELECT publication_number, application_number, country_code, kind_code, family_i
 FROM """
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested records as a stored table, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED or not exists(spark, _STORED[key]):
+        _STORED[key] = write_stage(nested_records(spark, sf_dir), "nested")
+    return spark.read.schema(fl.NESTED_SCHEMA).parquet(_STORED[key])
+
+
 def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested record per document; arrays come from the whole text, so no group has to be collected."""
 
@@ -115,7 +126,7 @@ def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.transform(parts(", "), lambda s: named(s, F.length(s) % 4 == 0, "name")).alias("assignee_harmonized"),
         F.transform(parts(", "), lambda s: named(code(s), F.length(s) % 5 == 0, "code")).alias("cpc"),
-        F.when(doc % 10 != 5, parts("\n")).alias("citation"),
+        F.when(doc % 10 != 5, F.transform(parts("\n"), lambda s: F.struct(s.alias("publication_number")))).alias("citation"),
     )
 
 
@@ -135,7 +146,7 @@ def _shown(flat: DataFrame) -> DataFrame:
 
 @query(f"{SHOWN_SQL} ({FLAT_SQL})")
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(fl.flatten(nested_records(spark, sf_dir), ordered=False))
+    return _shown(fl.flatten(stored_records(spark, sf_dir), ordered=False))
 
 
 @query(
@@ -143,12 +154,12 @@ def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ORDER BY filing_date DESC NULLS LAST, publication_number LIMIT 25)"
 )
 def flatten_year_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(fl.flatten(nested_records(spark, sf_dir), limit=25, year=2003))
+    return _shown(fl.flatten(stored_records(spark, sf_dir), limit=25, year=2003))
 
 
 @query(f"{SHOWN_SQL} (SELECT * FROM ({FLAT_SQL}) WHERE filing_date >= DATE '2016-03-01' - INTERVAL 365 DAY)")
 def flatten_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = nested_records(spark, sf_dir)
+    nested = stored_records(spark, sf_dir)
     return _shown(fl.flatten(nested, recent_days=365, as_of=dt.date(2016, 3, 1), ordered=False))
 
 
@@ -209,9 +220,13 @@ def preview_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.sample_rows(orders, ["o_orderkey"], seed=7).select("o_orderkey", "o_totalprice")
 
 
-@query()
+@query("SELECT CAST(14 AS BIGINT) AS files, CAST(5.0 AS DOUBLE) AS usd_per_tib, true AS sizes_add_up")
 def scan_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.estimate_cost(spark, sf_dir)
+    """The price of a scan of all tables, per TiB, over as many files as there are tables."""
+    cost = tables.estimate_cost(spark, sf_dir).first()
+    files = tables.scan_files(spark, sf_dir).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    per_tib = F.round(F.lit(cost["cost_usd"]) * 1024**4 / F.col("bytes"), 6)
+    return files.select("files", per_tib.alias("usd_per_tib"), (F.col("bytes") == cost["bytes_processed"]).alias("sizes_add_up"))
 
 
 @query(
@@ -280,7 +295,7 @@ def nan_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM ({FLAT_SQL})"""
 )
 def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = fl.flatten(nested_records(spark, sf_dir), ordered=False)
+    flat = fl.flatten(stored_records(spark, sf_dir), ordered=False)
     named = flat.withColumnsRenamed({"title_english": "title", "family_id": "assignee", "inventor_names": "inventors"})
     target = T.StructType([f for f in sinks.ENHANCED_TARGET if f.name != "loaded_at"])
     conformed = sinks.conform_to_schema(named, target)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from flowkit.catalogue.registry import query, table
 from flowkit.functions.schema import DOUBLE, LONG, TEXT, schema
+from flowkit.operators.metrics import metrics_summary
 from flowkit.operators.quarantine import read_quarantine
 from flowkit.operators.rules import RuleSet
 from flowkit.plans.jobs import migrate
@@ -18,7 +19,7 @@ from flowkit.plans.staging import scratch_path
 from flowkit.sources.tables import read_stream
 from flowkit.streaming.circuit import circuit_states as step_circuits
 from flowkit.streaming.events import deduplicate_stream, latest_updates, window_progress, write_updates
-from flowkit.streaming.load import StreamLoad, ledger_batches, read_ledger, read_loaded
+from flowkit.streaming.load import StreamLoad, ledger_batches, ledger_runs, read_ledger, read_loaded
 
 FILES, FILES_PER_BATCH = 10, 1
 
@@ -212,3 +213,14 @@ def load_with_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = read_quarantine(spark, load.quarantine)
     ids = F.get_json_object("record", "$.event_id").cast("long").alias("event_id")
     return good.unionByName(kept.select(ids, F.lit(True).alias("quarantined")))
+
+
+@query(
+    """SELECT count(*) AS records_extracted, count(*) FILTER (value <= 100 AND event_type <> 'error') AS records_loaded,
+      count(*) FILTER (value > 100 OR event_type = 'error') AS records_failed, true AS ran FROM events"""
+)
+def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run summary of a load, from its ledger."""
+    load, _ = _split_load(spark, sf_dir)
+    totals = metrics_summary(ledger_runs(read_ledger(spark, load.ledger)))
+    return totals.withColumn("ran", F.col("uptime_seconds") > 0).drop("uptime_seconds")

@@ -19,19 +19,39 @@ from flowkit.plans.staging import stage
 IGNORED_IN_KEYS = ("created_at", "updated_at")
 
 
-def _groupable(f: T.StructField) -> Column:
-    """A column as a grouping key; maps have no equality, so they compare by their sorted entries."""
-    c = col(f.name)
-    return F.to_json(F.array_sort(F.map_entries(c))) if isinstance(f.dataType, T.MapType) else c
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype)
+    return isinstance(dtype, T.MapType) or (isinstance(dtype, T.ArrayType) and _has_map(dtype.elementType))
+
+
+def _groupable(c: Column, dtype: T.DataType) -> Column:
+    """A value as a grouping key; maps at any depth have no equality, so they compare by their sorted entries."""
+    if not _has_map(dtype):
+        return c
+    if isinstance(dtype, T.StructType):
+        fields = [_groupable(c.getField(f.name), f.dataType).alias(f.name) for f in dtype]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(c, lambda x: _groupable(x, dtype.elementType))
+
+    def entry(e: Column) -> Column:
+        return F.struct(_groupable(e["key"], dtype.keyType).alias("key"), _groupable(e["value"], dtype.valueType).alias("value"))
+
+    return F.array_sort(F.transform(F.map_entries(c), entry))
+
+
+def _with_map_keys(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """`df` with helper keys for columns that hold maps, the names to group by, and the helpers."""
+    maps = [c for c in columns if _has_map(df.schema[c].dataType)]
+    helpers = {f"__key_{i}": _groupable(col(c), df.schema[c].dataType) for i, c in enumerate(maps)}
+    return (df.withColumns(helpers) if helpers else df), [*[c for c in columns if c not in maps], *helpers], list(helpers)
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Full-row dedupe in which NULL equals NULL and NaN equals NaN."""
-    maps = {f"__key_{i}": _groupable(f) for i, f in enumerate(df.schema) if isinstance(f.dataType, T.MapType)}
-    if not maps:
-        return df.dropDuplicates()
-    plain = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
-    return df.withColumns(maps).dropDuplicates([*plain, *maps]).drop(*maps)
+    """Full-row dedupe in which NULL equals NULL and NaN equals NaN, with maps at any depth."""
+    keyed, keys, helpers = _with_map_keys(df, df.columns)
+    return keyed.dropDuplicates(keys).drop(*helpers) if helpers else df.dropDuplicates()
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -50,12 +70,11 @@ def deduplicate_rows(
 
     A hash of the text columns goes before the columns themselves, so that sorting seldom compares long texts.
     """
-    keys = [c for c in df.columns if c not in set(ignored)]
-    texts = [c for c in keys if df.schema[c].dataType == T.StringType()]
-    if not texts:
-        return keep_first(df, keys, order)
-    hashed = df.withColumn("__hash", F.xxhash64(*[col(c) for c in texts]))
-    return keep_first(hashed, ["__hash", *keys], order).drop("__hash")
+    keyed, keys, helpers = _with_map_keys(df, [c for c in df.columns if c not in set(ignored)])
+    texts = [c for c in keys if keyed.schema[c].dataType == T.StringType()]
+    if texts:
+        keyed, keys, helpers = keyed.withColumn("__hash", F.xxhash64(*[col(c) for c in texts])), ["__hash", *keys], ["__hash", *helpers]
+    return keep_first(keyed, keys, order).drop(*helpers)
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -159,7 +178,7 @@ def cleaning_report(df: DataFrame) -> DataFrame:
 
     `df` is the input of the cleaning.  Nulls are counted after the dedupe, as the fill sees them.
     """
-    keys = [_groupable(f).alias(f.name) for f in df.schema]
+    keys = [_groupable(col(f.name), f.dataType).alias(f.name) for f in df.schema]
     types = {f.name: f.dataType for f in df.schema}
     distinct = df.select(*keys).groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__rows"))
     kinds = {f.name: f.dataType for f in distinct.schema}

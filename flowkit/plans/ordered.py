@@ -98,6 +98,22 @@ def running_sums(
     return out.withColumns(totals).drop(BUCKET, *carried)
 
 
+def _indexed(df: DataFrame, order: Sequence[str], name: str, buckets: int | None) -> DataFrame:
+    by = [col(c).asc_nulls_first() for c in order]
+    ranges = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(ranges, *by).sortWithinPartitions(*by)
+    placed = stage(placed.withColumn("__place", F.monotonically_increasing_id()), "indexed")
+    # An id is the task's number in its high bits and the place in the task in the 33 low ones.
+    task = F.shiftright("__place", 33).alias("__task")
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(task).agg(F.count(F.lit(1)).alias("__rows"))
+    starts = counts.select("__task", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    # One row per task that wrote, so the table is small whatever the size of the data.
+    joined = placed.withColumn("__task", task).join(F.broadcast(starts), "__task")
+    place = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    return joined.withColumn(name, F.col("__start") + place).select(*df.columns, name)
+
+
 def with_row_index(
     df: DataFrame,
     order: Sequence[str],
@@ -105,7 +121,13 @@ def with_row_index(
     name: str = "row_index",
     buckets: int | None = None,
 ) -> DataFrame:
-    """Add the 0-based position of each row in `order`, per key or over the whole frame."""
+    """Add the 0-based position of each row in `order`, per key or over the whole frame.
+
+    Without keys the rows are shuffled once: they are sorted within their ranges, staged with their place in the range,
+    and a range's first position is the number of rows in the ranges before it.
+    """
+    if not keys:
+        return _indexed(df, order, name, buckets)
     counted = running_sums(df, {name: F.lit(1).cast("long")}, order, keys, buckets)
     return counted.withColumn(name, F.col(name) - 1)
 

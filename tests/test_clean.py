@@ -122,3 +122,11 @@ def test_process_counts_rows_per_step(spark):
 def test_normalize_columns(spark, columns):
     df = spark.createDataFrame([(" A ", 1)], "s STRING, n INT")
     assert rows(cl.normalize_text(df, columns)) == [("a", 1)]
+
+
+def test_duplicates_with_maps_at_any_depth(spark):
+    kinds = "id INT, m MAP<STRING,INT>, s STRUCT<a: ARRAY<MAP<STRING,INT>>>"
+    data = [(1, {"a": 1, "b": 2}, ([{"x": 1}],)), (1, {"b": 2, "a": 1}, ([{"x": 1}],)), (1, {"a": 1}, ([{"x": 1}],)), (1, None, None), (1, None, None)]
+    df = spark.createDataFrame(data, kinds)
+    assert cl.drop_duplicate_rows(df).count() == 3
+    assert cl.deduplicate_rows(df.withColumn("created_at", F.monotonically_increasing_id()), ["created_at"]).count() == 3

@@ -114,3 +114,18 @@ def test_staging_uses_the_configured_folder(spark):
     staged = staging.stage(spark.range(10), "numbers")
     assert staged.count() == 10
     assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
+
+
+def test_index_is_one_shuffle(spark):
+    df = spark.range(0, 5_000, 1, 7).selectExpr("(id * 7919) % 5003 AS k", "id")
+    indexed = ordered.with_row_index(df, ["k"], buckets=5)
+    expected = {k: i for i, k in enumerate(sorted(r["k"] for r in df.collect()))}
+    assert {r["k"]: r["row_index"] for r in indexed.collect()} == expected
+    plan = indexed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(k" not in plan and "SortMergeJoin" not in plan
+
+
+def test_nothing_stays_behind(spark):
+    ordered.with_row_index(spark.range(10), ["id"]).count()
+    staging.clear_staged(spark)
+    assert not staging.exists(spark, f"{staging.scratch_root(spark)}/flowkit/{spark.sparkContext.applicationId}")
