@@ -5,8 +5,7 @@ range-partitioned on (keys, order) into buckets of similar size, each row is tag
 frame is staged, so the tag is the same for every later read.  Windows then run inside (keys, bucket).
 
 What a bucket needs from the buckets before or after it is a carry row.  A key lies in one bucket unless it crosses a
-bucket boundary, and at most two keys per bucket cross one; so the carry table has at most two rows per bucket and is
-broadcast whatever the size of the data.
+bucket boundary, and at most two keys per bucket cross one; so the carry table has at most two rows per bucket.
 
 Give `order` a unique tie-break as its last column; without one, tied rows have no defined order, as in any sort.
 """
@@ -18,6 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowkit.functions.columns import col, present
 from flowkit.plans.staging import stage
@@ -62,11 +62,13 @@ def _carry_table(summary: DataFrame, keys: Sequence[str], carried: Mapping[str,
 
 
 def _with_carry(staged: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The carry table is broadcast if its rows, at most two per bucket, have a fixed width; else Spark decides."""
+    fixed = all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)) for f in carry.schema)
     on = F.col(BUCKET) == F.col("__carry_bucket")
     for i, k in enumerate(keys):
         on = on & col(k).eqNullSafe(F.col(f"__key_{i}"))
     helpers = ["__carry_bucket", *[f"__key_{i}" for i in range(len(keys))]]
-    return staged.join(F.broadcast(carry), on, "left").drop(*helpers)
+    return staged.join(F.broadcast(carry) if fixed else carry, on, "left").drop(*helpers)
 
 
 def running_sums(
