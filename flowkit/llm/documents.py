@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flowkit.plans.staging import stage
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 LEAST_ID = -(1 << 63)
 
 SLICE_ROWS = 512
@@ -22,17 +23,25 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:
-    """`df` staged, with the shuffle files behind it removed once it is written (nothing reads `df` again)."""
+    """`df` staged, with the shuffle files behind it removed once it is written (nothing reads `df` again).
+
+    Texts go to Python in smaller batches meanwhile, which bounds the memory of a task on both sides.
+    """
     conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
+    wanted = {CLEANUP: "true", BATCH_ROWS: str(SLICE_ROWS * 2)}
+    before = {k: conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        conf.set(k, v)
     try:
         return stage(df, label)
     finally:
-        conf.set(CLEANUP, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def one_per_id(docs: DataFrame) -> DataFrame:

@@ -229,6 +229,7 @@ def _settled(entries: DataFrame) -> DataFrame:
             chosen = (repeated | shared) & (n > 0)
             done.append((doc[chosen], start[chosen], n[chosen], repeated[chosen]))
         doc, start, n, whole = (np.concatenate(x) for x in zip(*done, strict=True))
+        pa.default_memory_pool().release_unused()
         return pa.table({"doc": doc, "start": start.astype(np.int32), "n": n.astype(np.int32), "whole": whole})
 
     return entries.groupBy("bucket").applyInArrow(run, _FOUND)
