@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowkit.llm import bpe, jaccard, language, lines, mixing
-from flowkit.llm.documents import settled, unique_rows
+from flowkit.llm.documents import row_keys, settled
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,18 +26,19 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier line repeats; those with no word left go, `n_chars` follows."""
-    docs = unique_rows(docs)
-    found = lines.dedup_lines(docs).select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
-    joined = docs.drop("text").join(found, F.col("doc_id").eqNullSafe(F.col("__id"))).where(mixing.words_in(F.col("__text")) > 0)
+    rows, key = row_keys(docs)
+    found = lines.dedup_lines(rows.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
+    joined = rows.drop("text").join(found, F.col(key).eqNullSafe(F.col("__id"))).where(mixing.words_in(F.col("__text")) > 0)
     made = {"text": F.col("__text"), "n_chars": F.char_length("__text").cast("long")}
     return joined.withColumns({c: v for c, v in made.items() if c in docs.columns}).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near copies."""
-    docs = unique_rows(docs)
-    found = jaccard.components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("__id"))
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    """The document with the smallest id of each component of near copies; without an id or with a shared one, by row."""
+    rows, key = row_keys(docs)
+    found = jaccard.components(rows.select(F.col(key).alias("doc_id"), "text"))
+    found = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id"))
+    return rows.join(found, F.col(key).eqNullSafe(F.col("__id")), "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowkit.plans.ordered import with_row_index
 from flowkit.plans.staging import stage
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 LEAST_ID = -(1 << 63)
+ROW = "__row"
 
 SLICE_ROWS = 512
 
@@ -44,14 +46,43 @@ def settled(df: DataFrame, label: str) -> DataFrame:
             conf.unset(k) if v is None else conf.set(k, v)
 
 
-def one_per_id(docs: DataFrame) -> DataFrame:
-    """`doc_id` (long) and `text` (null as empty), one row per id: of rows that share an id, the smallest text counts.
+def _shared_ids(docs: DataFrame) -> bool:
+    return not docs.groupBy("doc_id").count().where("count > 1").isEmpty()
 
-    Ids are unique as a rule, which a count of the ids alone shows; texts are moved only if they are not.  (Runs that.)
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with their place `ROW` in the order of id (null first), hash of all columns, and a number among repeats.
+
+    The number is staged before rows are sorted by it, so a row keeps its place however often it is read.
+    """
+    tie = {"__first": F.xxhash64(*docs.columns), "__second": F.xxhash64(F.lit(1), *docs.columns), "__nth": F.monotonically_increasing_id()}
+    return with_row_index(settled(docs.withColumns(tie), "numbered"), ["doc_id", *tie], name=ROW).drop(*tie)
+
+
+def row_keys(docs: DataFrame) -> tuple[DataFrame, str]:
+    """All rows, and the column that tells them apart: `doc_id` if no two rows share one, else `ROW`, which is added.
+
+    (Runs a count of the ids alone; texts are moved only if some are shared.)
+    """
+    return (numbered(docs), ROW) if _shared_ids(docs) else (docs, "doc_id")
+
+
+def by_document(docs: DataFrame, run: Callable[[DataFrame], DataFrame], ids: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """`run` over `doc_id` (long, unique) and `text` (null as empty); `ids` are the columns of ids it returns.
+
+    Rows with the same id and text are one document.  If other rows share an id, `run` sees the places of the rows
+    instead, and the ids are put back afterwards, so every text is judged.  (Runs a count of the ids.)
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    shared = docs.groupBy("doc_id").count().where("count > 1")
-    return docs if shared.isEmpty() else docs.groupBy("doc_id").agg(F.min("text").alias("text"))
+    if not _shared_ids(docs):
+        return run(docs)
+    rows = numbered(docs.distinct())
+    found = run(rows.select(F.col(ROW).alias("doc_id"), "text"))
+    columns = found.columns
+    for c in ids:
+        own = rows.select(F.col(ROW).alias(c), F.col("doc_id").alias("__id"))
+        found = found.join(own, c).withColumn(c, F.col("__id")).select(*columns)
+    return found
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -65,11 +96,3 @@ def packed_texts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids.fill_null(LEAST_ID), ids, packed], names=["doc", "doc_id", "packed"])
 
     return docs.mapInArrow(run, "doc long, doc_id long, packed binary")
-
-
-def unique_rows(docs: DataFrame) -> DataFrame:
-    """All columns, one row per id: of rows that share an id, the one with the smallest text (then columns in order)."""
-    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return docs
-    ordered = ["text", *[c for c in docs.columns if c not in ("doc_id", "text")]]
-    return docs.groupBy("doc_id").agg(F.min(F.struct(*ordered)).alias("row")).select("doc_id", "row.*").select(*docs.columns)

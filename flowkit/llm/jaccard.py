@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts, settled, sliced
+from flowkit.llm.documents import LEAST_ID, by_document, packed_texts, settled, sliced
 from flowkit.llm.hashing import blocks, mix, shingles
 
 PERCENT = 75
@@ -213,10 +213,14 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Each document's shingle count and component: doc_id, n_shingles, component_id.
 
     Documents link when 100 * shared >= `percent` * all of their shingles; a component has the smallest id reachable by
-    links.  A document without words is linked with nothing.  One row per id: a null text is empty, a null id stands
-    before all others, and of rows that share an id the smallest text counts.  (Runs jobs for each round of comparisons.)
+    links.  A document without words is linked with nothing.  One row per id and text: a null text is empty, a null id
+    stands before all others, and different texts that share an id (or have none) are documents of their own.  (Runs
+    jobs for each round of comparisons.)
     """
-    docs = one_per_id(docs)
+    return by_document(docs, lambda rows: _components(rows, percent), ids=("doc_id", "component_id"))
+
+
+def _components(docs: DataFrame, percent: int) -> DataFrame:
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = settled(_told_apart(_fragments(docs, buckets), percent), "sets")
     classes = known.where("n_shingles > 0").groupBy("first", "second").agg(F.min("doc").alias("stands"), F.max("open").alias("open"))

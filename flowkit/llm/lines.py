@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowkit.llm.documents import LEAST_ID, one_per_id, settled
+from flowkit.llm.documents import LEAST_ID, by_document, settled
 
 MIN_WORDS = 10
 SPACE = r"[\x20\x09-\x0D]+"
@@ -107,13 +107,16 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     A line goes if an earlier one (smaller `doc_id`, or the same and an earlier line) has the same words, or, for lines
     of `min_words` words or more, words at an edit distance of one (one word added, left out or changed).  Lines end at
     \\n; A-Z count as a-z, white space only separates words, and lines without words stay.  Earlier lines count whether
-    they stay or not.  One row per id: a null text is empty (one empty line), a null id stands before all others, and
-    of rows that share an id the smallest text counts.
+    they stay or not.  One row per id and text: a null text is empty (one empty line), a null id stands before all
+    others, and different texts that share an id (or have none) follow each other by a hash of the text.
 
     Copies are gathered by hash first, so that one line stands for them.  Lines whose first and last halves are both
     found in no other line cannot be one word apart from any, and emit no variants.
     """
-    docs = one_per_id(docs)
+    return by_document(docs, lambda rows: _dedup_lines(rows, min_words))
+
+
+def _dedup_lines(docs: DataFrame, min_words: int) -> DataFrame:
     lines = _lines(docs)
     words = F.col("words")
     keyed = lines.withColumn("id", F.when(F.col("n") > 0, F.xxhash64(F.lit("line"), words))).withColumn("key", F.xxhash64(words, F.lit("second")))

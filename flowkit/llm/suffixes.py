@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowkit.llm.documents import LEAST_ID, one_per_id, packed_texts, settled, sliced
+from flowkit.llm.documents import LEAST_ID, by_document, packed_texts, settled, sliced
 from flowkit.llm.hashing import BYTE_VALUES, POWER, mix, powers
 
 WINDOW = 100
@@ -186,7 +186,7 @@ def _entries(docs: DataFrame, buckets: int) -> DataFrame:
         sent = [x[by_gram] for x in sent]
         bucket = ((sent[0] >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int32)
         cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
-        ends = np.append(cuts[1:], len(bucket))
+        ends = np.append(cuts[1:], len(bucket))[: len(cuts)]
         out = [{"bucket": int(bucket[a]), "n": int(b - a), "whole": None, "packed": _pack([x[a:b] for x in sent])} for a, b in zip(cuts, ends, strict=True)]
         for flag, (d, s, k) in ((True, whole), (False, (doc[open_], start[open_], n[open_]))):
             zero = np.zeros(len(d), np.uint64)
@@ -372,7 +372,7 @@ def _repeated(texts: DataFrame, open_: DataFrame, share: int, buckets: int) -> D
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """Runs of consecutive windows that also start earlier, in any order: doc, start (byte) and n (windows).
 
-    `docs` has unique `doc_id` and `text` (see `documents.one_per_id`); a null id stands before all others.
+    `docs` has unique `doc_id` and `text` (see `documents.by_document`); a null id stands before all others.
     """
     buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = settled(_settled(_entries(docs, buckets)), "extents")
@@ -390,10 +390,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     Earlier is a smaller `doc_id`, or the same one and an earlier byte; matches never cross documents, overlaps count
     and strings are judged on the input.  Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and `kept`
-    (binary), one row per id; a null text is empty, a null id stands before all others, and of rows that share an id
-    the smallest text counts.
+    (binary), one row per id and text; a null text is empty, a null id stands before all others, and different texts
+    that share an id (or have none) follow each other by a hash of the text.
     """
-    docs = one_per_id(docs)
+    return by_document(docs, _deduplicate)
+
+
+def _deduplicate(docs: DataFrame) -> DataFrame:
     runs = repeated_runs(docs).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     joined = packed_texts(docs).join(runs, "doc", "left").select("doc_id", "packed", "runs")
 

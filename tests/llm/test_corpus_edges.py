@@ -315,3 +315,24 @@ def test_pipeline_on_edges(spark, docs, empty, tmp_path):
             if i < 4:
                 assert frame.columns == docs.columns
         assert (frame.count() > 0) == (name == "edges")
+
+
+def test_texts_without_an_id_or_with_a_shared_one_are_all_judged(spark):
+    turns = random.Random(11)
+    texts = [" ".join(f"w{turns.randrange(5_000)}" for _ in range(60)) for _ in range(6)]
+    near = texts[3].rsplit(" ", 1)[0] + " end"
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (9, near), (9, texts[4]), (9, texts[4]), (12, texts[5] + "\n" + texts[1])]
+    docs = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, n_chars long").repartition(3)
+
+    found = lines.dedup_lines(docs).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in found) == sorted((str(d), t) for d, t in [*rows[:4], (9, ""), (9, texts[4]), (12, texts[5])])
+    linked = sorted((str(r["doc_id"]), str(r["component_id"])) for r in jaccard.components(docs).collect())
+    assert linked == sorted([("None", "None")] * 2 + [("5", "5")] * 2 + [("9", "5"), ("9", "9"), ("12", "12")])
+    removed = {(r["doc_id"], r["n_bytes"]): r["n_removed"] for r in suffixes.deduplicate(docs).collect()}
+    assert len(removed) == 7 and removed[9, len(near)] > 100 and removed[12, len(rows[7][1])] >= len(texts[1])
+    assert sum(n > 0 for n in removed.values()) == 2
+
+    kept = corpus_pipeline.fresh_lines(spark, docs, "").collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted((str(d), t) for d, t in [*rows[:4], (9, texts[4]), (12, texts[5])])
+    one = corpus_pipeline.one_of_each(spark, docs, "").collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in one) == sorted((str(d), t) for d, t in [*rows[:4], rows[5], rows[7]])
