@@ -90,21 +90,29 @@ def map_reduce(
     """One row `(result)`: map every row, given as a dict, then combine with an associative and commutative function.
 
     Values are as stored: None for NULL, whole numbers as int, arrays as lists.  With `by_batch` the map gets Arrow
-    record batches instead, of any size, and gives one value for each.  A row whose map raises is dropped; without any mapped value the result is NULL.  Each task reduces its own rows
-    and sends one value on; the values meet in `fan_in` tasks and then in one.  Prefer built-in aggregates where they
-    express the reduction.
+    record batches instead, of any size, and gives one value for each; a batch whose map raises is mapped again by
+    halves.  Only rows whose map raises by themselves are dropped; without any mapped value the result is NULL.  Each
+    task reduces its own rows and sends one value on; the values meet in `fan_in` tasks and then in one.  Prefer
+    built-in aggregates where they express the reduction.
     """
     schema = T.StructType.fromDDL(f"result {result_type}")
     arrow = to_arrow_schema(schema)
 
+    def tried(item: Any) -> Iterator[Any]:
+        try:
+            value = map_value(item)
+        except Exception:  # noqa: BLE001 - a failed map drops its row
+            if by_batch and item.num_rows > 1:
+                half = item.num_rows // 2
+                yield from tried(item.slice(0, half))
+                yield from tried(item.slice(half))
+            return
+        yield value
+
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[Any]:
         for batch in batches:
             for item in [batch] if by_batch else batch.to_pylist():
-                try:
-                    value = map_value(item)
-                except Exception:  # noqa: BLE001, S112 - a failed map drops its row
-                    continue
-                yield value
+                yield from tried(item)
 
     def fold(values: Iterator[Any]) -> Iterator[pa.RecordBatch]:
         nothing = object()

@@ -311,3 +311,14 @@ def test_missing_fields(spark):
     found = [r[0] for r in rows(df, masking.missing_fields(F.col("d")))]
     every = list(masking.REQUIRED_FIELDS)
     assert found == [["project_id", "private_key"], every, every, []]
+
+
+def test_map_reduce_by_batch_drops_only_the_rows_that_raise(spark):
+    def total(batch):
+        ids = batch.column("id").to_pylist()
+        if {7, 500, 501} & set(ids):
+            raise ValueError("bad row")
+        return sum(ids)
+
+    found = batches.map_reduce(spark.range(0, 1_000, 1, 3), total, lambda a, b: a + b, "BIGINT", by_batch=True)
+    assert rows(found) == [(sum(range(1_000)) - 7 - 500 - 501,)]
