@@ -5,6 +5,8 @@ Targets, checkpoints and ledgers go below the shared folder that `spark.checkpoi
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from flowkit.operators.metrics import metrics_summary
 from flowkit.operators.quarantine import read_quarantine
 from flowkit.operators.rules import RuleSet
 from flowkit.plans.jobs import migrate
+from flowkit.plans.ordered import with_row_index
 from flowkit.plans.staging import scratch_path
 from flowkit.sources.tables import read_stream
 from flowkit.streaming.circuit import circuit_states as step_circuits
@@ -22,24 +25,35 @@ from flowkit.streaming.events import deduplicate_stream, latest_updates, window_
 from flowkit.streaming.load import StreamLoad, ledger_batches, ledger_runs, read_ledger, read_loaded
 
 FILES, FILES_PER_BATCH = 10, 1
+ROWS_PER_FILE = 1_000_000
+
 
+def _split_events(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """The folder of the events in `FILES` parts of equal rows, in the order of their time, and the files of each part.
 
-def _split_events(spark: SparkSession, sf_dir: str) -> str:
-    """The events in files of consecutive times, written one after the other, so that a stream reads them in order."""
-    path = scratch_path(spark, "events")
+    Parts are written one after the other, so that a stream reads them in order, by as many tasks as their rows need.
+    Events without a time go with the last part.  (Runs: counts, the order, and a write for each part.)
+    """
+    path, staged = scratch_path(spark, "events"), scratch_path(spark, "parts")
     events = table(spark, sf_dir, "events")
-    first, last = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
-    share = (F.unix_micros(F.col("ts").cast("timestamp")) - first) / (last - first + 1)
-    part = F.floor(share * FILES).cast("int")
+    timed, untimed = events.agg(F.count("ts"), F.count_if(F.col("ts").isNull())).first()
+    placed = with_row_index(events.withColumn("__untimed", F.col("ts").isNull()), ["__untimed", "ts", "event_id"], name="__at")
+    place = F.expr(f"CAST(__at * {FILES} DIV {max(1, timed)} AS INT)")
+    placed = placed.withColumn("__part", F.when(F.col("__untimed"), FILES - 1).otherwise(place)).drop("__untimed", "__at")
+    placed.write.partitionBy("__part").parquet(staged)
+    parts = spark.read.schema(placed.schema).parquet(staged)
+    files = max(1, math.ceil((timed / FILES + untimed) / ROWS_PER_FILE))
     for i in range(FILES):
-        events.where(part == i).coalesce(1).write.mode("append").parquet(path)
-    return path
+        rows = parts.where(F.col("__part") == i).select(*events.columns)
+        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
+    return path, files
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of `FILES` files in the order of their time, some per micro-batch."""
+    """The events as a stream of `FILES` parts in the order of their time, some per micro-batch."""
     columns = table(spark, sf_dir, "events").schema
-    return read_stream(spark, f"{_split_events(spark, sf_dir)}/*.parquet", columns, max_files=FILES_PER_BATCH)
+    path, files = _split_events(spark, sf_dir)
+    return read_stream(spark, f"{path}/*.parquet", columns, max_files=FILES_PER_BATCH * files)
 
 
 def _collected(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
@@ -189,7 +203,7 @@ def migration_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, 'completed' AS status FROM events ORDER BY event_type, event_id LIMIT 4000")
 def migration_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A capped migration that is started again with the same arguments, drop included."""
-    source = f"{_split_events(spark, sf_dir)}/*.parquet"
+    source = f"{_split_events(spark, sf_dir)[0]}/*.parquet"
     run = {
         "limit": 4000, "order": ["event_type", "event_id"], "drop": True, "max_files": 1,
         "location": scratch_path(spark, "migrated"), "checkpoint": scratch_path(spark, "migration"),

@@ -23,6 +23,9 @@ FAILURE_THRESHOLD = 5
 RECOVERY_SECONDS = 60
 SUCCESSES_TO_CLOSE = 2
 
+# Stands for a missing time on the way to Python, so that times stay whole numbers; it sorts last.
+UNTIMED = (1 << 63) - 1
+
 STATE_SCHEMA = "state STRING, failures INT, successes INT, last_failure BIGINT, last_seen BIGINT"
 
 
@@ -38,26 +41,30 @@ class Circuit:
     last_failure: int | None = None
     last_seen: int | None = None
 
-    def apply(self, at: int, ok: bool) -> str:
-        """Take one outcome; returns whether it was `applied`, `rejected` (circuit open) or `late` (ignored)."""
-        if self.last_seen is not None and at < self.last_seen:
-            return "late"
-        self.last_seen = at
+    def apply(self, at: int | None, ok: bool) -> str:
+        """Take one outcome; returns whether it was `applied`, `rejected` (circuit open) or `late` (ignored).
+
+        One without a time is never late and starts no trial; as a failure it counts from the last time seen.
+        """
+        if at is not None:
+            if self.last_seen is not None and at < self.last_seen:
+                return "late"
+            self.last_seen = at
         if self.state == OPEN:
-            if at - self.last_failure < self.recovery:
+            if at is None or (self.last_failure is not None and at - self.last_failure < self.recovery):
                 return "rejected"
             self.state, self.failures, self.successes = HALF_OPEN, 0, 0
-        (self._succeed if ok else self._fail)(at)
+        (self._succeed if ok else self._fail)(self.last_seen)
         return "applied"
 
-    def _succeed(self, at: int) -> None:
+    def _succeed(self, at: int | None) -> None:
         self.failures = 0
         if self.state == HALF_OPEN:
             self.successes += 1
             if self.successes >= SUCCESSES_TO_CLOSE:
                 self.state, self.successes = CLOSED, 0
 
-    def _fail(self, at: int) -> None:
+    def _fail(self, at: int | None) -> None:
         self.failures += 1
         self.last_failure = at
         if self.state == HALF_OPEN or self.failures >= self.threshold:
@@ -77,7 +84,7 @@ def circuit_states(
     """Per outcome: `(key, ts, tie_break, ok, state_before, state_after, outcome)`.
 
     Inside a micro-batch a key's outcomes are taken in (ts, tie-break) order; one that is older than the key's last
-    is `late` and changes nothing.  `idle_seconds` forgets keys without events for that long (the stream then needs a
+    is `late` and changes nothing, and those without a time come last.  `idle_seconds` forgets keys without events for that long (the stream then needs a
     watermark); without it keys are kept.
     """
     kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
@@ -98,23 +105,23 @@ def circuit_states(
         rows = []
         for at, tie, good in zip(events["ts"], events["tie_break"], events["ok"], strict=True):
             before = circuit.state
-            outcome = circuit.apply(int(at), bool(good))
+            outcome = circuit.apply(None if at == UNTIMED else int(at), bool(good))
             rows.append((group[0], at, tie, good, before, circuit.state, outcome))
         saved.update(
             (circuit.state, circuit.failures, circuit.successes, circuit.last_failure, circuit.last_seen)
         )
         if idle_seconds is not None:
-            latest = max(circuit.last_seen // 1000, saved.getCurrentWatermarkMs())
+            latest = max((circuit.last_seen or 0) // 1000, saved.getCurrentWatermarkMs())
             saved.setTimeoutTimestamp(latest + idle_seconds * 1000)
         yield pd.DataFrame(rows, columns=["key", "ts", "tie_break", "ok", "state_before", "state_after", "outcome"])
 
     shaped = stream.select(
         col(key).alias("key"),
-        F.unix_micros(col(ts).cast("timestamp")).alias("ts"),
+        F.coalesce(F.unix_micros(col(ts).cast("timestamp")), F.lit(UNTIMED)).alias("ts"),
         col(tie_break).alias("tie_break"),
         col(ok).alias("ok"),
         *([col(ts).alias("event_time")] if idle_seconds is not None else []),
     )
     timeout = GroupStateTimeout.NoTimeout if idle_seconds is None else GroupStateTimeout.EventTimeTimeout
     stepped = shaped.groupBy("key").applyInPandasWithState(step, schema, STATE_SCHEMA, "append", timeout)
-    return stepped.withColumn("ts", F.timestamp_micros("ts"))
+    return stepped.withColumn("ts", F.timestamp_micros(F.when(F.col("ts") != UNTIMED, F.col("ts"))))
