@@ -17,8 +17,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words_of(line: Column) -> Column:
-    """The words of a line, A-Z as a-z."""
-    return F.filter(F.split(F.translate(line, UPPER, LOWER), SPACE), lambda w: w != "")
+    """The words of a line, A-Z as a-z; a line of ASCII letters takes the faster way to the same."""
+    lowered = F.when(F.octet_length(line) == F.char_length(line), F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
+    return F.array_remove(F.split(lowered, SPACE), "")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
