@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/flowkit/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def kept_path(spark: SparkSession, label: str) -> str:
+    """A path that stays the same over the application and that `clear_staged` leaves alone, for stored inputs."""
+    return f"{scratch_root(spark)}/flowkit-kept/{spark.sparkContext.applicationId}/{label}"
+
+
 def _at(spark: SparkSession, path: str):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
@@ -42,6 +48,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder, none if it is not there."""
+    files, where = _at(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
+
+
+def partition_folders(spark: SparkSession, path: str, column: str) -> list[tuple[str, str]]:
+    """The folders of a partition column directly below a path, each with its value as text."""
+    named = [n for n in children(spark, path) if n.startswith(f"{column}=")]
+    return [(f"{path}/{n}", unquote(n.partition("=")[2])) for n in named]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds, if it is there."""
     files, where = _at(spark, path)
@@ -53,6 +71,11 @@ def clear_staged(spark: SparkSession) -> None:
     remove(spark, f"{scratch_root(spark)}/flowkit/{spark.sparkContext.applicationId}")
 
 
+def clear_kept(spark: SparkSession) -> None:
+    """Delete the stored inputs that this application has kept."""
+    remove(spark, f"{scratch_root(spark)}/flowkit-kept/{spark.sparkContext.applicationId}")
+
+
 def write_stage(df: DataFrame, label: str) -> str:
     """Write `df` to a fresh staged table (one write job) and return its path."""
     path = scratch_path(df.sparkSession, label)
