@@ -20,9 +20,10 @@ from flowkit.functions.text import require_identifier
 from flowkit.operators import ledger as run_ledger
 from flowkit.operators.metrics import progress_percent, throughput
 from flowkit.operators.quarantine import PARTITIONS, TRANSIENT_ERRORS, enqueue, violations_text
-from flowkit.operators.rules import RuleSet, RuleType, annotate, split
+from flowkit.operators.rules import Rule, RuleSet, RuleType, annotate, split
 from flowkit.plans.ordered import running_sums
-from flowkit.plans.staging import remove
+from flowkit.plans.staging import remove, stage
+from flowkit.sources.keyed import KeyedTarget
 
 RUN_COLUMNS = ("load_run", "batch_id")
 BATCH_FIELDS = "batch_id BIGINT, rows_loaded BIGINT, rows_failed BIGINT, error STRING"
@@ -34,9 +35,13 @@ class StreamLoad:
 
     With `rules`, rows that break one go to the quarantine instead of the target.  With a quarantine, a batch that
     fails as a whole is kept there and the run goes on; without one, the failure stops the run.  A transient failure
-    (of storage or network) always stops it, and the batch is loaded when the run is started again.  Rules that look at
-    other rows of the batch (`unique`) are refused, since their outcome would depend on how the stream is cut.  A run
-    has no row cap; cap its source with `sources.tables.cap_rows`.
+    (of storage or network) always stops it, and the batch is loaded when the run is started again.  A run has no row
+    cap; cap its source with `sources.tables.cap_rows`.
+
+    A `unique` rule holds over all batches of the run: the first row of a key in `order` wins (NULL is a key), a later
+    one breaks the rule.  It needs a path for the `keys` seen so far, a keyed target with one insert per batch, so that
+    a repeated batch finds the keys of the other batches only.  With `keys_kept`, keys of more batches ago than that
+    are forgotten.  A batch that fails as a whole claims no keys.
     """
 
     target: str
@@ -46,13 +51,27 @@ class StreamLoad:
     quarantine: str | None = None
     rules: RuleSet | None = None
     transform: Callable[[DataFrame], DataFrame] | None = None
+    keys: str | None = None
+    order: tuple[str, ...] = ()
+    key_buckets: int = 64
+    keys_kept: int | None = None
 
     def __post_init__(self) -> None:
         require_identifier(self.run)
         if self.rules and not self.quarantine:
             raise ValueError("rules need a quarantine path for the rows that break them")
-        if self.rules and any(rule.rule_type is RuleType.UNIQUE for rule in self.rules.get_all_rules()):
-            raise ValueError("a unique rule sees one micro-batch at a time; check the loaded table instead")
+        if self._unique_rules() and not (self.keys and self.order):
+            raise ValueError("a unique rule needs a path for the keys seen so far and the order in which rows come first")
+
+    def _unique_rules(self) -> list[Rule]:
+        return [r for r in self.rules.get_all_rules() if r.rule_type is RuleType.UNIQUE] if self.rules else []
+
+    def _index(self, rule: Rule) -> KeyedTarget:
+        return KeyedTarget(f"{self.keys}/{rule.name}", (rule.column,), self.key_buckets)
+
+    def _forget_keys(self, spark: SparkSession, batch_id: int) -> None:
+        for rule in self._unique_rules():
+            self._index(rule).forget(spark, f"{self.run}_{batch_id}")
 
     def _directory(self, root: str, batch_id: int) -> str:
         return f"{root}/load_run={self.run}/batch_id={batch_id}"
@@ -61,6 +80,7 @@ class StreamLoad:
         """Replace the batch's directory and return the rows written, counted by the write itself."""
         written = Observation()
         writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "static")
         (writer.partitionBy(*partitions) if partitions else writer).parquet(self._directory(root, batch_id))
         return written.get["rows"]
 
@@ -68,11 +88,34 @@ class StreamLoad:
         """Quarantine rows in the layout of the table, so that look-ups by source and day skip other folders."""
         return self._write(rows, self.quarantine, batch_id, PARTITIONS)
 
+    def _repeated(self, rows: DataFrame, batch_id: int) -> tuple[DataFrame, dict[Rule, str]]:
+        """The rows staged, and for each unique rule a column that tells whether an earlier row has the key."""
+        spark, flags = rows.sparkSession, {}
+        rows = stage(rows.withColumn("__row", F.monotonically_increasing_id()), "batch")
+        for rule in self._unique_rules():
+            if rule.column not in rows.columns:
+                continue
+            index, run = self._index(rule), f"{self.run}_{batch_id}"
+            index.forget(spark, run)
+            if self.keys_kept is not None:
+                index.forget(spark, f"{self.run}_{batch_id - self.keys_kept - 1}")
+            claims = rows.select(*dict.fromkeys([rule.column, *self.order, "__row"]))
+            index.insert(claims, run, [*self.order, "__row"])
+            flag = f"__repeated_{len(flags)}"
+            first = index.read(spark, claims.schema, [run]).select("__row", F.lit(False).alias(flag))
+            rows = rows.join(first, "__row", "left").withColumn(flag, F.coalesce(flag, F.lit(True)))
+            flags[rule] = flag
+        return rows.drop("__row"), flags
+
     def _load(self, batch: DataFrame, batch_id: int) -> tuple[int, int]:
         shaped = self.transform(batch) if self.transform else batch
         if self.rules is None:
+            if self.quarantine is not None:
+                # An earlier attempt may have kept the batch there as a whole.
+                remove(batch.sparkSession, self._directory(self.quarantine, batch_id))
             return self._write(shaped, self.target, batch_id), 0
-        annotated = annotate(shaped, self.rules).persist()
+        flagged, broken = self._repeated(shaped, batch_id) if self._unique_rules() else (shaped, {})
+        annotated = annotate(flagged, self.rules, broken=broken).persist()
         try:
             valid, invalid = split(annotated)
             rejected = enqueue(invalid, violations_text(F.col("violations")), self.run, payload=shaped.columns)
@@ -94,6 +137,7 @@ class StreamLoad:
                 raise
             # An earlier attempt may have written the batch.
             remove(batch.sparkSession, self._directory(self.target, batch_id))
+            self._forget_keys(batch.sparkSession, batch_id)
             loaded, failed = 0, self._reject(enqueue(batch, F.lit(error), self.run), batch_id)
         if self.ledger is not None:
             data = {"batch_id": batch_id, "rows_loaded": loaded, "rows_failed": failed, "error": error}
