@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import subprocess
 import sys
 
@@ -10,7 +11,14 @@ from flowkit.functions.schema import TEXT, schema
 from flowkit.operators.rules import RuleSet
 from flowkit.sources.tables import read_stream
 from flowkit.streaming.circuit import Circuit, circuit_states
-from flowkit.streaming.events import deduplicate_stream, latest_updates, window_progress, write_updates
+from flowkit.streaming.events import (
+    LateSplit,
+    deduplicate_stream,
+    latest_updates,
+    orphans_in_stream,
+    window_progress,
+    write_updates,
+)
 from flowkit.operators.metrics import metrics_summary
 from flowkit.streaming.load import (
     StreamLoad,
@@ -252,3 +260,168 @@ def test_transient_failure_stops_the_run(spark, event_files, tmp_path):
 def test_unique_rule_is_refused_in_a_stream(tmp_path):
     with pytest.raises(ValueError, match="unique"):
         StreamLoad(**paths(tmp_path), rules=RuleSet().add_unique_rule("event_id"))
+
+
+@pytest.mark.parametrize("with_rules", [False, True])
+def test_batch_that_fails_and_then_succeeds_stands_in_the_target_only(spark, event_files, tmp_path, with_rules):
+    _, events = event_files
+    rules = RuleSet().add_range_rule("value", 0, 50) if with_rules else None
+    broken = StreamLoad(**paths(tmp_path), rules=rules, transform=lambda df: df.select("no_such_column"))
+    load = StreamLoad(**paths(tmp_path), rules=rules)
+    broken.write_batch(events, 0)
+    assert read_loaded(spark, load.quarantine, schema(record=TEXT)).count() == events.count()
+    load.write_batch(events, 0)
+    good = read_loaded(spark, load.target, events.schema)
+    bad = spark.read.schema("record STRING").parquet(f"{load.quarantine}").count() if with_rules else 0
+    assert good.count() + bad == events.count() and (bad > 0) == with_rules
+    assert good.count() == events.where("value <= 50").count() if with_rules else good.exceptAll(events).count() == 0
+
+
+def timed_files(spark, rows, columns, path, files):
+    """The rows in so many files, in order, each written after the one before."""
+    size = -(-len(rows) // files)
+    for i in range(files):
+        spark.createDataFrame(rows[i * size : (i + 1) * size], columns).coalesce(1).write.mode("append").parquet(path)
+
+
+@pytest.mark.parametrize("files", [1, 3, 10])
+def test_unique_rule_holds_over_all_batches_and_a_restart(spark, tmp_path, files):
+    import random
+
+    turns = random.Random(files)
+    columns = "event_id BIGINT, k STRING, ts TIMESTAMP"
+    keys = [None, "hot", "hot", "hot", *[f"k{i}" for i in range(40)]]
+    rows = [(i, turns.choice(keys), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)) for i in range(300)]
+    source = str(tmp_path / "in")
+    timed_files(spark, rows, columns, source, files)
+    kinds = spark.createDataFrame([], columns).schema
+    load = StreamLoad(
+        **paths(tmp_path), keys=str(tmp_path / "keys"), order=("ts",), key_buckets=4,
+        rules=RuleSet().add_unique_rule("k").add_range_rule("event_id", 0, 250),
+    )
+    calls = []
+
+    def halting(batch, batch_id):
+        load.write_batch(batch, batch_id)
+        calls.append(batch_id)
+        if len(calls) == 2:
+            raise RuntimeError("stopped after the batch was written and before it was recorded")
+
+    def stream():
+        return read_stream(spark, source, kinds, max_files=1)
+
+    query = stream().writeStream.foreachBatch(halting).option("checkpointLocation", load.checkpoint).trigger(availableNow=True).start()
+    if files > 1:
+        with pytest.raises(Exception, match="stopped"):
+            query.awaitTermination()
+    else:
+        query.awaitTermination()
+    load.run_to_end(stream())
+    first = {}
+    for i, k, _ in rows:
+        first.setdefault(k, i)
+    good = {r["event_id"] for r in read_loaded(spark, load.target, kinds).collect()}
+    assert good == {i for i in first.values() if i <= 250}
+    kept = read_loaded(spark, load.quarantine, schema(error=TEXT, record=TEXT)).collect()
+    assert len(kept) + len(good) == len(rows)
+    repeated = {json.loads(r["record"])["event_id"] for r in kept if "must be unique" in r["error"]}
+    assert repeated == {i for i, k, _ in rows if first[k] != i}
+
+
+def test_batch_that_fails_claims_no_keys(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "event_id BIGINT, k STRING")
+    where = {**paths(tmp_path), "keys": str(tmp_path / "keys"), "order": ("event_id",), "key_buckets": 2}
+    rules = RuleSet().add_unique_rule("k").add_arrow_rule("event_id", lambda values: values.no_such_method(), "bad")
+    StreamLoad(**where, rules=rules).write_batch(rows, 0)
+    load = StreamLoad(**where, rules=RuleSet().add_unique_rule("k"), keys_kept=1)
+    load.write_batch(rows.where("event_id > 1"), 1)
+    assert sorted(r["event_id"] for r in read_loaded(spark, load.target, rows.schema).collect()) == [2, 3]
+    load.write_batch(rows.where("event_id = 1"), 2)
+    assert read_loaded(spark, load.target, rows.schema).count() == 2
+    load.write_batch(rows.where("event_id = 3").limit(0), 3)
+    load.write_batch(rows.where("event_id = 3"), 4)  # batch 1 is more than one batch ago
+    assert sorted(r["event_id"] for r in read_loaded(spark, load.target, rows.schema).collect()) == [2, 3, 3]
+
+
+def late_rows(rows_per_file, delay):
+    """Ids of the rows behind the latest time of the files before by more than the delay."""
+    late, latest = set(), None
+    for part in rows_per_file:
+        for i, ts in part:
+            if ts is None or (latest is not None and ts < latest - delay):
+                late.add(i)
+        latest = max([t for _, t in part if t is not None] + ([latest] if latest else []), default=None)
+    return late
+
+
+def test_late_rows_are_kept_aside_over_a_restart_and_state_falls(spark, tmp_path):
+    import random
+
+    turns, start = random.Random(2), dt.datetime(2024, 1, 1)
+    columns, source = "event_id BIGINT, ts TIMESTAMP, value DOUBLE", str(tmp_path / "in")
+    parts = []
+    for part in range(8):
+        times = [start + dt.timedelta(hours=12 * part + turns.random() * 12 - (30 if turns.random() < 0.1 else 0)) for _ in range(50)]
+        parts.append([(100 * part + i, None if i == 49 and part % 2 else t) for i, t in enumerate(times)])
+    kinds = spark.createDataFrame([], columns).schema
+    split = LateSplit(str(tmp_path / "split"), str(tmp_path / "state"), delay_seconds=6 * 3600)
+    for half in (parts[:4], parts[4:]):
+        for part in half:
+            spark.createDataFrame([(i, t, 1.0) for i, t in part], columns).coalesce(1).write.mode("append").parquet(source)
+        split.run_to_end(read_stream(spark, source, kinds, max_files=1))
+    late = {r["event_id"] for r in split.late(spark, kinds).collect()}
+    assert late == late_rows(parts, dt.timedelta(hours=6)) and len(late) > 10
+    on_time = [(i, t) for part in parts for i, t in part if i not in late]
+    windows = window_progress(split.on_time(spark, kinds, max_files=1), F.lit(False), every="4 hours", delay="6 hours")
+    out = str(tmp_path / "out")
+    query = windows.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "w"))
+    query = query.outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = {r["window_start"]: r["rows"] for r in spark.read.schema(windows.schema).parquet(out).collect()}
+    expected = {}
+    for _, t in on_time:
+        w = t.replace(hour=t.hour // 4 * 4, minute=0, second=0, microsecond=0)
+        expected[w] = expected.get(w, 0) + 1
+    line = max(t for _, t in on_time) - dt.timedelta(hours=6)
+    assert found == {w: n for w, n in expected.items() if w + dt.timedelta(hours=4) <= line}
+    states = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    assert sum(s["numRowsDroppedByWatermark"] for s in states) == 0
+    held = [s["numRowsTotal"] for s in states]
+    assert max(held) < len(expected) and held[-1] <= len(expected) - len(found)
+
+
+def test_a_repeated_batch_is_split_by_the_same_line(spark, tmp_path):
+    columns = "event_id BIGINT, ts TIMESTAMP"
+    t = dt.datetime(2024, 1, 1)
+    split = LateSplit(str(tmp_path / "split"), str(tmp_path / "state"), delay_seconds=60)
+    first = spark.createDataFrame([(1, t), (2, t + dt.timedelta(hours=1)), (3, None)], columns)
+    second = spark.createDataFrame([(4, t), (5, t + dt.timedelta(hours=2))], columns)
+    for batch, number in ((first, 0), (second, 1), (second, 1), (first.limit(0), 2), (second, 3)):
+        split.write_batch(batch, number)
+    assert sorted(r["event_id"] for r in split.late(spark, first.schema).collect()) == [3, 4, 4]
+
+
+def test_orphans_are_told_when_no_parent_can_come(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+
+    def hour(h):
+        return start + dt.timedelta(hours=h)
+
+    columns = "id BIGINT, k STRING, ts TIMESTAMP"
+    kinds = spark.createDataFrame([], columns).schema
+    children = [(1, "a", hour(1)), (2, "b", hour(1)), (3, "c", hour(1)), (4, None, hour(1)), (5, "d", hour(9)), (6, "a", hour(9))]
+    parents = [(0, "a", hour(2)), (0, "a", hour(3)), (0, "b", hour(7)), (0, None, hour(1)), (0, "d", hour(1))]
+    where = {"child": str(tmp_path / "children"), "parent": str(tmp_path / "parents")}
+    told, state, seen = str(tmp_path / "told"), str(tmp_path / "state"), []
+    # Each step adds files to both sides and starts the query again; the last one only moves the time on.
+    steps = [(children[:4], parents[:1]), (children[4:], parents[1:]), ([(9, "z", hour(40))], [(9, "y", hour(40))])]
+    for some_children, some_parents in steps:
+        spark.createDataFrame(some_children, columns).coalesce(1).write.mode("append").parquet(where["child"])
+        spark.createDataFrame(some_parents, columns).coalesce(1).write.mode("append").parquet(where["parent"])
+        left, right = (read_stream(spark, where[side], kinds) for side in ("child", "parent"))
+        orphans = orphans_in_stream(left, right, ("k", "ts"), ("k", "ts"), "1 hour", wait="2 hours", since="5 hours", salts=3)
+        query = orphans.writeStream.format("parquet").option("path", told).option("checkpointLocation", state)
+        query.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+        seen.append(sorted(r["id"] for r in spark.read.schema(kinds).parquet(told).collect()))
+    # 2: its parent comes six hours later; 3: none; 5: its parent came eight hours before; 6: six hours before.
+    assert seen[0] == [] and seen[-1] == [2, 3, 5, 6]
