@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowkit.functions.schema import TEXT, TIME, schema
+from flowkit.plans.staging import partition_folders, remove, stage
 
 SALTS = 16
 LEDGER_SCHEMA = schema(id=TEXT, pipeline=TEXT, timestamp=TIME, data=TEXT, metadata=TEXT)
@@ -54,6 +55,56 @@ def save(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def save_by_pipeline(rows: DataFrame, path: str) -> None:
+    """Append ledger rows to a ledger with a folder per pipeline, which can be cleaned up in place (one write job)."""
+    rows.hint("rebalance", "pipeline").write.mode("append").partitionBy("pipeline").parquet(path)
+
+
+def read_by_pipeline(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path).select(*LEDGER_SCHEMA.names)
+
+
+def _replace(kept: DataFrame, path: str, touched: list[str]) -> None:
+    """Put the kept rows of the touched pipelines in the place of their folders; a pipeline without any loses its own.
+
+    The rows are staged first, since they are read from the folders they replace.
+    """
+    spark = kept.sparkSession
+    staged = stage(kept, "kept")
+    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("pipeline").parquet(path)
+    left = {r[0] for r in staged.select("pipeline").distinct().collect()}
+    for folder, pipeline in partition_folders(spark, path, "pipeline"):
+        if pipeline in touched and pipeline not in left:
+            remove(spark, folder)
+
+
+def prune_in_place(spark: SparkSession, path: str, keep: int = 5, pipeline: str | None = None) -> list[str]:
+    """Keep the newest `keep` checkpoints per pipeline, or of the one named; returns the pipelines that had more.
+
+    Only the folders of those are written again; all other files stay as they are.  The names of the pipelines go
+    through the driver, as the folders do.
+    """
+    ledger = read_by_pipeline(spark, path)
+    own = ledger if pipeline is None else ledger.where(F.col("pipeline") == pipeline)
+    counted = own.groupBy("pipeline").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > keep)
+    touched = sorted(r["pipeline"] for r in counted.collect())
+    if touched:
+        _replace(keep_newest(ledger.where(F.col("pipeline").isin(touched)), keep), path, touched)
+    return touched
+
+
+def delete_in_place(spark: SparkSession, path: str, pipeline: str, checkpoint: str | None = None) -> None:
+    """Delete one checkpoint of a pipeline, or its whole folder; other folders are not touched."""
+    own = read_by_pipeline(spark, path).where(F.col("pipeline") == pipeline)
+    if checkpoint is None:
+        for folder, name in partition_folders(spark, path, "pipeline"):
+            if name == pipeline:
+                remove(spark, folder)
+    elif not own.where(F.col("id") == checkpoint).isEmpty():
+        _replace(own.where(F.col("id") != checkpoint), path, [pipeline])
+
+
 def latest(ledger: DataFrame) -> DataFrame:
     """The newest checkpoint of every pipeline; combined per task, so a busy pipeline costs one row per task."""
     newest = F.max_by(F.struct(*ledger.columns), F.struct("id", "timestamp", "data"))

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowkit.functions.schema import INT, TEXT, TIME, schema
+from flowkit.plans.staging import partition_folders, remove
 from flowkit.sources.tables import cap_rows
 
 RECORD_SCHEMA = schema(ts=TIME, source=TEXT, error=TEXT, retry_count=INT, record=TEXT)
 PARTITIONS = ("source", "dt")
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 # Default retry policy (attempts, first delay and its growth, longest delay, jitter share).
 MAX_RETRIES = 3
@@ -170,6 +172,27 @@ def clear(
     return read_quarantine(spark, new_path)
 
 
+def clear_in_place(
+    spark: SparkSession, path: str, source: str | None = None, older_than_days: int = 0, as_of: dt.date | None = None
+) -> int:
+    """Delete the folders of the cleared rows and return how many; all other files stay as they are.
+
+    What is cleared depends on source and day alone, so no row is read or written, and a run that stopped half-way is
+    finished by the next.
+    """
+    cutoff = (as_of or dt.datetime.now(dt.UTC).date()) - dt.timedelta(days=older_than_days)
+    gone = 0
+    for folder, name in partition_folders(spark, path, "source"):
+        if source is not None and name != source:
+            continue
+        for day_folder, day in partition_folders(spark, folder, "dt"):
+            # A row without a day is never older than a cutoff.
+            if older_than_days <= 0 or (day != NO_VALUE and dt.date.fromisoformat(day) < cutoff):
+                remove(spark, day_folder)
+                gone += 1
+    return gone
+
+
 def backoff_seconds(
     retry_count: Column,
     initial: float = INITIAL_DELAY,

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -322,3 +323,45 @@ def test_map_reduce_by_batch_drops_only_the_rows_that_raise(spark):
 
     found = batches.map_reduce(spark.range(0, 1_000, 1, 3), total, lambda a, b: a + b, "BIGINT", by_batch=True)
     assert rows(found) == [(sum(range(1_000)) - 7 - 500 - 501,)]
+
+
+def stored_files(path):
+    return {f: f.stat().st_mtime_ns for f in sorted(pathlib.Path(path).rglob("part-*.parquet"))}
+
+
+def test_ledger_in_place_touches_only_what_changes(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    rows = [(f"2024010{i}_000000_000", p, dt.datetime(2024, 1, i), "{}", "{}") for p in ("a", "a b/c", "keep") for i in range(1, 8)]
+    rows = [r for r in rows if r[1] != "keep" or r[0] < "20240104"]
+    ledger.save_by_pipeline(spark.createDataFrame(rows, ledger.LEDGER_SCHEMA), path)
+    before = stored_files(path)
+    assert ledger.prune_in_place(spark, path, keep=5) == ["a", "a b/c"]
+    ledger.delete_in_place(spark, path, "keep", "no such checkpoint")
+    untouched = {f: t for f, t in before.items() if "pipeline=keep" in str(f)}
+    assert untouched and untouched == {f: t for f, t in stored_files(path).items() if "pipeline=keep" in str(f)}
+    kept = ledger.read_by_pipeline(spark, path)
+    assert {r["pipeline"]: r["n"] for r in kept.groupBy("pipeline").agg(F.count("*").alias("n")).collect()} == {"a": 5, "a b/c": 5, "keep": 3}
+    assert kept.where("pipeline = 'a'").agg(F.min("id")).first()[0].startswith("20240103")
+    ledger.delete_in_place(spark, path, "a b/c", "20240107_000000_000")
+    ledger.delete_in_place(spark, path, "keep")
+    now = ledger.read_by_pipeline(spark, path).collect()
+    assert sorted(r["pipeline"] for r in now) == ["a"] * 5 + ["a b/c"] * 4
+    assert ledger.prune_in_place(spark, path, keep=5) == []
+    for i in range(3, 7):
+        ledger.delete_in_place(spark, path, "a b/c", f"2024010{i}_000000_000")
+    assert {r["pipeline"] for r in ledger.read_by_pipeline(spark, path).collect()} == {"a"}
+
+
+def test_quarantine_in_place_deletes_folders_only(spark, tmp_path):
+    path = str(tmp_path / "q")
+    rows = [(dt.datetime(2024, 1, d), s, "e", 0, f"{s}{d}", dt.date(2024, 1, d)) for s in ("load", "load x") for d in (1, 5, 9)]
+    rows.append((None, "load", "e", 0, "undated", None))
+    columns = "ts timestamp, source string, error string, retry_count int, record string, dt date"
+    quarantine.write_quarantine(spark.createDataFrame(rows, columns), path)
+    before = stored_files(path)
+    assert quarantine.clear_in_place(spark, path, "load", older_than_days=4, as_of=dt.date(2024, 1, 9)) == 1
+    assert stored_files(path).items() < before.items()
+    left = {r["record"] for r in quarantine.read_quarantine(spark, path).collect()}
+    assert left == {"load5", "load9", "undated", "load x1", "load x5", "load x9"}
+    assert quarantine.clear_in_place(spark, path, "load x") == 3
+    assert quarantine.clear_in_place(spark, path) == 3 and quarantine.read_quarantine(spark, path).count() == 0
