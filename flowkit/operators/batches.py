@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowkit.functions.columns import col
-from flowkit.plans.ordered import with_row_index
+from flowkit.plans.ordered import running_sums, with_row_index
 
-BATCH = "batch_id"
+BATCH, CHUNK = "batch_id", "chunk_id"
 
 # Bytes of a value of each fixed-width type.
 WIDTHS = {
@@ -157,6 +157,23 @@ def column_bytes(df: DataFrame) -> DataFrame:
     return sums.select(F.inline(F.array(*pairs)))
 
 
+def cut_by_bytes(df: DataFrame, budget: int, order: Sequence[str], name: str = CHUNK) -> DataFrame:
+    """Add the number of a chunk of consecutive rows in `order`; no chunk has more than `budget` bytes.
+
+    Bytes are those of `column_bytes`.  Rows of more than half a budget are chunks of their own (only a single row that
+    is larger than the budget exceeds it).  The others fall, by the sum of the bytes before them, into cells of half a
+    budget; a cell's rows begin within half a budget and the last one ends within another half.  Numbers grow along the
+    order and may leave gaps.  The sums run over ranges of rows, so neither one task nor the driver sees all of them.
+    """
+    half = max(1, budget // 2)
+    size = reduce(lambda a, b: a + b, [F.coalesce(_bytes(f).cast("long"), F.lit(0).cast("long")) for f in df.schema])
+    rows = df.withColumn("__bytes", size).withColumn("__wide", (F.col("__bytes") > half).cast("int"))
+    narrow = F.col("__bytes") * (1 - F.col("__wide"))
+    summed = running_sums(rows, {"__before": narrow, "__wides": F.col("__wide")}, order)
+    cell = F.floor((F.col("__before") - narrow) / half)
+    return summed.withColumn(name, (2 * F.col("__wides") - F.col("__wide") + cell).cast("long")).select(*df.columns, name)
+
+
 def estimated_megabytes(df: DataFrame) -> DataFrame:
     """One row `(megabytes)` for the whole frame."""
     return column_bytes(df).agg((F.sum("bytes") / (1024 * 1024)).alias("megabytes"))
