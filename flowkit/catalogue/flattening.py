@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from flowkit.catalogue.registry import query, table
 from flowkit.functions.schema import DOUBLE, INT, LONG, SHORT_TEXT, TEXT, TIME, schema
 from flowkit.functions.text import array_literal, is_identifier
 from flowkit.operators import flatten as fl
-from flowkit.plans.staging import exists, scratch_path, write_stage
-from flowkit.sources import sinks, tables
+from flowkit.plans.staging import exists, kept_path, scratch_path
+from flowkit.sources import footers, sinks, tables
+from flowkit.sources.keyed import KeyedTarget
 
 # Integer dates with months 0 to 12 and days 0 to 31: some are no calendar day.
 FILING_DATE = (
@@ -86,15 +88,12 @@ SELECT publication_number, application_number, country_code, kind_code, family_i
 FROM """
 
 
-_STORED: dict[tuple[str, str], str] = {}
-
-
 def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested records as a stored table, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED or not exists(spark, _STORED[key]):
-        _STORED[key] = write_stage(nested_records(spark, sf_dir), "nested")
-    return spark.read.schema(fl.NESTED_SCHEMA).parquet(_STORED[key])
+    path = kept_path(spark, f"nested-{hashlib.md5(sf_dir.encode()).hexdigest()}")
+    if not exists(spark, f"{path}/_SUCCESS"):
+        nested_records(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return spark.read.schema(fl.NESTED_SCHEMA).parquet(path)
 
 
 def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,6 +228,18 @@ def scan_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("files", per_tib.alias("usd_per_tib"), (F.col("bytes") == cost["bytes_processed"]).alias("sizes_add_up"))
 
 
+@query(
+    """SELECT c AS column, (SELECT count(*) FROM orders) AS rows, 5.0::DOUBLE AS usd_per_tib
+    FROM (VALUES ('o_orderkey'), ('o_orderdate'), ('o_totalprice')) t(c)"""
+)
+def scan_cost_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price of two columns and the one a bound is on, from the footers; the bound excludes no row group."""
+    bounds = [("o_totalprice", ">", 0.0)]
+    chunks = footers.column_chunks(spark, f"{sf_dir}/orders.parquet*", ["o_orderkey", "o_orderdate"], bounds)
+    per_tib = F.round(F.col("cost_usd") * 1024**4 / F.col("bytes"), 6)
+    return footers.column_cost(chunks).select("column", "rows", per_tib.alias("usd_per_tib"))
+
+
 @query(
     "SELECT o_orderstatus AS status, o_orderpriority AS priority, o_totalprice AS price FROM orders "
     "WHERE o_orderkey >= 100"
@@ -341,6 +352,25 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.absent_rows(new, known, ["o_custkey"], ["o_orderkey"])
 
 
+@query(
+    """WITH a AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'
+      GROUP BY o_custkey),
+    b AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderkey % 2 = 1
+      AND o_custkey NOT IN (SELECT o_custkey FROM a) GROUP BY o_custkey),
+    c AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_custkey % 50 = 7
+      AND o_custkey NOT IN (SELECT o_custkey FROM a UNION ALL SELECT o_custkey FROM b) GROUP BY o_custkey)
+    SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c"""
+)
+def insert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three inserts into a target with a key index, the second one repeated after the third."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    target = KeyedTarget(scratch_path(spark, "keyed"), ("o_custkey",), buckets=8)
+    runs = {"a": "o_orderdate < TIMESTAMP '1996-01-01'", "b": "o_orderkey % 2 = 1", "c": "o_custkey % 50 = 7"}
+    for run in ("a", "b", "c", "b"):
+        target.insert(orders.where(runs[run]).drop("o_orderdate"), run, ["o_orderkey"])
+    return target.rows(spark, orders.drop("o_orderdate").schema)
+
+
 @query(
     "SELECT c_custkey AS key, c_name AS name, c_mktsegment AS segment FROM customer "
     "UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier"

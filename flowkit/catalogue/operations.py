@@ -13,7 +13,10 @@ from flowkit.catalogue.registry import query, table
 from flowkit.functions.schema import DOUBLE, LONG, TEXT, schema
 from flowkit.functions.text import mask_log_text
 from flowkit.operators import batches, health, ledger, masking, metrics, quarantine
+from flowkit.operators.redrive import Redrive
 from flowkit.operators.rules import RuleSet, annotate
+from flowkit.operators.subsets import KeptSubset
+from flowkit.plans.kept_medians import KeptMedians
 from flowkit.plans.skew import attach_by_key
 from flowkit.plans.staging import scratch_path
 
@@ -74,6 +77,20 @@ def quarantine_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("source", F.col("dt").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("records"))
 
 
+@query(
+    f"""SELECT source, CAST(dt AS VARCHAR) AS dt, count(*) AS records FROM ({QUEUED_SQL})
+    WHERE NOT (source = 'load' AND dt < DATE '2024-01-20' - INTERVAL 7 DAY) AND source <> 'transform' GROUP BY ALL"""
+)
+def quarantine_cleared_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored quarantine whose old folders of one source, and all folders of another, are deleted."""
+    path = scratch_path(spark, "quarantine")
+    quarantine.write_quarantine(queued(spark, sf_dir), path)
+    quarantine.clear_in_place(spark, path, "load", older_than_days=7, as_of=dt.date(2024, 1, 20))
+    quarantine.clear_in_place(spark, path, "transform")
+    kept = quarantine.read_quarantine(spark, path)
+    return kept.groupBy("source", F.col("dt").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("records"))
+
+
 @query(
     f"""SELECT record, least(2 * pow(2.0, retry_count), 20.0) AS delay_seconds, error <> 'bad value' AS retriable,
       CASE WHEN error <> 'bad value' AND retry_count < 3 THEN 'due' ELSE 'dead' END AS state FROM ({QUEUED_SQL})"""
@@ -105,6 +122,32 @@ def quarantine_replay_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine.replay_counts(replayed)
 
 
+REDRIVE_SQL = f"""
+WITH queue AS (SELECT *, retry_count AS tries, error = 'bad value' OR retry_count >= 3 AS dead FROM ({QUEUED_SQL})),
+passed AS (SELECT *, CASE WHEN NOT dead THEN greatest(tries, CAST(ceil((value - 40) / 20) AS INT)) END AS loads_at FROM queue)
+SELECT event_id, CASE WHEN loads_at < 3 THEN 'loaded' ELSE 'parked' END AS place,
+  CASE WHEN dead THEN tries WHEN loads_at < 3 THEN NULL ELSE 3 END AS tries FROM passed"""
+
+
+@query(REDRIVE_SQL)
+def redrive_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantined records loaded again until none is open: at each attempt a larger value passes, the third is the last."""
+    drive = Redrive(scratch_path(spark, "redrive"), RECORD, initial=60, longest=3600, jitter=False)
+
+    def check(rows: DataFrame) -> DataFrame:
+        limit = 40 + 20 * F.col("retry_count")
+        late = F.struct(F.lit("timed out").alias("message"))
+        return rows.withColumns({"is_valid": F.col("value") <= limit, "violations": F.array(late)})
+
+    drive.admit(queued(spark, sf_dir))
+    for day in range(1, 5):
+        drive.run(spark, check, F.lit(dt.datetime(2024, 2, day, tzinfo=dt.UTC)))
+    good = drive.loaded(spark).select("event_id", F.lit("loaded").alias("place"), F.lit(None).cast("int").alias("tries"))
+    lost = [drive.parked(spark).withColumn("place", F.lit("parked")), drive.open(spark).withColumn("place", F.lit("open"))]
+    ids = F.get_json_object("record", "$.event_id").cast("long").alias("event_id")
+    return good.unionByName(lost[0].unionByName(lost[1]).select(ids, "place", F.col("retry_count").alias("tries")))
+
+
 # --- run ledger: each order is a checkpoint of the run of its priority
 
 LEDGER_SQL = """SELECT strftime(stamp, '%Y%m%d_%H%M%S_%g') AS id, o_orderpriority AS pipeline,
@@ -131,6 +174,19 @@ def ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.latest(runs(spark, sf_dir)).drop("timestamp")
 
 
+@query(
+    f"""SELECT id, pipeline, data FROM ({LEDGER_SQL}) WHERE pipeline <> '5-LOW'
+    QUALIFY pipeline <> '1-URGENT' OR row_number() OVER (PARTITION BY pipeline ORDER BY id DESC, data) <= 5"""
+)
+def ledger_pruned_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored ledger in which one pipeline is pruned and one deleted, while the folders of the others stay."""
+    path = scratch_path(spark, "ledger")
+    ledger.save_by_pipeline(runs(spark, sf_dir), path)
+    ledger.prune_in_place(spark, path, keep=5, pipeline="1-URGENT")
+    ledger.delete_in_place(spark, path, "5-LOW")
+    return ledger.read_by_pipeline(spark, path).select("id", "pipeline", "data")
+
+
 @query(
     f"""SELECT pipeline, count(*) AS total_checkpoints,
       CAST(sum(octet_length(encode(data)) + octet_length(encode(metadata))) AS BIGINT) AS total_size_bytes,
@@ -241,6 +297,56 @@ def column_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- run metrics
 
 
+@query(
+    """WITH sized AS (SELECT doc_id, 8 + coalesce(octet_length(encode(text)), 0) AS bytes FROM documents),
+    cut AS (SELECT *, bytes > 20000 AS wide, CASE WHEN bytes > 20000 THEN 0 ELSE bytes END AS narrow FROM sized),
+    summed AS (SELECT *, sum(narrow) OVER before - narrow AS start, sum(wide::INT) OVER before AS wides FROM cut
+      WINDOW before AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    SELECT (2 * wides - wide::INT + start // 20000)::BIGINT AS chunk_id, count(*) AS rows, sum(bytes)::BIGINT AS bytes,
+      sum(bytes) <= 40000 OR count(*) = 1 AS fits FROM summed GROUP BY 1"""
+)
+def chunks_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, whose widths differ a thousandfold, in chunks of at most 40,000 bytes."""
+    cut = batches.cut_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), 40_000, ["doc_id"])
+    size = F.sum(8 + F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes")
+    grouped = cut.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("rows"), size)
+    return grouped.withColumn("fits", (F.col("bytes") <= 40_000) | (F.col("rows") == 1))
+
+
+@query(
+    """SELECT o_orderkey, o_totalprice * (1 + o_orderkey % 10 * 0.25) AS price FROM orders
+    WHERE o_totalprice * (1 + o_orderkey % 10 * 0.25) > 200000 AND o_orderkey % 97 <> 0"""
+)
+def subset_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dear orders, kept from ten batches of changed prices and one of deletions, with a new base in between."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    kept = KeptSubset(scratch_path(spark, "subset"), orders.schema, ("o_orderkey",), "price > 200000")
+    kept.apply(orders, 0, ["price"])
+    for batch in range(1, 10):
+        changed = orders.where(F.col("o_orderkey") % 10 >= batch)
+        # An older state comes along in the same batch; the larger `at` is the newer one.
+        states = changed.withColumn("at", F.explode(F.array(F.lit(batch - 1), F.lit(batch))))
+        kept.apply(states.withColumn("price", F.col("price") * (1 + F.col("at") * 0.25)), batch, ["at"])
+        if batch == 5:
+            kept.compact(spark)
+    kept.apply(orders.where("o_orderkey % 97 = 0"), 10, ["price"], deleted=F.lit(True))
+    return kept.read(spark)
+
+
+@query(
+    """SELECT 'o_totalprice' AS name, median(o_totalprice) AS median FROM orders
+    UNION ALL SELECT 'o_custkey', median(o_custkey) FROM orders"""
+)
+def median_over_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of three parts that are added one after the other, the second one twice."""
+    orders = table(spark, sf_dir, "orders")
+    kept = KeptMedians(scratch_path(spark, "medians"), ("o_totalprice", "o_custkey"))
+    year = F.year("o_orderdate")
+    for part, rows in (("a", year < 1997), ("b", year.between(1997, 1999)), ("b", year.between(1997, 1999)), ("c", year > 1999)):
+        kept.add(orders.where(rows), part)
+    return spark.createDataFrame(list(kept.medians(spark).items()), "name STRING, median DOUBLE")
+
+
 @query(
     """SELECT event_type AS name, arg_max(value, ts) AS last_value, round(sum(value), 2) AS total
     FROM events GROUP BY event_type"""

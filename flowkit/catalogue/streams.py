@@ -5,8 +5,11 @@ Targets, checkpoints and ledgers go below the shared folder that `spark.checkpoi
 
 from __future__ import annotations
 
+import hashlib
 import math
+import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,34 +21,51 @@ from flowkit.operators.quarantine import read_quarantine
 from flowkit.operators.rules import RuleSet
 from flowkit.plans.jobs import migrate
 from flowkit.plans.ordered import with_row_index
-from flowkit.plans.staging import scratch_path
+from flowkit.plans.staging import exists, kept_path, remove, scratch_path, stage
 from flowkit.sources.tables import read_stream
 from flowkit.streaming.circuit import circuit_states as step_circuits
-from flowkit.streaming.events import deduplicate_stream, latest_updates, window_progress, write_updates
+from flowkit.streaming.events import (
+    LateSplit,
+    deduplicate_stream,
+    latest_updates,
+    orphans_in_stream,
+    window_progress,
+    write_updates,
+)
 from flowkit.streaming.load import StreamLoad, ledger_batches, ledger_runs, read_ledger, read_loaded
 
 FILES, FILES_PER_BATCH = 10, 1
 ROWS_PER_FILE = 1_000_000
 
 
+def _write_parts(placed: DataFrame, path: str, files: int) -> None:
+    """The rows of each `__part` as files of their own, one part after the other."""
+    staged = scratch_path(placed.sparkSession, "parts")
+    placed.write.partitionBy("__part").parquet(staged)
+    parts = placed.sparkSession.read.schema(placed.schema).parquet(staged)
+    for i in range(FILES):
+        rows = parts.where(F.col("__part") == i).drop("__part")
+        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
+
+
 def _split_events(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     """The folder of the events in `FILES` parts of equal rows, in the order of their time, and the files of each part.
 
     Parts are written one after the other, so that a stream reads them in order, by as many tasks as their rows need.
-    Events without a time go with the last part.  (Runs: counts, the order, and a write for each part.)
+    Events without a time go with the last part.  They are made once in an application and kept.  (Runs: counts, and
+    where they are not there yet, the order and a write for each part.)
     """
-    path, staged = scratch_path(spark, "events"), scratch_path(spark, "parts")
     events = table(spark, sf_dir, "events")
     timed, untimed = events.agg(F.count("ts"), F.count_if(F.col("ts").isNull())).first()
-    placed = with_row_index(events.withColumn("__untimed", F.col("ts").isNull()), ["__untimed", "ts", "event_id"], name="__at")
-    place = F.expr(f"CAST(__at * {FILES} DIV {max(1, timed)} AS INT)")
-    placed = placed.withColumn("__part", F.when(F.col("__untimed"), FILES - 1).otherwise(place)).drop("__untimed", "__at")
-    placed.write.partitionBy("__part").parquet(staged)
-    parts = spark.read.schema(placed.schema).parquet(staged)
     files = max(1, math.ceil((timed / FILES + untimed) / ROWS_PER_FILE))
-    for i in range(FILES):
-        rows = parts.where(F.col("__part") == i).select(*events.columns)
-        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
+    path = kept_path(spark, f"events-{hashlib.md5(sf_dir.encode()).hexdigest()}-{FILES}-{files}-{timed}")
+    if not exists(spark, f"{path}.done"):
+        remove(spark, path)
+        placed = with_row_index(events.withColumn("__untimed", F.col("ts").isNull()), ["__untimed", "ts", "event_id"], name="__at")
+        place = F.expr(f"CAST(__at * {FILES} DIV {max(1, timed)} AS INT)")
+        placed = placed.withColumn("__part", F.when(F.col("__untimed"), FILES - 1).otherwise(place)).drop("__untimed", "__at")
+        _write_parts(placed, path, files)
+        spark.range(1).write.mode("overwrite").parquet(f"{path}.done")
     return path, files
 
 
@@ -215,20 +235,149 @@ def migration_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, event_id % 7 = 0 AS quarantined FROM events")
 def load_with_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch is written, fails when it is repeated, and then stands in the quarantine only."""
+    """A batch is written, fails when it is repeated, and then stands in the quarantine only; one that fails first and
+    succeeds when it is repeated stands in the target only."""
     paths = {k: scratch_path(spark, k) for k in ("target", "checkpoint", "ledger", "quarantine")}
     events = table(spark, sf_dir, "events").select("event_id", "value")
     load = StreamLoad(**paths)
-    load.write_batch(events.where("event_id % 7 <> 0"), 0)
-    load.write_batch(events.where("event_id % 7 = 0"), 1)
     broken = StreamLoad(**paths, transform=lambda df: df.select("no_such_column"))
+    broken.write_batch(events.where("event_id % 7 > 3"), 2)
+    load.write_batch(events.where("event_id % 7 BETWEEN 1 AND 3"), 0)
+    load.write_batch(events.where("event_id % 7 = 0"), 1)
     broken.write_batch(events.where("event_id % 7 = 0"), 1)
+    load.write_batch(events.where("event_id % 7 > 3"), 2)
     good = read_loaded(spark, load.target, schema(event_id=LONG)).select("event_id", F.lit(False).alias("quarantined"))
     kept = read_quarantine(spark, load.quarantine)
     ids = F.get_json_object("record", "$.event_id").cast("long").alias("event_id")
     return good.unionByName(kept.select(ids, F.lit(True).alias("quarantined")))
 
 
+@query(
+    """SELECT event_id, row_number() OVER (PARTITION BY user_id, floor(value) ORDER BY ts, event_id) > 1
+      AS quarantined FROM events"""
+)
+def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A unique rule over all micro-batches of a load, stopped half-way and started again: the first row of a key wins."""
+    paths = {k: scratch_path(spark, k) for k in ("target", "checkpoint", "quarantine", "keys")}
+    key = F.concat_ws(":", "user_id", F.floor("value"))
+    load = StreamLoad(
+        **paths, rules=RuleSet().add_unique_rule("key"), order=("ts", "event_id"), key_buckets=8,
+        transform=lambda df: df.withColumn("key", key),
+    )
+    path, files = _split_events(spark, sf_dir)
+    columns = table(spark, sf_dir, "events").schema
+    calls = []
+
+    def stopping(batch: DataFrame, batch_id: int) -> None:
+        calls.append(batch_id)
+        if len(calls) == 3:
+            raise RuntimeError("stopped")
+        load.write_batch(batch, batch_id)
+
+    stream = read_stream(spark, f"{path}/*.parquet", columns, max_files=2 * files)
+    halted = stream.writeStream.foreachBatch(stopping).option("checkpointLocation", load.checkpoint)
+    try:
+        halted.trigger(availableNow=True).start().awaitTermination()
+    except StreamingQueryException:
+        pass  # the stop that was planned
+    load.run_to_end(read_stream(spark, f"{path}/*.parquet", columns, max_files=2 * files))
+    good = read_loaded(spark, load.target, schema(event_id=LONG)).select("event_id", F.lit(False).alias("quarantined"))
+    ids = F.get_json_object("record", "$.event_id").cast("long").alias("event_id")
+    return good.unionByName(read_quarantine(spark, load.quarantine).select(ids, F.lit(True).alias("quarantined")))
+
+
+# A child belongs to the parent with the same number; some parents are missing, some come far too early or too late.
+CHILDREN = "event_id % 2 = 1"
+PARENTS = "event_id % 2 = 0 AND event_id % 5 <> 0"
+
+
+@query(
+    f"""SELECT event_id, event_id // 2 AS number FROM events c WHERE {CHILDREN} AND ts IS NOT NULL AND NOT EXISTS (
+      SELECT 1 FROM events p WHERE {PARENTS} AND p.event_id // 2 = c.event_id // 2
+        AND p.ts <= c.ts + INTERVAL 2 DAY AND p.ts >= c.ts - INTERVAL 6 DAY)"""
+)
+def stream_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Children without a parent, told by a join of two streams; a later event on both sides closes them."""
+    path, files = _split_events(spark, sf_dir)
+    events = table(spark, sf_dir, "events")
+    closing, state, told = f"{path}-closing-{uuid.uuid4().hex}", scratch_path(spark, "state"), scratch_path(spark, "orphans")
+
+    def run() -> DataFrame:
+        names = ",".join(p.rpartition("/")[2] for p in (path, closing))
+        where = f"{path.rpartition('/')[0]}/{{{names}}}/*.parquet"
+        streams = [read_stream(spark, where, events.schema, max_files=2 * files) for _ in range(2)]
+        numbered = [s.where("ts IS NOT NULL").withColumn("number", F.expr("event_id DIV 2")) for s in streams]
+        children, parents = numbered[0].where(CHILDREN), numbered[1].where(PARENTS)
+        orphans = orphans_in_stream(
+            children, parents, ("number", "ts"), ("number", "ts"), "1 hour", wait="2 days", since="6 days", salts=2
+        ).select("event_id", "number")
+        writer = orphans.writeStream.format("parquet").option("path", told).option("checkpointLocation", state)
+        writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+        return spark.read.schema(orphans.schema).parquet(told)
+
+    run()
+    # Started again with one last event on each side, long after all others.
+    last = events.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("INTERVAL 90 DAYS")).alias("ts"))
+    far = 2 * 10**15
+    ends = last.select(F.explode(F.array(F.lit(far + 2), F.lit(far + 5))).alias("event_id"), "ts")
+    ends.select(*[(F.col(f.name) if f.name in ends.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema]).coalesce(1).write.parquet(closing)
+    found = run()
+    remove(spark, closing)
+    return found
+
+
+# Every fiftieth event comes two parts later than its time says.
+ARRIVALS_SQL = f"""
+WITH placed AS (
+  SELECT *, CASE WHEN ts IS NULL THEN {FILES - 1} ELSE least({FILES - 1}, (row_number() OVER (ORDER BY ts NULLS LAST, event_id) - 1) * {FILES}
+      // greatest(1, (SELECT count(ts) FROM events)) + CASE WHEN event_id % 50 = 0 THEN 2 ELSE 0 END) END AS part FROM events),
+ends AS (SELECT part, max(ts) AS latest FROM placed GROUP BY part),
+lines AS (SELECT part, max(latest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 DAY AS line FROM ends),
+split AS (SELECT p.*, ts IS NULL OR coalesce(ts < line, false) AS late FROM placed p JOIN lines USING (part))"""
+
+
+def _late_events(spark: SparkSession, sf_dir: str) -> tuple[LateSplit, T.StructType]:
+    """The events with some that come late, split in two runs: over half the files, and again when all are there."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "arrivals")
+    timed, untimed = events.agg(F.count("ts"), F.count_if(F.col("ts").isNull())).first()
+    files, timed = max(1, math.ceil((timed / FILES + untimed) / ROWS_PER_FILE)), max(1, timed)
+    placed = with_row_index(events.withColumn("__untimed", F.col("ts").isNull()), ["__untimed", "ts", "event_id"], name="__at")
+    late = F.when(F.col("event_id") % 50 == 0, 2).otherwise(0)
+    part = F.when(F.col("__untimed"), FILES - 1).otherwise(F.least(F.lit(FILES - 1), F.expr(f"CAST(__at * {FILES} DIV {timed} AS INT)") + late))
+    placed = stage(placed.withColumn("__part", part).drop("__untimed", "__at"), "placed")
+    split = LateSplit(scratch_path(spark, "split"), scratch_path(spark, "state"), delay_seconds=86_400)
+    for half in (range(FILES // 2), range(FILES // 2, FILES)):
+        for i in half:
+            rows = placed.where(F.col("__part") == i).select(*events.columns)
+            (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
+        split.run_to_end(read_stream(spark, f"{path}/*.parquet", events.schema, max_files=files))
+    return split, events.schema
+
+
+@query(f"{ARRIVALS_SQL} SELECT event_id, late FROM split WHERE late")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that come more than a day behind the latest time seen, kept aside."""
+    split, columns = _late_events(spark, sf_dir)
+    return split.late(spark, columns).select("event_id", F.lit(True).alias("late"))
+
+
+@query(
+    f"""{ARRIVALS_SQL}
+    SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS rows,
+      count(*) FILTER (value > 60) AS failed_rows FROM split WHERE NOT late GROUP BY date_trunc('day', ts), event_type
+    HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM split WHERE NOT late)"""
+)
+def stream_final_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts of the rows on time, each written once, when the watermark has passed its day."""
+    split, columns = _late_events(spark, sf_dir)
+    windows = window_progress(
+        split.on_time(spark, columns, max_files=4), F.col("value") > 60, every="1 day", keys=["event_type"], delay="1 day"
+    )
+    found = _collected(spark, windows, "final")
+    return found.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "rows", "failed_rows")
+
+
 @query(
     """SELECT count(*) AS records_extracted, count(*) FILTER (value <= 100 AND event_type <> 'error') AS records_loaded,
       count(*) FILTER (value > 100 OR event_type = 'error') AS records_failed, true AS ran FROM events"""

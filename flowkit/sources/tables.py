@@ -17,6 +17,9 @@ USD_PER_TIB = 5.0
 MAX_ROWS_PER_RUN = 1_000_000
 SAMPLE_ROWS = 10_000
 
+# A limit up to which each task hands on its own first rows.
+SMALL_LIMIT = 1_000
+
 
 def read_query(spark: SparkSession, query: str) -> DataFrame:
     """The result of a SQL query, as a lazy frame."""
@@ -106,13 +109,16 @@ def cap_rows(df: DataFrame, limit: int, order: Sequence[str], descending: Collec
 
     The order needs a unique last column, else the rows at the cut are arbitrary.  The order columns alone are
     range-partitioned and counted (one job); rows of the ranges before the cut are then taken by a filter on the order
-    columns, and the range at the cut is a top-n.  So no task holds more than one range, whatever the limit.
+    columns, and the range at the cut is a top-n.  So no task holds more than one range, whatever the limit.  A limit of
+    at most `SMALL_LIMIT` is a top-n of the whole frame: each task hands on so many rows, in one pass.
     """
     if not order:
         raise ValueError("a row limit needs an order")
     if limit <= 0:
         return df.limit(0)
     by = _order(order, descending)
+    if limit <= SMALL_LIMIT:
+        return df.orderBy(*by).limit(limit)
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = df.select(*[col(c) for c in order]).repartitionByRange(ranges, *by).sortWithinPartitions(*by)
     last = F.last(F.struct(*[col(c) for c in order])).alias("last")

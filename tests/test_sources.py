@@ -31,8 +31,10 @@ def test_limit_needs_an_order(spark):
         tables.select_rows(spark.range(3), limit=2)
 
 
+@pytest.mark.parametrize("small", [0, 1_000])
 @pytest.mark.parametrize("limit", [0, 1, 37, 200, 301, 500, 900])
-def test_cap_is_exact(spark, limit):
+def test_cap_is_exact(spark, limit, small, monkeypatch):
+    monkeypatch.setattr(tables, "SMALL_LIMIT", small)
     data = [(None if i % 10 == 0 else (5 if i % 3 else i % 50), i) for i in range(500)]
     df = spark.createDataFrame(data, "t INT, id INT").repartition(6)
     expected = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:limit]
@@ -41,12 +43,16 @@ def test_cap_is_exact(spark, limit):
     assert rows(tables.cap_rows(df, limit, ["t", "id"], descending=["t"])) == sorted(expected, key=str)
 
 
-def test_cap_on_text(spark):
+@pytest.mark.parametrize("small", [0, 1_000])
+def test_cap_on_text(spark, small, monkeypatch):
+    monkeypatch.setattr(tables, "SMALL_LIMIT", small)
     df = spark.createDataFrame([(f"k{i:03d}",) for i in range(100)], "k STRING")
     assert [r[0] for r in rows(tables.cap_rows(df, 10, ["k"]))] == [f"k{i:03d}" for i in range(10)]
 
 
-def test_sample_is_exact_and_repeatable(spark):
+@pytest.mark.parametrize("small", [0, 1_000])
+def test_sample_is_exact_and_repeatable(spark, small, monkeypatch):
+    monkeypatch.setattr(tables, "SMALL_LIMIT", small)
     df = spark.range(100_000)
     sample = [r[0] for r in tables.sample_rows(df, ["id"], 1000).collect()]
     assert len(set(sample)) == 1000
