@@ -10,7 +10,7 @@ import math
 import uuid
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +21,9 @@ from flowkit.operators.quarantine import read_quarantine
 from flowkit.operators.rules import RuleSet
 from flowkit.plans.jobs import migrate
 from flowkit.plans.ordered import with_row_index
-from flowkit.plans.staging import exists, kept_path, remove, scratch_path, stage
+from flowkit.plans.staging import exists, kept_path, remove, scratch_path
 from flowkit.sources.tables import read_stream
-from flowkit.streaming.circuit import circuit_states as step_circuits
+from flowkit.streaming.circuit import CircuitLog
 from flowkit.streaming.events import (
     LateSplit,
     deduplicate_stream,
@@ -38,22 +38,34 @@ FILES, FILES_PER_BATCH = 10, 1
 ROWS_PER_FILE = 1_000_000
 
 
-def _write_parts(placed: DataFrame, path: str, files: int) -> None:
-    """The rows of each `__part` as files of their own, one part after the other."""
-    staged = scratch_path(placed.sparkSession, "parts")
+def _placed_events(spark: SparkSession, sf_dir: str, shifts: Column | None = None) -> tuple[DataFrame, int]:
+    """The events by the part they come in (`__part`), stored by part, and the files that a part needs.
+
+    Parts have equal rows in the order of time; events without a time go with the last one.  `shifts` is an array: an
+    event comes so many parts later than its time says, once for each of them.
+    """
+    events = table(spark, sf_dir, "events")
+    timed, untimed = events.agg(F.count("ts"), F.count_if(F.col("ts").isNull())).first()
+    placed = with_row_index(events.withColumn("__untimed", F.col("ts").isNull()), ["__untimed", "ts", "event_id"], name="__at")
+    part = F.when(F.col("__untimed"), FILES - 1).otherwise(F.expr(f"CAST(__at * {FILES} DIV {max(1, timed)} AS INT)"))
+    shifted = placed.withColumn("__shift", F.explode(F.array(F.lit(0)) if shifts is None else shifts))
+    placed = shifted.withColumn("__part", F.least(F.lit(FILES - 1), part + F.col("__shift"))).drop("__untimed", "__at", "__shift")
+    staged = scratch_path(spark, "parts")
     placed.write.partitionBy("__part").parquet(staged)
-    parts = placed.sparkSession.read.schema(placed.schema).parquet(staged)
-    for i in range(FILES):
-        rows = parts.where(F.col("__part") == i).drop("__part")
-        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
+    return spark.read.schema(placed.schema).parquet(staged), max(1, math.ceil((timed / FILES + untimed) / ROWS_PER_FILE))
+
+
+def _write_part(placed: DataFrame, part: int, path: str, files: int) -> None:
+    """One part as files of their own, by as many tasks as its rows need; parts are written one after the other, so that
+    a stream reads them in order."""
+    rows = placed.where(F.col("__part") == part).drop("__part")
+    (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
 
 
 def _split_events(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """The folder of the events in `FILES` parts of equal rows, in the order of their time, and the files of each part.
+    """The folder of the events in parts and the files of each part, made once in an application and kept.
 
-    Parts are written one after the other, so that a stream reads them in order, by as many tasks as their rows need.
-    Events without a time go with the last part.  They are made once in an application and kept.  (Runs: counts, and
-    where they are not there yet, the order and a write for each part.)
+    (Runs: counts, and where the parts are not there yet, the order and a write for each of them.)
     """
     events = table(spark, sf_dir, "events")
     timed, untimed = events.agg(F.count("ts"), F.count_if(F.col("ts").isNull())).first()
@@ -61,10 +73,9 @@ def _split_events(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     path = kept_path(spark, f"events-{hashlib.md5(sf_dir.encode()).hexdigest()}-{FILES}-{files}-{timed}")
     if not exists(spark, f"{path}.done"):
         remove(spark, path)
-        placed = with_row_index(events.withColumn("__untimed", F.col("ts").isNull()), ["__untimed", "ts", "event_id"], name="__at")
-        place = F.expr(f"CAST(__at * {FILES} DIV {max(1, timed)} AS INT)")
-        placed = placed.withColumn("__part", F.when(F.col("__untimed"), FILES - 1).otherwise(place)).drop("__untimed", "__at")
-        _write_parts(placed, path, files)
+        placed, _ = _placed_events(spark, sf_dir)
+        for i in range(FILES):
+            _write_part(placed, i, path, files)
         spark.range(1).write.mode("overwrite").parquet(f"{path}.done")
     return path, files
 
@@ -197,9 +208,11 @@ SELECT user_id, event_id, ok, state_before, state_after, outcome FROM steps WHER
 def circuit_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Circuit state of each user's event stream; an error event is a failed call."""
     outcomes = event_stream(spark, sf_dir).withColumn("ok", F.col("event_type") != "error")
-    states = step_circuits(outcomes, "user_id", "ok", threshold=2, recovery_seconds=6 * 3600)
-    stepped = _collected(spark, states, "circuits")
-    named = stepped.withColumnsRenamed({"key": "user_id", "tie_break": "event_id"})
+    log = CircuitLog(
+        scratch_path(spark, "circuits"), scratch_path(spark, "state"), "user_id", "ok", threshold=2, recovery_seconds=6 * 3600
+    )
+    log.run_to_end(outcomes)
+    named = log.outcomes(spark, outcomes.schema).withColumnsRenamed({"key": "user_id", "tie_break": "event_id"})
     return named.select("user_id", "event_id", "ok", "state_before", "state_after", "outcome")
 
 
@@ -338,21 +351,28 @@ split AS (SELECT p.*, ts IS NULL OR coalesce(ts < line, false) AS late FROM plac
 
 def _late_events(spark: SparkSession, sf_dir: str) -> tuple[LateSplit, T.StructType]:
     """The events with some that come late, split in two runs: over half the files, and again when all are there."""
-    events = table(spark, sf_dir, "events")
+    placed, files = _placed_events(spark, sf_dir, F.array(F.when(F.col("event_id") % 50 == 0, 2).otherwise(0)))
+    fields = placed.drop("__part").schema
     path = scratch_path(spark, "arrivals")
-    timed, untimed = events.agg(F.count("ts"), F.count_if(F.col("ts").isNull())).first()
-    files, timed = max(1, math.ceil((timed / FILES + untimed) / ROWS_PER_FILE)), max(1, timed)
-    placed = with_row_index(events.withColumn("__untimed", F.col("ts").isNull()), ["__untimed", "ts", "event_id"], name="__at")
-    late = F.when(F.col("event_id") % 50 == 0, 2).otherwise(0)
-    part = F.when(F.col("__untimed"), FILES - 1).otherwise(F.least(F.lit(FILES - 1), F.expr(f"CAST(__at * {FILES} DIV {timed} AS INT)") + late))
-    placed = stage(placed.withColumn("__part", part).drop("__untimed", "__at"), "placed")
     split = LateSplit(scratch_path(spark, "split"), scratch_path(spark, "state"), delay_seconds=86_400)
     for half in (range(FILES // 2), range(FILES // 2, FILES)):
         for i in half:
-            rows = placed.where(F.col("__part") == i).select(*events.columns)
-            (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
-        split.run_to_end(read_stream(spark, f"{path}/*.parquet", events.schema, max_files=files))
-    return split, events.schema
+            _write_part(placed, i, path, files)
+        split.run_to_end(read_stream(spark, f"{path}/*.parquet", fields, max_files=files))
+    return split, fields
+
+
+@query("SELECT event_id, event_type FROM events WHERE ts IS NOT NULL")
+def stream_dedupe_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh event is sent again with the next part; the watermark moves on, and keys leave the state behind it."""
+    again = F.when(F.col("event_id") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    sent, files = _placed_events(spark, sf_dir, again)
+    fields, path = sent.drop("__part").schema, scratch_path(spark, "resent")
+    for i in range(FILES):
+        _write_part(sent.where("ts IS NOT NULL"), i, path, files)
+    stream = read_stream(spark, f"{path}/*.parquet", fields, max_files=files)
+    distinct = deduplicate_stream(stream, ["event_id"], delay="8 days")
+    return _collected(spark, distinct.select("event_id", "event_type"), "distinct")
 
 
 @query(f"{ARRIVALS_SQL} SELECT event_id, late FROM split WHERE late")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowkit.functions.schema import TEXT, schema
 from flowkit.operators.rules import RuleSet
 from flowkit.sources.tables import read_stream
-from flowkit.streaming.circuit import Circuit, circuit_states
+from flowkit.streaming.circuit import Circuit, CircuitLog
 from flowkit.streaming.events import (
     LateSplit,
     deduplicate_stream,
@@ -196,7 +196,10 @@ def test_circuit_stream_equals_a_replay(spark, tmp_path):
     for part in range(3):
         spark.createDataFrame(events[part * 100 : part * 100 + 100], columns).coalesce(1).write.mode("append").parquet(str(source))
     stream = read_stream(spark, str(source), spark.createDataFrame([], columns).schema, max_files=1)
-    rows = sink(spark, circuit_states(stream, "k", "ok", threshold=3, recovery_seconds=90), tmp_path)
+    log = CircuitLog(str(tmp_path / "log"), str(tmp_path / "state"), "k", "ok", threshold=3, recovery_seconds=90)
+    log.run_to_end(stream)
+    log.write_batch(spark.read.parquet(str(source)).where("event_id >= 200"), 2)  # a repeated batch
+    rows = [tuple(r) for r in log.outcomes(spark, stream.schema).collect()]
     expected, circuits = {}, {}
     for i, k, ts, ok in events:
         c = circuits.setdefault(k, Circuit(3, 90_000_000))
@@ -218,14 +221,41 @@ def test_circuit_forgets_idle_keys(spark, tmp_path):
         [(4, "a", t + dt.timedelta(hours=7), False)],
     ]
     kinds = spark.createDataFrame([], columns).schema
-    out = []
-    for i, step in enumerate(steps):
-        spark.createDataFrame(step, columns).coalesce(1).write.mode("append").parquet(source)
-        stream = read_stream(spark, source, kinds, max_files=1).withWatermark("ts", "1 second")
-        states = circuit_states(stream, "k", "ok", threshold=2, idle_seconds=3600)
-        query = states.writeStream.foreachBatch(lambda b, _: out.extend(b.collect()))
-        query.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
-    assert {r["tie_break"]: r["state_after"] for r in out}[4] == "closed"
+    for idle, state in ((3600, "closed"), (None, "open")):
+        log = CircuitLog(str(tmp_path / f"log{idle}"), str(tmp_path / f"state{idle}"), "k", "ok", threshold=2, idle_seconds=idle)
+        for step in steps:
+            if idle:
+                spark.createDataFrame(step, columns).coalesce(1).write.mode("append").parquet(source)
+            log.run_to_end(read_stream(spark, source, kinds, max_files=1))
+        assert {r["tie_break"]: r["state_after"] for r in log.outcomes(spark, kinds).collect()}[4] == state
+
+
+def test_circuits_of_many_keys_over_many_arrow_batches(spark, tmp_path):
+    import random
+
+    r = random.Random(5)
+    t = dt.datetime(2024, 1, 1)
+    events = [(i, r.choice([None, "hot", "hot", *"abcdef"]), None if i % 17 == 0 else t + dt.timedelta(seconds=r.randrange(900)), r.choice([True, False, None])) for i in range(400)]
+    frame = spark.createDataFrame(events, "event_id BIGINT, k STRING, ts TIMESTAMP, ok BOOLEAN")
+    log = CircuitLog(str(tmp_path / "log"), str(tmp_path / "state"), "k", "ok", threshold=2, recovery_seconds=60)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        log.write_batch(frame.where("event_id < 250"), 0)
+        log.write_batch(frame.where("event_id < 0"), 1)
+        log.write_batch(frame.where("event_id >= 250"), 2)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    expected, circuits = {}, {}
+    for part in (events[:250], events[250:]):
+        for i, k, ts, ok in sorted(part, key=lambda e: (e[2] is None, e[2] or t, e[0])):
+            c = circuits.setdefault(k, Circuit(2, 60_000_000))
+            was = c.state
+            outcome = c.apply(None if ts is None else int(ts.timestamp() * 1e6), bool(ok))
+            expected[i] = (was, c.state, outcome)
+    found = log.outcomes(spark, frame.schema).collect()
+    assert {r["tie_break"]: (r["state_before"], r["state_after"], r["outcome"]) for r in found} == expected
+    assert {o for _, _, o in expected.values()} == {"applied", "rejected", "late"}
 
 
 def test_code_for_executors_needs_no_copy_of_the_package(tmp_path):
@@ -425,3 +455,22 @@ def test_orphans_are_told_when_no_parent_can_come(spark, tmp_path):
         seen.append(sorted(r["id"] for r in spark.read.schema(kinds).parquet(told).collect()))
     # 2: its parent comes six hours later; 3: none; 5: its parent came eight hours before; 6: six hours before.
     assert seen[0] == [] and seen[-1] == [2, 3, 5, 6]
+
+
+def test_resent_rows_pass_once_and_keys_leave_the_state(spark, tmp_path):
+    columns, source = "event_id BIGINT, ts TIMESTAMP", str(tmp_path / "in")
+    start = dt.datetime(2024, 1, 1)
+    parts = [[(100 * p + i, start + dt.timedelta(hours=24 * p + i / 5)) for i in range(100)] for p in range(8)]
+    sent = [parts[0], *[parts[p] + parts[p - 1][::3] for p in range(1, 8)]]
+    for part in sent:
+        spark.createDataFrame(part, columns).coalesce(1).write.mode("append").parquet(source)
+    stream = read_stream(spark, source, spark.createDataFrame([], columns).schema, max_files=1)
+    out = str(tmp_path / "out")
+    query = deduplicate_stream(stream, ["event_id"], delay="2 days").writeStream.format("parquet").option("path", out)
+    query = query.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = [r["event_id"] for r in spark.read.schema(columns).parquet(out).collect()]
+    assert sorted(found) == [i for part in parts for i, _ in part]
+    states = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    assert sum(s["numRowsDroppedByWatermark"] for s in states) == 0
+    assert 0 < states[-1]["numRowsTotal"] < max(s["numRowsTotal"] for s in states) < len(found)
