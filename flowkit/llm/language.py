@@ -2,13 +2,13 @@
 
 Each language is a suffix automaton of a bounded sample of its labelled text.  A text is parsed greedily into the
 longest phrases that occur in the sample; the language with the least estimated cross entropy, phrases * log2(sample
-length) / text length, wins.  The automata are dense transition tables, so that a block of texts is parsed by numpy,
-one step for all of them at a time.
+length) / text length, wins.  Every letter of the samples has a class of its own.  The automata are transition tables,
+dense while that stays small and else sorted edges, so that a block of texts is parsed by numpy, one step for all of
+them at a time.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +24,7 @@ from flowkit.llm.hashing import blocks
 SAMPLE_CHARS = 32_000
 PIECE_CHARS = 500
 SAMPLE_ROWS = 400
-ALPHABET = 255
+DENSE_CELLS = 1 << 25
 LANE = 512
 UNDETERMINED = "und"
 SEED = 3
@@ -34,23 +34,34 @@ DEAD, ROOT = 0, 1
 
 @dataclass
 class Model:
-    """Languages in code-point order, the character classes, one transition table each, and log2 of sample lengths."""
+    """Languages in code-point order, the character classes, the transitions of all, and log2 of sample lengths.
+
+    Transitions go from `state * width + class` to a state: as a table of all cells, or as sorted `edges` and `targets`.
+    """
 
     languages: list[str]
     classes: np.ndarray
-    tables: np.ndarray
+    targets: np.ndarray
+    edges: np.ndarray | None
     starts: np.ndarray
     width: int
     bits: np.ndarray
 
+    def moved(self, cells: np.ndarray) -> np.ndarray:
+        """The states that transitions lead to, DEAD where there is none."""
+        if self.edges is None:
+            return self.targets[cells]
+        place = np.minimum(np.searchsorted(self.edges, cells), len(self.edges) - 1)
+        return np.where(self.edges[place] == cells, self.targets[place], DEAD)
+
 
 def plain(text: str) -> str:
     """Lower case, with every run of other characters than letters as one space."""
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-def automaton(codes: list[int], width: int) -> np.ndarray:
-    """Transition table of the suffix automaton of a sequence: [state, code] -> state; 0 is dead and 1 the root."""
+def transitions(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of a sequence: code -> state, by state; 0 is dead and 1 the root."""
     links, lengths, moves = [0, 0], [0, 0], [{}, {}]
     last = ROOT
     for code in codes:
@@ -76,6 +87,12 @@ def automaton(codes: list[int], width: int) -> np.ndarray:
                     at = links[at]
                 links[target] = links[state] = copy
         last = state
+    return moves
+
+
+def automaton(codes: list[int], width: int) -> np.ndarray:
+    """The same as a table: [state, code] -> state."""
+    moves = transitions(codes)
     table = np.zeros((len(moves), width), dtype=np.int32)
     for state, edges in enumerate(moves):
         if edges:
@@ -87,22 +104,32 @@ def build(samples: dict[str, list[str]]) -> Model:
     """The model of sampled pieces of text per language."""
     languages = sorted(samples, key=lambda x: x.encode())
     texts = [" ".join(plain(t) for t in samples[x])[:SAMPLE_CHARS] for x in languages]
-    letters = Counter("".join(texts).replace(" ", "")).most_common(ALPHABET - 2)
-    codes = {" ": SPACE} | {c: i + 2 for i, (c, _) in enumerate(sorted(letters))}
+    letters = sorted(set("".join(texts)) - {" "})
+    codes = {" ": SPACE} | {c: i + 2 for i, c in enumerate(letters)}
     width = len(codes) + 1
-    classes = np.fromiter((OTHER if chr(i).isalpha() else SPACE for i in range(0x110000)), dtype=np.uint8, count=0x110000)
+    kind = np.min_scalar_type(width)
+    classes = np.fromiter((OTHER if chr(i).isalpha() else SPACE for i in range(0x110000)), dtype=kind, count=0x110000)
     for c, i in codes.items():
         classes[ord(c)] = i
         if len(c.upper()) == 1:
             classes[ord(c.upper())] = i
-    tables, starts = [], []
+    starts, edges, targets, states = [], [], [], 0
     for text in texts:
-        table = automaton([codes.get(c, OTHER) for c in text], width)
-        table[:, OTHER] = DEAD
-        starts.append(sum(map(len, tables)))
-        tables.append(np.where(table == DEAD, DEAD, table + starts[-1]))
+        moves = transitions([codes.get(c, OTHER) for c in text])
+        starts.append(states)
+        for state, to in enumerate(moves):
+            for code in sorted(to):
+                if code != OTHER:
+                    edges.append((states + state) * width + code)
+                    targets.append(states + to[code])
+        states += len(moves)
+    cells, into = np.array(edges, dtype=np.int64), np.array(targets, dtype=np.int32)
     bits = np.log2([max(2, len(t)) for t in texts])
-    return Model(languages, classes, np.concatenate(tables).ravel(), np.array(starts), width, bits)
+    if states * width > DENSE_CELLS:
+        return Model(languages, classes, into, cells, np.array(starts), width, bits)
+    table = np.full(states * width, DEAD, dtype=np.int32)
+    table[cells] = into
+    return Model(languages, classes, table, None, np.array(starts), width, bits)
 
 
 def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -133,11 +160,11 @@ def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     for step in range(int(length[0]) if len(length) else 0):
         k = active[step]
         code = codes[begin[:k] + step]
-        moved = model.tables[states[:, :k] * model.width + code]
+        moved = model.moved(states[:, :k] * model.width + code)
         dead = moved == DEAD
         if step:
             counts[:, :k] += dead
-        states[:, :k] = np.where(dead, model.tables[roots + code], moved)
+        states[:, :k] = np.where(dead, model.moved(roots + code), moved)
     phrases = np.stack([np.bincount(lane_owner, weights=c, minlength=len(texts)) for c in counts])
     return phrases, letters
 
