@@ -8,8 +8,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
-NAMED = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+OPEN = re.compile(r"</?[a-zA-Z][^\s/>]*")
+# An attribute, or nothing: quotes count only where a value begins, as in the standard.
+ATTRIBUTE = re.compile(r"[\s/]*(?:([^\s/>=][^\s/>=]*|=[^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?)?")
+NAMES = frozenset("class id role itemprop".split())
+MARK = "data-mark"
 TOKEN = re.compile(r"[a-z]+")
 
 # Elements by their role in HTML.
@@ -38,6 +41,7 @@ BAD_TOKENS = frozenset(
     "login signup search comment comments reply replies respond response responses discussion thread feedback share "
     "social follow toolbar disclaimer".split()
 )
+PARAGRAPH = frozenset("p")
 SENTENCE = re.compile(r"[.!?]")
 TEXT = "#text"
 
@@ -61,12 +65,70 @@ class Page:
         return len(self.tags) - 1
 
 
+def _tag_end(source: str, at: int) -> tuple[int, dict[str, str], bool]:
+    """Where a tag ends whose name ends at `at` (-1 if it never does), its attributes, and whether it closes itself."""
+    found: dict[str, str] = {}
+    while True:
+        part = ATTRIBUTE.match(source, at)
+        at = part.end()
+        if part[1]:
+            found.setdefault(part[1].lower(), part[2] or part[3] or part[4] or "")
+        if at >= len(source):
+            return -1, found, False
+        if source[at] == ">":
+            return at + 1, found, source[at - 1] == "/" and not (part[1] and part[4])
+
+
+@dataclass
+class _Stack:
+    """Open elements as (tag, node; -1 for inline ones), with the places of each tag, of blocks and of barriers."""
+
+    entries: list[tuple[str, int]] = field(default_factory=list)
+    places: dict[str, list[int]] = field(default_factory=dict)
+    blocks: list[int] = field(default_factory=list)
+    barriers: list[int] = field(default_factory=lambda: [0])
+
+    def push(self, tag: str, node: int) -> None:
+        at = len(self.entries)
+        self.entries.append((tag, node))
+        self.places.setdefault(tag, []).append(at)
+        if node >= 0:
+            self.blocks.append(at)
+        if tag in BARRIER:
+            self.barriers.append(at)
+
+    def cut(self, depth: int) -> list[tuple[str, int]]:
+        gone = self.entries[depth:]
+        for tag, node in reversed(gone):
+            self.places[tag].pop()
+            if node >= 0:
+                self.blocks.pop()
+            if tag in BARRIER:
+                self.barriers.pop()
+        del self.entries[depth:]
+        return gone
+
+    def last(self, tag: str) -> int:
+        """The depth of the innermost open element of this tag, 0 if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def node(self) -> int:
+        return self.entries[self.blocks[-1]][1]
+
+
 def read(source: str) -> Page:
-    """The tree of a page.  Inline elements belong to the run of text they stand in; unclosed elements end with their parent."""
+    """The tree of a page, in one pass.
+
+    Inline elements belong to the run of text they stand in; unclosed elements end with their parent.  A `<` that begins
+    no tag is text; a tag, comment or raw element that never ends takes the rest of the page.
+    """
     page = Page()
     page.add("#root", -1, [])
-    stack: list[tuple[str, int]] = [("#root", 0)]
+    stack = _Stack()
+    stack.push("#root", 0)
     run: list[str] = []
+    endless: set[str] = set()
     linked = links = 0
 
     def end_run() -> None:
@@ -74,67 +136,70 @@ def read(source: str) -> Page:
         if run:
             text = " ".join(html.unescape("".join(run)).split())
             if text:
-                page.add(TEXT, stack_node(), [], text, min(linked, len(text)))
+                page.add(TEXT, stack.node(), [], text, min(linked, len(text)))
             run.clear()
         linked = 0
 
-    def stack_node() -> int:
-        return next(n for _, n in reversed(stack) if n >= 0)
-
     def close(depth: int) -> None:
         nonlocal links
-        if any(n >= 0 for _, n in stack[depth:]):
+        if stack.blocks[-1] >= depth:
             end_run()
-        links -= sum(t == "a" for t, _ in stack[depth:])
-        del stack[depth:]
+        links -= sum(t == "a" for t, _ in stack.cut(depth))
 
     at, size = 0, len(source)
     while at < size:
-        found = TAG.search(source, at)
-        text = source[at : found.start()] if found else source[at:]
+        start = source.find("<", at)
+        follows = source[start + 1 : start + 2] if start >= 0 else ""
+        is_text = start >= 0 and not (follows in ("!", "?") or OPEN.match(source, start) or (follows == "/" and start + 2 < size))
+        text = source[at:] if start < 0 else source[at : start + is_text]
         if text:
             run.append(text)
             linked += len(text) * (links > 0)
-        if not found:
+        if start < 0:
             break
-        at = found.end()
-        tag = (found[2] or "").lower()
-        if not tag:
+        if is_text:
+            at = start + 1
+            continue
+        opened = OPEN.match(source, start)
+        if not opened:
+            ends = source.find("-->", start + 4) if source.startswith("<!--", start) else source.find(">", start)
+            at = size if ends < 0 else ends + (3 if source.startswith("<!--", start) else 1)
             continue
-        if found[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    close(depth)
-                    break
-                if tag in INLINE and stack[depth][1] >= 0:
-                    break
+        closing = follows == "/"
+        tag = opened[0].lstrip("</").lower()
+        at, attributes, closed = _tag_end(source, opened.end())
+        if at < 0:
+            break
+        if closing:
+            depth = stack.last(tag)
+            if depth and not (tag in INLINE and stack.blocks[-1] > depth):
+                close(depth)
             continue
         if tag in SKIPPED:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at) if tag not in VOID else None
-            if tag in RAW or end:
-                at = end.end() if end else size
+            ended = None
+            if tag not in VOID and tag not in endless:
+                ended = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
+                if ended is None:
+                    endless.add(tag)
+            if tag in RAW or ended:
+                at = ended.end() if ended else size
             continue
         if tag in INLINE:
             if tag in ("br", "img", "input"):
                 run.append(" ")
-            elif tag not in VOID and not found[3].endswith("/"):
+            elif tag not in VOID and not closed:
                 links += tag == "a"
-                stack.append((tag, -1))
+                stack.push(tag, -1)
             continue
         if tag in ENDS_PARAGRAPH or tag in SIBLINGS:
-            closes = SIBLINGS.get(tag, {"p"})
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in closes:
-                    close(depth)
-                    break
-                if stack[depth][0] in BARRIER:
-                    break
+            depth = max(stack.last(t) for t in SIBLINGS.get(tag, PARAGRAPH))
+            if depth > stack.barriers[-1]:
+                close(depth)
         end_run()
-        names = " ".join(a or b or c for a, b, c in NAMED.findall(found[3])).lower() if "=" in found[3] else ""
-        mark = found[3].rpartition("data-mark=")[2][:1] if "data-mark=" in found[3] else ""
-        node = page.add(tag, stack_node(), TOKEN.findall(names), mark=mark)
-        if tag not in VOID and not found[3].endswith("/"):
-            stack.append((tag, node))
+        names = " ".join(v for k, v in attributes.items() if k in NAMES).lower()
+        node = page.add(tag, stack.node(), TOKEN.findall(names), mark=attributes.get(MARK, "")[:1])
+        if tag not in VOID and not closed:
+            stack.push(tag, node)
     end_run()
     return page
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowkit.llm import dom, trees
+from flowkit.llm.documents import sliced
 
 SAMPLE_PAGES = 150
 LAYOUTS = 4
@@ -172,7 +173,7 @@ def extract(pages: DataFrame, forest: trees.Forest | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = shared.value
-        for batch in batches:
+        for batch in sliced(batches, 256):
             texts: list[str] = []
             waiting: list[dom.Page] = []
             nodes = 0
