@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 
@@ -85,3 +86,55 @@ def kept_lines(rows, min_words=10):
                 earlier.append(words)
         out[doc] = "\n".join(kept)
     return out
+
+
+def looped(doc, words):
+    """The words of a text as the periodic-run query plants them."""
+    h, n = zlib.crc32(str(doc).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def runs(words):
+    """(start, length, period) of every periodic run, by start, then period."""
+    n, found = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(6, 4 * q):
+                stretch = words[i : i + length]
+                if not any(stretch[r:] == stretch[: length - r] for r in range(1, q)):
+                    found.append((i, length, q))
+            i = max(j, i + 1)
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def near(a, b):
+    """Exactly one code point inserted, deleted or replaced."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long_ = sorted((a, b), key=len)
+    return len(long_) - len(short) == 1 and any(long_[:i] + long_[i + 1 :] == short for i in range(len(long_)))
+
+
+def variants(counts):
+    """word -> (n, n_near, form, form_n, root)."""
+    found = {}
+    for word, n in counts.items():
+        others = [w for w in counts if near(word, w)]
+        form = min(others, key=lambda w: (-counts[w], w), default=None)
+        form = form if form is not None and counts[form] >= 5 * n else None
+        found[word] = (n, len(others), form)
+
+    def root(word):
+        return word if found[word][2] is None else root(found[word][2])
+
+    return {w: (n, k, f, f and counts[f], root(w)) for w, (n, k, f) in found.items()}

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, operator by operator."""
 
 import random
+import time
 
 import brute
 import numpy as np
@@ -8,10 +9,11 @@ import public_tokenizers
 import pytest
 import regex
 from pyspark.sql import functions as F
+import tiktoken
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from flowkit.llm import ann, bpe, dom, extraction, fingerprints, hashing, jaccard, language, lines, mixing, quality, suffixes, trees
+from flowkit.llm import ann, bpe, byte_bpe, dom, extraction, fingerprints, hashing, jaccard, language, lines, mixing, periods, quality, spelling, suffixes, trees
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, size string, ids string"
@@ -271,6 +273,72 @@ def test_phrases_are_the_greedy_parse():
     assert letters.tolist() == [13, 0, 0]
 
 
+def test_languages_with_large_alphabets():
+    turns = random.Random(8)
+
+    def written(first, words, length):
+        letters = [chr(first + i) for i in range(3_000)]
+        return ["".join(turns.choice(letters) for _ in range(turns.randint(1, 4))) for _ in range(words)]
+
+    own = {"x": written(0x4E00, 12_000, 4), "y": written(0xAC00, 12_000, 4), "en": "the cat sat on a mat and then it ran off".split() * 800}
+    model = language.build({k: [" ".join(w)] for k, w in own.items()})
+    texts = [(k, " ".join(turns.choice(own[k]) for _ in range(turns.randint(5, 60)))) for k in own for _ in range(100)]
+    phrases, _ = language.parse(model, [t for _, t in texts])
+    best = (phrases * model.bits[:, None]).argmin(axis=0)
+    assert sum(model.languages[i] == k for i, (k, _) in zip(best, texts, strict=True)) == len(texts)
+
+
+def test_sorted_edges_and_the_table_give_the_same_parse(monkeypatch):
+    samples = {"a": ["the quick brown fox jumps over the lazy dog " * 3], "b": ["el veloz zorro marrón salta sobre el perro " * 3]}
+    texts = ["the dog jumps", "el perro salta 12 veces", "日本語", "", "x" * 2_000, "quick zorro " * 200]
+    table = language.build(samples)
+    monkeypatch.setattr(language, "DENSE_CELLS", 0)
+    edges = language.build(samples)
+    assert table.edges is None and edges.edges is not None
+    assert (language.parse(table, texts)[0] == language.parse(edges, texts)[0]).all()
+
+
+def test_bad_markup_is_read_in_one_pass_and_without_loss():
+    pages = {
+        "<p title=don't>Hello it's me</p>": ["Hello it's me"],
+        "<p title = 'a > b' class=x/>one</p><p>two": ["one", "two"],
+        "a < b <3 and 4 <= 5": ["a < b <3 and 4 <= 5"],
+        "<p>x<!-- <p>no</p> -->y</p></ >z": ["xy", "z"],
+        "<div><b>bold<p>in</b> and on</div>after": ["bold", "in and on", "after"],
+        "<p>kept</p><script>var a = '<p>';": ["kept"],
+        "<p>kept</p><p class='": ["kept"],
+    }
+    for source, runs in pages.items():
+        assert [t for t in dom.read(source).texts if t] == runs
+    for part in ("<a ", "<b>", "<svg>", "<p>", '<a x="', "<li>", "<", "<!--", "<div></p>", "<i><div><b></i>", "&amp"):
+        started = time.perf_counter()
+        dom.read(part * (1_000_000 // len(part)))
+        assert time.perf_counter() - started < 20  # a second or a few, were it not for busy machines; hours if quadratic
+
+
+def test_extraction_returns_the_text_the_page_was_made_of(spark):
+    """The expected text is what the pages are built from, not what the operator's reading of them says."""
+    turns = random.Random(6)
+    words = "river stone winter garden letter morning village bridge story harvest market window summer".split()
+
+    def sentence():
+        return " ".join(turns.choice(words) for _ in range(turns.randint(8, 22))).capitalize() + "."
+
+    rows, expected = [], {}
+    for page in range(60):
+        blocks = [" ".join(sentence() for _ in range(turns.randint(2, 5))) for _ in range(turns.randint(3, 8))]
+        body = "".join(f"<p title=don't>{b.replace('village', 'vill&#97;ge')}{turns.choice(['</p>', ''])}" for b in blocks)
+        menu = "".join(f"<li><a href=/{w}>{w.capitalize()}</a></li>" for w in words[:6])
+        foot = "<footer>&copy; 2024 All rights reserved</footer>"
+        comments = f"<div class=comments><p>{sentence()}</p></div>"
+        source = f"<html><head><title>t</title><script>x('</p>')</script></head><body><nav><ul>{menu}</ul></nav><article>{body}</article>{comments}{foot}</body></html>"
+        rows.append((page, "u", source))
+        expected[page] = "\n\n".join(blocks)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in extraction.extract(pages, extraction.learn(pages)).collect()}
+    assert sum(found[p] == t for p, t in expected.items()) >= 0.9 * len(expected)
+
+
 def vectors_frame(spark, n=400, dimension=16):
     turns = np.random.default_rng(0)
     rows = [(int(i), v.tolist(), "x") for i, v in enumerate(turns.standard_normal((n, dimension)).astype(np.float32))]
@@ -336,3 +404,106 @@ def test_texts_without_an_id_or_with_a_shared_one_are_all_judged(spark):
     assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted((str(d), t) for d, t in [*rows[:4], (9, texts[4]), (12, texts[5])])
     one = corpus_pipeline.one_of_each(spark, docs, "").collect()
     assert sorted((str(r["doc_id"]), r["text"]) for r in one) == sorted((str(d), t) for d, t in [*rows[:4], rows[5], rows[7]])
+
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def test_replayed_words_equal_the_library():
+    ranks = byte_bpe.load(RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks.whole, special_tokens={})
+    turns = random.Random(5)
+    words = [b"".join(turns.choice(ranks.pieces) for _ in range(turns.randint(1, 6))) for _ in range(4_000)]
+    words += [bytes(turns.randrange(256) for _ in range(turns.randint(1, 30))) for _ in range(500)]
+    words += [b"a" * 5_000, b"the" * 900, "йи".encode() * 700, b""]
+    ids, sizes = byte_bpe.spelled(words, ranks)
+    cuts = [0, *np.cumsum(sizes, dtype=np.int64).tolist()]
+    for word, a, b in zip(words, cuts, cuts[1:], strict=False):
+        assert ids[a:b].tolist() == (library._core_bpe.encode_single_piece(word) if word else [])
+
+
+def test_a_merge_that_makes_a_lower_rank_lets_its_word_wait():
+    whole = {bytes([b]): b for b in range(256)} | {b"xab": 300, b"abab": 299, b"ab": 400}
+    merges = {ord("a") << 32 | ord("b"): 400, ord("x") << 32 | 400: 300, 400 << 32 | 400: 299}
+    keys = np.array(sorted(merges))
+    ranks = byte_bpe.Ranks([], {}, np.arange(256), merges, keys, np.array([merges[k] for k in keys.tolist()]))
+    library = tiktoken.Encoding("own", pat_str=r"\S+", mergeable_ranks=whole, special_tokens={})
+    for text in ("xabab", "xababab", "ababxab", "abxabab", "xabxabab"):
+        ids, _ = byte_bpe.replay([b"ab", text.encode(), b"xab"], ranks)
+        assert ids.tolist() == [400, *library._core_bpe.encode_single_piece(text.encode()), 300]
+
+
+def test_byte_bpe_round_trip(docs, empty, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CHUNK_BYTES", 300)
+    encoded = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    back = byte_bpe.decode(encoded.withColumn("content", F.lit(1)), RANKS)
+    assert sorted(encoded.columns) == sorted(c for c in docs.columns if c != "text")
+    assert sorted((r["doc_id"] or 0, r["content"].decode()) for r in back.collect()) == sorted((d or 0, t or "") for d, t in TEXTS)
+    assert byte_bpe.encode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
+    assert byte_bpe.encode(docs.select("text"), RANKS, public_tokenizers.PATTERN).columns == ["ids"]
+    assert byte_bpe.encode(docs.select("text"), RANKS, public_tokenizers.PATTERN).count() == len(TEXTS)
+    nothing = byte_bpe.encode(docs.where("text is null or text = ''"), RANKS, public_tokenizers.PATTERN).collect()
+    assert len(nothing) == 2 and all(r["ids"] == b"" for r in nothing)
+
+
+def test_runs_on_edges(docs, empty):
+    found = periods.periodic_runs(docs.withColumn("runs", F.lit("old")))
+    rows = found.collect()
+    assert len(rows) == len(TEXTS) and periods.periodic_runs(empty).count() == 0
+    for row in rows:
+        words = brute.WORD.findall(UNIQUE[row["doc_id"]] or "")
+        if len(words) < 1_000:
+            assert [tuple(r) for r in row["runs"]] == brute.runs(words)
+        else:  # the long texts repeat every 977 words
+            assert row["runs"][-1]["period"] == 977 and row["runs"][-1]["length"] >= 30_000 - 977
+    assert {r["text"] for r in rows if r["doc_id"] in (3, 4, 6)} == {""}
+
+
+def test_runs_equal_brute_force_on_made_texts():
+    turns = random.Random(3)
+    texts = []
+    for _ in range(400):
+        letters, words = turns.choice([1, 2, 2, 3, 5, 50]), []
+        for _ in range(turns.randint(0, 5)):
+            unit = [b"w%d" % turns.randrange(letters) for _ in range(turns.randint(1, 40))]
+            times = turns.choice([1, 1, 3, 4, 5, 8])
+            words += (unit * times)[: len(unit) * times - turns.randrange(len(unit))]
+        texts.append(words)
+    found = periods.find_runs(texts)
+    expected = [brute.runs(words) for words in texts]
+    assert [[tuple(r) for r in rows.tolist()] for rows in found] == expected and sum(map(len, expected)) > 300
+
+
+def test_runs_of_self_similar_texts():
+    morse, fibonacci = [b"a"], ([b"a"], [b"a", b"b"])
+    for _ in range(11):
+        morse = morse + [b"b" if w == b"a" else b"a" for w in morse]
+        fibonacci = (fibonacci[1], fibonacci[1] + fibonacci[0])
+    one, two, same = periods.find_runs([morse, fibonacci[1], [b"a"] * 5_000])
+    assert one.tolist() == [] and two.tolist() == [] and same.tolist() == [[0, 5_000, 1]]
+
+
+def test_variants_equal_brute_force(spark):
+    turns = random.Random(9)
+    counts = {}
+    for _ in range(60):
+        base = "".join(turns.choice("abé") for _ in range(turns.randint(1, 7)))
+        for _ in range(6):
+            at = turns.randrange(len(base) + 1)
+            word = base[:at] + turns.choice(["", "a", "b", "é"]) + base[at + turns.randint(0, 1) :]
+            if word:
+                counts[word] = turns.choice([1, 2, 5, 10, 26, 130, 700])
+    long_words = ["x" * 70 + "a" + "y" * 70, "x" * 70 + "b" + "y" * 70, "x" * 70 + "y" * 70, "x" * 71 + "y" * 70]
+    counts |= dict(zip(long_words, (5, 25, 125, 700), strict=True))
+    rows = [*counts.items(), (None, 4), ("", 9)]
+    found = spelling.variants(spark.createDataFrame(rows, "word string, n long")).collect()
+    assert {r["word"]: (r["n"], r["n_near"], r["form"], r["form_n"], r["root"]) for r in found} == brute.variants(counts)
+    assert len(found) == len(counts)
+
+
+def test_word_counts_on_edges(docs, empty, spark):
+    assert spelling.variants(spelling.word_counts(empty, typos=True)).count() == 0
+    rows = [(None, "Straße STRASSE naïveté"), (1, None), (1, ""), (2, "short words only"), (3, "Straße-Straße_Straße4Straße"), (4, "naïveté" * 2)]
+    counts = spelling.word_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["word"]: r["n"] for r in counts} == {"straße": 5}
+    assert spelling.word_counts(docs, typos=True).where("n < 5 or char_length(word) < 6").count() == 0

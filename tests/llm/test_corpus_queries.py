@@ -2,17 +2,19 @@
 
 import hashlib
 import json
+from fractions import Fraction
 
 import brute
 import numpy as np
 import oracle
 import public_tokenizers
 import pytest
+import tiktoken
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from flowkit.llm import dom
+from flowkit.llm import byte_bpe, dom
 from flowkit.llm.queries import QUERIES, SQL
 
 
@@ -28,7 +30,7 @@ def rows_of(spark, name, sf_dir):
 
 def test_every_operator_and_the_pipeline_are_registered():
     known = queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in known) == 1
     assert "pipeline" in known and set(SQL) <= set(oracle_sql())
 
@@ -71,6 +73,33 @@ def test_tokens_equal_the_library(spark, small_dir, documents):
         assert row.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_rank_file_tokens_equal_the_library(spark, small_dir, documents):
+    ranks = byte_bpe.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).whole
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = rows_of(spark, "op11_byte_bpe", small_dir)
+    assert len(found) == len(documents)
+    for row in found.itertuples():
+        ids = library.encode_ordinary(documents[row.doc_id])
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(library.decode_bytes(ids)).hexdigest()
+
+
+def test_runs_equal_brute_force(spark, small_dir, documents):
+    found = rows_of(spark, "op12_periodic_runs", small_dir).set_index("doc_id")
+    assert len(found) == len(documents) and found.n_runs.sum() > 0
+    for doc, text in documents.items():
+        words = brute.looped(doc, brute.WORD.findall(text))
+        runs, row = brute.runs(words), found.loc[doc]
+        listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        kept = " ".join(w for i, w in enumerate(words) if not any(s + q <= i < s + n for s, n, q in runs))
+        assert row.n_runs == len(runs) and row.runs_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert row.collapsed_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+        if runs:
+            start, length, period = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]))
+            assert (row.start, row.length, row.period, row.exponent_milli) == (start, length, period, 1000 * length // period)
+
+
 def test_fingerprints_estimate_the_similarity(spark, small_dir, documents):
     found = rows_of(spark, "op5_fingerprints", small_dir).set_index("doc_id")
     ids, errors, by_text = sorted(documents), [], {}
