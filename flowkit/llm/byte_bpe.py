@@ -34,7 +34,7 @@ from flowkit.llm.documents import sliced
 CHUNK_BYTES = 24 << 20
 REPLAY_BYTES = 1 << 20
 BYTES_PER_BUCKET = 64 << 20
-MOST_BUCKETS = 1 << 20
+UNKNOWN_BYTES = 1 << 60
 
 
 @dataclass
@@ -198,10 +198,14 @@ def _sum(packed: bytes) -> bytes:
 
 
 def _bucket_count(docs: DataFrame) -> int:
-    """Buckets by the size that Spark expects of the input, so that one holds as much at any size of the corpus."""
-    expected = docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    wanted = min(int(str(expected)) // BYTES_PER_BUCKET + 1, MOST_BUCKETS)
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
+    """Buckets by the size of the tables that are read, so that one holds as much at any size of the corpus.
+
+    Where Spark does not know a size, as for rows made in a session, it is one bucket per shuffle partition.
+    """
+    leaves = docs._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    expected = 0 if any(size >= UNKNOWN_BYTES for size in sizes) else sum(sizes)
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), expected // BYTES_PER_BUCKET + 1)
 
 
 def _chunks(docs: DataFrame, keep: list[str], pattern: str, buckets: int) -> DataFrame:
