@@ -86,8 +86,8 @@ def column_chunks(
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
     listed = scan_files(spark, path, pattern).select("path")
-    tasks = max(1, -(-listed.count() // FILES_PER_TASK))
-    return listed.repartition(tasks, "path").mapInArrow(footers, CHUNKS)
+    tasks = -(-listed.count() // FILES_PER_TASK)
+    return (listed.repartition(tasks, "path") if tasks > 1 else listed).mapInArrow(footers, CHUNKS)
 
 
 def column_cost(chunks: DataFrame) -> DataFrame:
