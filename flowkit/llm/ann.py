@@ -13,17 +13,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowkit.llm.documents import settled
+
 FIT_ROWS = 2_000
-BLOCK_ROWS = 8_192
-QUERY_ROWS = 4_096
+BLOCK_ROWS = 32_768
+QUERY_ROWS = 32_768
 QUERY_STEP = 128
 PAIRS = 1 << 16
 BOUND = 3.5
 SEED = 5
-_RANKED = "query_id long, vec_id long, score double"
+_RANKED = "query_id long, query_key long, vec_id long, score double"
 
 
 def usable(vector: Column) -> Column:
@@ -77,85 +80,117 @@ def best(owner: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.n
     return order[rank < k]
 
 
+def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
+    """The rows of a batch (id, vector, ...) for each length of vectors, with the vectors as a matrix."""
+    sizes = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+    for dimension in np.unique(sizes).tolist():
+        rows = batch.filter(pa.array(sizes == dimension))
+        yield dimension, rows, rows.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    return pa.array([r.tobytes() for r in rows], pa.binary())
+
+
+def _own(names: np.ndarray, points: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Whether a query and a vector are the same row: equal ids and equal components."""
+    same = names[:, None] == ids[None, :]
+    q, v = np.nonzero(same)
+    same[q, v] = (points[q] == vectors[v]).all(axis=1)
+    return same
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """The `k` largest inner products for each query row: query_id, rank, vec_id, score.
 
     `vectors` has `vec_id` and `embedding`; other columns are ignored.  Rows without an id, and vectors that are not
-    `usable`, take no part, nor do vectors of another length than most in the sample; rows that share a `vec_id` count
-    as one, with the smallest embedding, and a query never finds its own id.  An empty table gives no rows.
-
-    A sample of about `FIT_ROWS` rows fits the centre and gives each query a first lower bound of its k-th best score.
-    Every row is coded, and every query block meets every block of codes: blocks have a fixed size, so a task's memory
-    does not grow with the table.  A block hands on k rows per query at most.  (Runs: a count, the sample.)
+    `usable`, take no part.  Repeated rows, equal in id and vector, count as one; different vectors that share an id are
+    all candidates, and each of them that is a query has ranks of its own and may find the others.  A query meets the
+    vectors of its own length; those of another length are answered by themselves.  An empty table gives no rows.
+
+    For each length a sample of about `FIT_ROWS` rows fits the centre and gives each query a first lower bound of its
+    k-th best score.  Every row is coded, and every query block meets every block of codes: blocks have a fixed size, so
+    a task's memory does not grow with the table, and rows are dealt by id and vector, so a frequent id spreads.  A
+    block hands on k rows per query at most.  (Runs: the table of usable rows, counts per length, the samples.)
     """
     spark = vectors.sparkSession
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-    rows = rows.groupBy("vec_id").agg(F.min(F.col("embedding").cast("array<double>")).alias("embedding"))
-    n = rows.count()
-    share = int(min(1.0, FIT_ROWS / max(1, n)) * (1 << 20))
-    sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(1 << 20)) < share).limit(4 * FIT_ROWS)
-    drawn = sample.toPandas()
-    if not len(drawn):
+    kind = "float" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "double"
+    rows = settled(rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>")).distinct(), "vectors")
+    width = F.size("embedding")
+    counts = rows.groupBy(width.alias("d")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("asked")).collect()
+    if not counts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dimension = int(drawn["embedding"].map(len).mode()[0])
-    drawn = drawn[drawn["embedding"].map(len) == dimension]
-    known, known_ids = np.stack(drawn["embedding"].to_list()).astype(float), drawn["vec_id"].to_numpy()
-    centre, turn = known.mean(axis=0), rotation(dimension)
-    rows = rows.where(F.size("embedding") == dimension)
+
+    def by_length(values: dict[int, int]) -> Column:
+        return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[width]
+
+    share = by_length({r["d"]: int(min(1.0, FIT_ROWS / r["n"]) * (1 << 20)) for r in counts})
+    drawn = rows.where(F.pmod(F.xxhash64("vec_id", "embedding", F.lit(SEED)), F.lit(1 << 20)) < share)
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for dimension, part in (sample := drawn.limit(4 * FIT_ROWS * len(counts)).toPandas()).groupby(sample["embedding"].map(len)):
+        known[dimension] = (part["vec_id"].to_numpy(), np.stack(part["embedding"].to_list()).astype(float))
+    centres = {d: points.mean(axis=0) for d, (_, points) in known.items()}
+    sampled, middle = spark.sparkContext.broadcast(known), spark.sparkContext.broadcast(centres)
+
+    def frame(dimension: int) -> tuple[np.ndarray, np.ndarray]:
+        return middle.value.get(dimension, np.zeros(dimension)), rotation(dimension)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frames: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            values = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
-            codes, norms, fits = encode(values, centre, turn)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([v.tobytes() for v in values], pa.binary()),
-                    pa.array([c.tobytes() for c in codes], pa.binary()),
-                    pa.array(norms),
-                    pa.array(fits),
-                ],
-                names=["vec_id", "vector", "code", "norm", "fit"],
-            )
+            for dimension, part, values in _by_length(batch):
+                if dimension not in frames:
+                    frames[dimension] = frame(dimension)
+                codes, norms, fits = encode(values.astype(float), *frames[dimension])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([dimension] * len(values), pa.int32()), part.column(0), _binary(values), _binary(codes), pa.array(norms), pa.array(fits), part.column(2)],
+                    names=["d", "vec_id", "vector", "code", "norm", "fit", "blocks"],
+                )
 
     def floor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
-            least = np.full(len(values), -np.inf)
-            for at in range(0, len(values), 512):
-                part = values[at : at + 512]
-                scores = np.where(batch.column(0).to_numpy()[at : at + 512, None] == known_ids, -np.inf, part @ known.T)
-                if len(known) >= k:
+            for dimension, part, values in _by_length(batch):
+                ids, least = part.column(0).to_numpy(), np.full(len(values), -np.inf)
+                known_ids, points = sampled.value.get(dimension, (np.empty(0, dtype=np.int64), np.empty((0, dimension))))
+                for at in range(0, len(values) if len(points) >= k else 0, 512):
+                    scores = np.where(ids[at : at + 512, None] == known_ids, -np.inf, values[at : at + 512].astype(float) @ points.T)
                     kth = np.partition(scores, -k, axis=1)[:, -k]
                     least[at : at + 512] = kth - 1e-9 * (1 + np.abs(kth))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([v.tobytes() for v in values], pa.binary()), pa.array(least)],
-                names=["query_id", "query", "least"],
-            )
-
-    data_blocks = max(1, -(-n // BLOCK_ROWS))
-    queries = rows.where(is_query)
-    query_blocks = max(1, -(-queries.count() // QUERY_ROWS))
-    coded = rows.mapInArrow(code, "vec_id long, vector binary, code binary, norm double, fit double")
-    coded = coded.withColumn("db", F.pmod(F.xxhash64("vec_id"), F.lit(data_blocks)).cast("int"))
-    coded = coded.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = queries.mapInArrow(floor, "query_id long, query binary, least double")
-    asked = asked.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
-    asked = asked.withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(data_blocks - 1))))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([dimension] * len(values), pa.int32()), part.column(0), part.column(3), _binary(values), pa.array(least), part.column(2)],
+                    names=["d", "query_id", "query_key", "query", "least", "blocks"],
+                )
+
+    data_blocks = by_length({r["d"]: -(-r["n"] // BLOCK_ROWS) for r in counts})
+    query_blocks = by_length({r["d"]: max(1, -(-r["asked"] // QUERY_ROWS)) for r in counts})
+    # Each row goes to its own block, once for every block of the other side.
+    place = F.xxhash64("vec_id", "embedding")
+    coded = rows.select("vec_id", "embedding", F.struct(F.pmod(place, data_blocks).cast("int").alias("own"), query_blocks.alias("others")).alias("blocks"))
+    coded = coded.mapInArrow(code, "d int, vec_id long, vector binary, code binary, norm double, fit double, blocks struct<own:int,others:int>")
+    coded = coded.withColumn("db", F.col("blocks.own")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("blocks.others") - 1))).drop("blocks")
+    asked = rows.where(is_query).select(
+        "vec_id", "embedding", F.struct(F.pmod(place, query_blocks).cast("int").alias("own"), data_blocks.alias("others")).alias("blocks"), place.alias("key")
+    )
+    asked = asked.mapInArrow(floor, "d int, query_id long, query_key long, query binary, least double, blocks struct<own:int,others:int>")
+    asked = asked.withColumn("qb", F.col("blocks.own")).withColumn("db", F.explode(F.sequence(F.lit(0), F.col("blocks.others") - 1))).drop("blocks")
+    stored = np.dtype("<f4" if kind == "float" else "<f8")
 
     def search(data: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(data) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": int, "vec_id": int})
-        vectors = np.frombuffer(b"".join(data["vector"]), dtype=float).reshape(-1, dimension)
+            return pd.DataFrame({c: [] for c in ("query_id", "query_key", "vec_id", "score")}).astype({"query_id": int, "query_key": int, "vec_id": int})
+        dimension = int(data["d"].iloc[0])
+        centre, turn = frame(dimension)
+        vectors = np.frombuffer(b"".join(data["vector"]), dtype=stored).reshape(-1, dimension).astype(float)
         codes = np.frombuffer(b"".join(data["code"]), dtype=np.uint8).reshape(len(data), -1)
         ids, norms, fits = data["vec_id"].to_numpy(), data["norm"].to_numpy(), data["fit"].to_numpy()
-        points = np.frombuffer(b"".join(asked["query"]), dtype=float).reshape(-1, dimension)
-        names, least = asked["query_id"].to_numpy(), asked["least"].to_numpy()
+        points = np.frombuffer(b"".join(asked["query"]), dtype=stored).reshape(-1, dimension).astype(float)
+        names, keys, least = asked["query_id"].to_numpy(), asked["query_key"].to_numpy(), asked["least"].to_numpy()
         found = []
         for at in range(0, len(points), QUERY_STEP):
             own, part = names[at : at + QUERY_STEP], points[at : at + QUERY_STEP]
             reach = bounds(part, codes, norms, fits, centre, turn)
-            missed = (reach < least[at : at + QUERY_STEP, None]) | (own[:, None] == ids[None, :])
+            missed = (reach < least[at : at + QUERY_STEP, None]) | _own(own, part, ids, vectors)
             chosen = np.flatnonzero(~missed.all(axis=0))
             near = part @ vectors[chosen].T
             near[missed[:, chosen]] = -np.inf
@@ -167,10 +202,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
             v = chosen[v]
             scores = np.concatenate([inner(part[q[i : i + PAIRS]], vectors[v[i : i + PAIRS]]) for i in range(0, len(q), PAIRS)] or [np.empty(0)])
             top = best(q, ids[v], scores, k)
-            found.append((own[q[top]], ids[v[top]], scores[top]))
-        query_id, vec_id, score = (np.concatenate(x) for x in zip(*found, strict=True))
-        return pd.DataFrame({"query_id": query_id, "vec_id": vec_id, "score": score})
+            found.append((own[q[top]], keys[at + q[top]], ids[v[top]], scores[top]))
+        columns = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pd.DataFrame(dict(zip(("query_id", "query_key", "vec_id", "score"), columns, strict=True)))
 
-    found = coded.groupBy("qb", "db").cogroup(asked.groupBy("qb", "db")).applyInPandas(search, _RANKED)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = coded.groupBy("d", "qb", "db").cogroup(asked.groupBy("d", "qb", "db")).applyInPandas(search, _RANKED)
+    order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

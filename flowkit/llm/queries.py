@@ -79,14 +79,14 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
-  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+  SELECT q.vec_id AS query_id, q.v AS query, c.vec_id, CASE WHEN len(q.v) = len(c.v) THEN list_inner_product(q.v, c.v) END AS score
+  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND len(q.v) = len(c.v) AND (c.vec_id <> q.vec_id OR c.v <> q.v)),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+  SELECT *, row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """)
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
