@@ -132,10 +132,19 @@ def build(samples: dict[str, list[str]]) -> Model:
     return Model(languages, classes, table, None, np.array(starts), width, bits)
 
 
+def _read(model: Model, states: np.ndarray, roots: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """States after one more character, and whether a phrase ended before it."""
+    moved = model.moved(states * model.width + code)
+    ended = moved == DEAD
+    return np.where(ended, model.moved(roots * model.width + code), moved), ended
+
+
 def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Phrases of each text in each language, and the length of each text without other characters than letters.
 
-    Texts are cut into lanes of `LANE` characters, and a phrase ends with its lane, alike for all languages.
+    Texts are read in lanes of `LANE` characters side by side, each as if a phrase began with it.  A lane is then
+    corrected for the state in which the lane before it ends: both readings go on until they are in the same state, from
+    where they agree.  That is repeated while the end of a lane changes, so the phrases are those of the whole text.
     """
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
@@ -151,20 +160,40 @@ def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     begin = (np.cumsum(sizes) - sizes)[lane_owner] + within * LANE
     length = np.minimum(LANE, sizes[lane_owner] - within * LANE)
     order = np.argsort(-length, kind="stable")
-    begin, length, lane_owner = begin[order], length[order], lane_owner[order]
-    languages = len(model.languages)
-    states = np.tile((model.starts + ROOT)[:, None], len(begin)).astype(np.int64)
-    roots = (model.starts + ROOT)[:, None] * model.width
-    counts = np.ones((languages, len(begin)), dtype=np.int32)
+    begin, length, lane_owner, within = begin[order], length[order], lane_owner[order], within[order]
+    roots = np.tile((model.starts + ROOT)[:, None], len(begin)).astype(np.int64)
+    states = roots.copy()
+    counts = np.zeros((len(model.languages), len(begin)), dtype=np.int64)
     active = np.searchsorted(-length, -np.arange(LANE), side="left")
     for step in range(int(length[0]) if len(length) else 0):
         k = active[step]
-        code = codes[begin[:k] + step]
-        moved = model.moved(states[:, :k] * model.width + code)
-        dead = moved == DEAD
+        states[:, :k], ended = _read(model, states[:, :k], roots[:, :k], codes[begin[:k] + step])
         if step:
-            counts[:, :k] += dead
-        states[:, :k] = np.where(dead, model.moved(roots + code), moved)
+            counts[:, :k] += ended
+        else:
+            counts += np.where(within == 0, 1, ended)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    later = np.flatnonzero(within > 0)
+    previous = place[order[later] - 1]
+    assumed = roots[:, later].copy()
+    while True:
+        language, at = np.nonzero(assumed != states[:, previous])
+        if not len(at):
+            break
+        lane, old, new = later[at], assumed[language, at], states[language, previous[at]]
+        assumed[language, at] = new
+        step = 0
+        while len(lane):
+            code, root = codes[begin[lane] + step], roots[language, lane]
+            old, less = _read(model, old, root, code)
+            new, more = _read(model, new, root, code)
+            counts[language, lane] += more.astype(np.int64) - less
+            step += 1
+            over = length[lane] == step
+            states[language[over], lane[over]] = new[over]
+            on = (old != new) & ~over
+            language, lane, old, new = language[on], lane[on], old[on], new[on]
     phrases = np.stack([np.bincount(lane_owner, weights=c, minlength=len(texts)) for c in counts])
     return phrases, letters
 
