@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowkit.llm.documents import sliced
+from flowkit.llm.documents import bucket_count, sliced
 
 
 # Fixed by the file format: how byte-level BPE splits a text into words.
@@ -204,15 +204,16 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     A null or empty text has no ids; an added token in a text is encoded as such, and nothing is added.  A column named
     `ids` is replaced; repeated rows stay.  A bucket holds the distinct words of all chunks with one remainder of their
-    hash, one bucket per shuffle partition.  Chunks are shuffled once and read by the words and by the join.  They hold
-    the rows of `docs` in the order they are read, which has to be the same if a lost task runs again, as in any table;
-    stage frames that a shuffle made.  An id list that does not fit its chunk ends the job.
+    hash; there are as many as the input has parts of fixed size, so none grows with the corpus.  Chunks are shuffled
+    once and read by the words and by the join.  They hold the rows of `docs` in the order they are read, which has to be
+    the same if a lost task runs again, as in any table; stage frames that a shuffle made.  An id list that does not fit
+    its chunk ends the job.
     """
     spark = docs.sparkSession
     vocabulary = load(path)
     shared = spark.sparkContext.broadcast(vocabulary)
     keep = [c for c in docs.columns if c not in ("text", "ids")]
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(docs)
     chunks = _chunks(docs, keep, list(vocabulary.added), buckets).repartition(buckets, "chunk")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,12 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowkit.llm.documents import sliced
+from flowkit.llm.documents import bucket_count, sliced
 
 CHUNK_BYTES = 24 << 20
 REPLAY_BYTES = 1 << 20
-BYTES_PER_BUCKET = 64 << 20
-UNKNOWN_BYTES = 1 << 60
 
 
 @dataclass
@@ -197,17 +195,6 @@ def _sum(packed: bytes) -> bytes:
     return zlib.crc32(packed).to_bytes(4, "little")
 
 
-def _bucket_count(docs: DataFrame) -> int:
-    """Buckets by the size of the tables that are read, so that one holds as much at any size of the corpus.
-
-    Where Spark does not know a size, as for rows made in a session, it is one bucket per shuffle partition.
-    """
-    leaves = docs._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    expected = 0 if any(size >= UNKNOWN_BYTES for size in sizes) else sum(sizes)
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), expected // BYTES_PER_BUCKET + 1)
-
-
 def _chunks(docs: DataFrame, keep: list[str], pattern: str, buckets: int) -> DataFrame:
     """One row per chunk: the kept columns of its documents, their words as positions, and its word list by bucket.
 
@@ -292,7 +279,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     ranks = docs.sparkSession.sparkContext.broadcast(load(path))
     keep = [c for c in docs.columns if c not in ("text", "ids")] or ["__none"]
     docs = docs.withColumn("__none", F.lit(0)) if keep == ["__none"] else docs
-    buckets = _bucket_count(docs)
+    buckets = bucket_count(docs)
     chunks = _chunks(docs, keep, pattern, buckets).repartition(buckets, "chunk")
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,6 +18,8 @@ LEAST_ID = -(1 << 63)
 ROW = "__row"
 
 SLICE_ROWS = 512
+BYTES_PER_BUCKET = 64 << 20
+UNKNOWN_BYTES = 1 << 60
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
@@ -29,6 +31,17 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
         pa.default_memory_pool().release_unused()
 
 
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets by the size of the tables that are read, so that one holds as much at any size of the corpus.
+
+    Never fewer than shuffle partitions; that many where Spark does not know a size, as for rows made in a session.
+    """
+    leaves = docs._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    expected = 0 if any(size >= UNKNOWN_BYTES for size in sizes) else sum(sizes)
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), expected // BYTES_PER_BUCKET + 1)
+
+
 def settled(df: DataFrame, label: str) -> DataFrame:
     """`df` staged, with the shuffle files behind it removed once it is written (nothing reads `df` again).
 

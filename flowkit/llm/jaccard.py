@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowkit.llm.documents import LEAST_ID, by_document, packed_texts, settled, sliced
+from flowkit.llm.documents import LEAST_ID, bucket_count, by_document, packed_texts, settled, sliced
 from flowkit.llm.hashing import blocks, mix, shingles
 
 PERCENT = 75
@@ -221,7 +221,7 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _components(docs: DataFrame, percent: int) -> DataFrame:
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(docs)
     known = settled(_told_apart(_fragments(docs, buckets), percent), "sets")
     classes = known.where("n_shingles > 0").groupBy("first", "second").agg(F.min("doc").alias("stands"), F.max("open").alias("open"))
     classes = settled(classes, "classes")
