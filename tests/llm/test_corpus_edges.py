@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, operator by operator."""
 
 import random
+import re
 import time
 
 import brute
@@ -367,6 +368,25 @@ def test_nearest_equals_brute_force(spark, monkeypatch):
     assert ann.nearest(frame.where("vec_id in (0, 1)"), F.col("vec_id") % 20 == 0).count() == 1
 
 
+def test_nearest_keeps_every_vector(spark, monkeypatch):
+    """Different vectors under one id, a frequent id, and vectors of several lengths, against all pairs."""
+    turns = np.random.default_rng(1)
+    rows = [(i % 90, turns.standard_normal(12).astype(np.float32).tolist()) for i in range(200)]
+    rows += [(20, turns.standard_normal(12).astype(np.float32).tolist()) for _ in range(80)]
+    rows += [(i, turns.standard_normal(5).astype(np.float32).tolist()) for i in range(45)]
+    frame = spark.createDataFrame(rows + rows[:30], "vec_id long, embedding array<float>")
+    expected = []
+    for own, query in rows:
+        others = [(i, v) for i, v in rows if len(v) == len(query) and (i, v) != (own, query)]
+        scored = sorted((-sum(a * b for a, b in zip(query, v, strict=True)), i) for i, v in others)[:6]
+        expected += [(own, rank, i, round(-s, 9)) for rank, (s, i) in enumerate(scored, 1) if own % 20 == 0]
+    for block, asked in ((32_768, 32_768), (60, 25)):
+        monkeypatch.setattr(ann, "BLOCK_ROWS", block)
+        monkeypatch.setattr(ann, "QUERY_ROWS", asked)
+        found = ann.nearest(frame, F.col("vec_id") % 20 == 0, k=6).collect()
+        assert sorted((r[0], r[1], r[2], round(r[3], 9)) for r in found) == sorted(expected)
+
+
 def test_words_and_shingles():
     texts = ["A b  c\td e f", "", "one two", "a B c d e f", " "]
     owner, hashes = hashing.shingles([t.encode() for t in texts])
@@ -507,3 +527,27 @@ def test_word_counts_on_edges(docs, empty, spark):
     counts = spelling.word_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["word"]: r["n"] for r in counts} == {"straße": 5}
     assert spelling.word_counts(docs, typos=True).where("n < 5 or char_length(word) < 6").count() == 0
+
+
+@pytest.mark.parametrize("lane", [512, 7])
+def test_phrases_cross_lanes(monkeypatch, lane):
+    """Phrases of texts of any length are the greedy longest matches of the whole text."""
+    turns = random.Random(2)
+    letters = {"a": "abc ", "b": "abcde  "}
+    samples = {k: ["".join(turns.choice(v) for _ in range(3_000))] for k, v in letters.items()}
+    model = language.build(samples)
+    plain = {k: language.plain(v[0]) for k, v in samples.items()}
+    texts = ["".join(turns.choice("abcdez ") for _ in range(n)) for n in (0, 1, 2, 511, 512, 513, 1_024, 2_500)]
+    texts += ["a" * 3_000, "z" * 1_500, plain["a"][:2_500], plain["a"][100:1_500] * 2, "ab" * 900, " a "]
+    monkeypatch.setattr(language, "LANE", lane)
+    phrases, _ = language.parse(model, texts)
+    for i, text in enumerate(texts):
+        text = re.sub(" +", " ", text)
+        for j, known in enumerate(plain.values()):
+            at = count = 0
+            while at < len(text):
+                end = at + 1
+                while end < len(text) and text[at : end + 1] in known:
+                    end += 1
+                at, count = end, count + 1
+            assert phrases[j, i] == count
