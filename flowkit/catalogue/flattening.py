@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from flowkit.catalogue.registry import query, table
 from flowkit.functions.schema import DOUBLE, INT, LONG, SHORT_TEXT, TEXT, TIME, schema
 from flowkit.functions.text import array_literal, is_identifier
 from flowkit.operators import flatten as fl
-from flowkit.plans.staging import exists, kept_path, scratch_path
+from flowkit.plans.staging import scratch_path
 from flowkit.sources import footers, sinks, tables
 from flowkit.sources.keyed import KeyedTarget
 
@@ -88,16 +87,11 @@ SELECT publication_number, application_number, country_code, kind_code, family_i
 FROM """
 
 
-def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nested records as a stored table, written once per application."""
-    path = kept_path(spark, f"nested-{hashlib.md5(sf_dir.encode()).hexdigest()}")
-    if not exists(spark, f"{path}/_SUCCESS"):
-        nested_records(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return spark.read.schema(fl.NESTED_SCHEMA).parquet(path)
-
-
 def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested record per document; arrays come from the whole text, so no group has to be collected."""
+    """One nested record per document; arrays come from the whole text, so no group has to be collected.
+
+    The records are derived as they are read.  Stored, their five arrays would take several times the space of the texts.
+    """
 
     def parts(separator: str) -> Column:
         return F.split("text", separator)
@@ -145,7 +139,7 @@ def _shown(flat: DataFrame) -> DataFrame:
 
 @query(f"{SHOWN_SQL} ({FLAT_SQL})")
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(fl.flatten(stored_records(spark, sf_dir), ordered=False))
+    return _shown(fl.flatten(nested_records(spark, sf_dir), ordered=False))
 
 
 @query(
@@ -153,12 +147,12 @@ def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ORDER BY filing_date DESC NULLS LAST, publication_number LIMIT 25)"
 )
 def flatten_year_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(fl.flatten(stored_records(spark, sf_dir), limit=25, year=2003))
+    return _shown(fl.flatten(nested_records(spark, sf_dir), limit=25, year=2003))
 
 
 @query(f"{SHOWN_SQL} (SELECT * FROM ({FLAT_SQL}) WHERE filing_date >= DATE '2016-03-01' - INTERVAL 365 DAY)")
 def flatten_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = stored_records(spark, sf_dir)
+    nested = nested_records(spark, sf_dir)
     return _shown(fl.flatten(nested, recent_days=365, as_of=dt.date(2016, 3, 1), ordered=False))
 
 
@@ -306,7 +300,7 @@ def nan_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM ({FLAT_SQL})"""
 )
 def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = fl.flatten(stored_records(spark, sf_dir), ordered=False)
+    flat = fl.flatten(nested_records(spark, sf_dir), ordered=False)
     named = flat.withColumnsRenamed({"title_english": "title", "family_id": "assignee", "inventor_names": "inventors"})
     target = T.StructType([f for f in sinks.ENHANCED_TARGET if f.name != "loaded_at"])
     conformed = sinks.conform_to_schema(named, target)

@@ -1,6 +1,7 @@
 """Physical plans: what must hold whatever the size of the data."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from flowkit.operators import checks, clean, flatten
 from flowkit.operators.rules import annotate
 from flowkit.catalogue.checking import order_rules
 from flowkit.catalogue.flattening import nested_records
+from flowkit.plans.staging import SETTING
 
 
 
@@ -53,6 +55,29 @@ def test_date_filters_are_ranges_on_the_stored_integer(spark, small_dir, tmp_pat
     assert "Generate" not in text and "Join" not in text
 
 
+@pytest.mark.parametrize(
+    ("name", "arrays"), [("flatten_recent", 5), ("flatten_nested", 5), ("flatten_year_newest", 5), ("conform_schema", 3)]
+)
+def test_flattening_stores_no_copy_of_its_input(spark, tmp_path, name, arrays):
+    rows = [(i, f"Line {i}, part. Next sentence\nof, text", "en", "web", 13 + i % 2 * 12) for i in range(400)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    shared = Path(spark.conf.get(SETTING))
+    before = set(shared.rglob("*"))
+    flat = QUERIES[name](spark, str(tmp_path))
+    text = plan(flat)
+    assert flat.collect()
+    assert set(shared.rglob("*")) == before
+    # Rows are filtered before their arrays are made, and each array is made once.
+    assert text.count("FileScan") == 1 and text.count("split(") == arrays
+    assert text.rindex("split(") < text.index("Filter ")
+
+
+def test_derived_records_have_the_nested_schema(spark, small_dir):
+    types = {f.name: f.dataType.simpleString() for f in nested_records(spark, small_dir).schema}
+    assert types == {f.name: f.dataType.simpleString() for f in flatten.NESTED_SCHEMA}
+
+
 def test_one_pass_over_the_table(spark, small_dir):
     rows = gappy_orders(spark, small_dir)
     wide = checks.check_all(rows, ranges={"price": (0, 1)}, patterns={"priority": "1"})
